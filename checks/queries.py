@@ -13,7 +13,7 @@ from checks.fixtures import COMPUTED, INGESTED, LOADS, bronze, customers, logs_d
 from runnel.functions.columns import status_category
 from runnel.operators import gold, history, layout, quality, sessions, silver, upsert
 from runnel.plans import dashboard, medallion
-from runnel.plans.sizing import scratch_dir
+from runnel.plans.sizing import HotKeys, hot_keys, scratch_dir
 from runnel.schemas import (
     BRONZE_DDL,
     DAILY_KPIS_DDL,
@@ -31,8 +31,8 @@ from runnel.streaming import flows
 AS_OF = dt.date(2024, 1, 30)
 SPLIT = dt.date(2024, 1, 20)
 KEY, COMPARED = "c_custkey", ["c_mktsegment", "c_acctbal"]
-# Low enough for the tests' tables to take the hot-user plan.
-HOT_ROWS = 200
+# Low enough for small tables to take the hot-user plan.
+SKEWED_ROWS = 200
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -46,18 +46,24 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable:
 
 
 def clean_events(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.clean(bronze(spark, sf), tie_cols=["trace_id"])[0]
+    return silver.clean(bronze(spark, sf), tie_cols=["timestamp"])[0]
 
 
-def skewed_events(spark: SparkSession, sf: str) -> DataFrame:
-    """Silver with a third of all events given to one user."""
+def silver_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver written once, for the queries that read it several times."""
+    path = scratch_dir(spark, "silver")
+    tables.write_table(clean_events(spark, sf), path)
+    return tables.read_table(spark, path, SILVER_DDL)
+
+
+def skewed(df: DataFrame) -> DataFrame:
+    """A third of all events given to one user."""
     hot = F.substring("event_id", 5, 20).cast("bigint") % 3 == 0
-    user = F.when(hot, "user_hot").otherwise(F.col("user_id"))
-    return clean_events(spark, sf).withColumn("user_id", user)
+    return df.withColumn("user_id", F.when(hot, "user_hot").otherwise(F.col("user_id")))
 
 
-def kpis(spark: SparkSession, sf: str, exact: bool = True) -> DataFrame:
-    return gold.daily_kpis(clean_events(spark, sf), ntz(COMPUTED), exact)
+def kpis(spark: SparkSession, sf: str) -> DataFrame:
+    return gold.daily_kpis(silver_table(spark, sf), ntz(COMPUTED), exact=True)
 
 
 def kpi_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,8 +71,18 @@ def kpi_counts(spark: SparkSession, sf: str) -> DataFrame:
     return gold.kpi_counts(clean_events(spark, sf))
 
 
+def hot_users(spark: SparkSession, sf: str) -> HotKeys:
+    """Counted over the raw events, which takes one column and no cleaning."""
+    return hot_keys(logs_raw(spark, sf), "user_id")
+
+
+def skewed_users(spark: SparkSession, sf: str) -> HotKeys:
+    return hot_keys(skewed(logs_raw(spark, sf)), "user_id", SKEWED_ROWS)
+
+
 def idle(spark: SparkSession, sf: str) -> DataFrame:
-    return sessions.idle_sessions(clean_events(spark, sf), ntz(COMPUTED))
+    events = clean_events(spark, sf)
+    return sessions.idle_sessions(events, ntz(COMPUTED), hot=hot_users(spark, sf))
 
 
 def landed(spark: SparkSession, sf: str) -> str:
@@ -116,9 +132,7 @@ def land_partitioned_json(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def silver_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_dir(spark, "silver")
-    tables.write_table(clean_events(spark, sf), path)
-    return tables.read_table(spark, path, SILVER_DDL)
+    return silver_table(spark, sf)
 
 
 @query
@@ -232,7 +246,7 @@ def daily_kpis(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def daily_kpis_approx(spark: SparkSession, sf: str) -> DataFrame:
-    return kpis(spark, sf, exact=False)
+    return gold.daily_kpis(silver_table(spark, sf), ntz(COMPUTED))
 
 
 @query
@@ -242,28 +256,30 @@ def kpis_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def session_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    return sessions.session_gaps(clean_events(spark, sf)).select(
+    return sessions.session_gaps(clean_events(spark, sf), hot=hot_users(spark, sf)).select(
         "event_id", "user_id", "event_timestamp", "prev_ts", "gap_mins", "is_new_session"
     )
 
 
 @query
 def session_gaps_skewed(spark: SparkSession, sf: str) -> DataFrame:
-    return sessions.session_gaps(skewed_events(spark, sf), hot_rows=HOT_ROWS).select(
+    events = skewed(clean_events(spark, sf))
+    return sessions.session_gaps(events, hot=skewed_users(spark, sf)).select(
         "event_id", "user_id", "event_timestamp", "prev_ts", "gap_mins", "is_new_session"
     )
 
 
 @query
 def sessionize(spark: SparkSession, sf: str) -> DataFrame:
-    return sessions.sessionize(clean_events(spark, sf)).select(
+    return sessions.sessionize(clean_events(spark, sf), hot=hot_users(spark, sf)).select(
         "event_id", "user_id", "session_num", "derived_session_id"
     )
 
 
 @query
 def sessionize_skewed(spark: SparkSession, sf: str) -> DataFrame:
-    return sessions.sessionize(skewed_events(spark, sf), hot_rows=HOT_ROWS).select(
+    events = skewed(clean_events(spark, sf))
+    return sessions.sessionize(events, hot=skewed_users(spark, sf)).select(
         "event_id", "user_id", "session_num", "derived_session_id"
     )
 
@@ -275,7 +291,8 @@ def sessions_idle(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def sessions_idle_skewed(spark: SparkSession, sf: str) -> DataFrame:
-    return sessions.idle_sessions(skewed_events(spark, sf), ntz(COMPUTED), hot_rows=HOT_ROWS)
+    events = skewed(clean_events(spark, sf))
+    return sessions.idle_sessions(events, ntz(COMPUTED), hot=skewed_users(spark, sf))
 
 
 @query
@@ -293,7 +310,7 @@ def sessions_longest(spark: SparkSession, sf: str) -> DataFrame:
 def sessions_resumed(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs, the second taking up the sessions that the first left open."""
     path = scratch_dir(spark, "sessions")
-    events = clean_events(spark, sf)
+    events = silver_table(spark, sf)
     early = events.where(F.col("event_date") <= F.lit(SPLIT))
     tables.replace_dates(sessions.resumable_sessions(early, None, ntz(COMPUTED)), path)
     first = SPLIT + dt.timedelta(days=1)
@@ -348,12 +365,16 @@ def kpi_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def pipeline_health(spark: SparkSession, sf: str) -> DataFrame:
+    events = silver_table(spark, sf)
     return dashboard.pipeline_health(
         {
             "bronze.raw_logs": (bronze(spark, sf), "_ingested_at"),
-            "silver.logs_cleaned": (clean_events(spark, sf), "_ingested_at"),
-            "gold.daily_kpis": (kpis(spark, sf, exact=False), "_computed_at"),
-            "gold.session_summary": (idle(spark, sf), "_computed_at"),
+            "silver.logs_cleaned": (events, "_ingested_at"),
+            "gold.daily_kpis": (gold.daily_kpis(events, ntz(COMPUTED)), "_computed_at"),
+            "gold.session_summary": (
+                sessions.idle_sessions(events, ntz(COMPUTED)),
+                "_computed_at",
+            ),
         }
     )
 
@@ -434,7 +455,7 @@ def history_prune(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def compact_zorder(spark: SparkSession, sf: str) -> DataFrame:
-    source, target = scratch_dir(spark, "events"), scratch_dir(spark, "clustered")
+    source, target = scratch_dir(spark, "silver"), scratch_dir(spark, "clustered")
     tables.write_table(clean_events(spark, sf), source)
     tables.compact_table(spark, source, target, ["event_date", "user_id"], files=8)
     return tables.read_table(spark, target, SILVER_DDL)

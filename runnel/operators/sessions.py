@@ -8,6 +8,9 @@ longer than the timeout. Two plans give the same sessions:
   events of a user in one slice belong to one session. Only the first and last second of
   each slice are chained per user, at most one row per slice whatever the event rate, and
   the events take their session from the slice.
+
+``hot`` names the hot users. By default they are counted in the given frame; a count over
+the stored rows behind it does as well, since any choice gives the same sessions.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runnel.functions.columns import error_sum, minutes_between, now_or, rounded, whole_seconds
-from runnel.plans.sizing import HOT_ROWS, hot_keys
+from runnel.plans.sizing import HotKeys, hot_keys
 from runnel.schemas import SESSIONS_DDL, column_names
 
 TIMEOUT_MINS = 30
@@ -78,7 +81,7 @@ def _branches(
     ts_col: str,
     id_col: str,
     timeout_mins: float,
-    hot_rows: int,
+    hot: HotKeys | None,
     carried: DataFrame | None = None,
 ) -> list[DataFrame]:
     """The numbered events as one frame per plan, so that each keeps its own partitioning."""
@@ -87,7 +90,7 @@ def _branches(
     )
     if carried is not None:
         rows = rows.unionByName(carried, allowMissingColumns=True)
-    hot = hot_keys(df, user_col, hot_rows)
+    hot = hot or hot_keys(df, user_col)
     order = [ts_col, id_col]
     if hot.none:
         return [_by_user(rows, user_col, order, timeout_mins)]
@@ -114,13 +117,13 @@ def sessionize(
     ts_col: str = "event_timestamp",
     timeout_mins: float = TIMEOUT_MINS,
     id_col: str = "event_id",
-    hot_rows: int = HOT_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Adds ``session_num``, counted from 1 per user, and ``derived_session_id``.
 
     Rows without a time stay, with null session columns.
     """
-    parts = _branches(df, user_col, ts_col, id_col, timeout_mins, hot_rows)
+    parts = _branches(df, user_col, ts_col, id_col, timeout_mins, hot)
     return _named(_union(parts), user_col, "session_num").drop("session_origin")
 
 
@@ -130,7 +133,7 @@ def session_gaps(
     ts_col: str = "event_timestamp",
     timeout_mins: float = TIMEOUT_MINS,
     id_col: str = "event_id",
-    hot_rows: int = HOT_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Adds the user's previous event time, the gap in minutes and the new-session flag."""
 
@@ -167,7 +170,7 @@ def session_gaps(
             .drop("_user", "_ts", "_first", "_before")
         )
 
-    hot = hot_keys(df, user_col, hot_rows)
+    hot = hot or hot_keys(df, user_col)
     if hot.none:
         linked = by_user(df)
     elif hot.every:
@@ -196,38 +199,52 @@ def _measures(events: Column) -> list[Column]:
     ]
 
 
-def session_summary(sessionized: DataFrame, computed_at: Column | None = None) -> DataFrame:
-    """One row per session and date; the region is that of the earliest event."""
+def _summary(
+    df: DataFrame, session: str, events: Column, computed_at: Column | None
+) -> DataFrame:
     return (
-        sessionized.where(F.col("derived_session_id").isNotNull())
-        .groupBy("derived_session_id", "user_id", "event_date")
-        .agg(*_measures(F.count("event_id")))
+        df.groupBy(session, "user_id", "event_date")
+        .agg(*_measures(events))
         .withColumn("_computed_at", now_or(computed_at))
-        .select(*column_names(SESSIONS_DDL))
     )
 
 
+def session_summary(sessionized: DataFrame, computed_at: Column | None = None) -> DataFrame:
+    """One row per session and date; the region is that of the earliest event."""
+    named = sessionized.where(F.col("derived_session_id").isNotNull())
+    rows = _summary(named, "derived_session_id", F.count("event_id"), computed_at)
+    return rows.select(*column_names(SESSIONS_DDL))
+
+
+def _numbered_summary(
+    parts: list[DataFrame], number: str, computed_at: Column | None
+) -> DataFrame:
+    """Each part is aggregated on its own partitioning, by number, and named afterwards."""
+    rows = [
+        _summary(p.where(F.col(number).isNotNull()), number, F.count("event_id"), computed_at)
+        for p in parts
+    ]
+    return _named(_union(rows), "user_id", number).select(*column_names(SESSIONS_DDL))
+
+
 def idle_sessions(
     silver: DataFrame,
     computed_at: Column | None = None,
     timeout_mins: float = TIMEOUT_MINS,
-    hot_rows: int = HOT_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Summary of the idle-gap sessions, each plan aggregated on its own partitioning."""
-    parts = _branches(silver, "user_id", "event_timestamp", "event_id", timeout_mins, hot_rows)
-    return _union(
-        [session_summary(_named(p, "user_id", "session_num"), computed_at) for p in parts]
-    )
+    """Summary of the idle-gap sessions."""
+    parts = _branches(silver, "user_id", "event_timestamp", "event_id", timeout_mins, hot)
+    return _numbered_summary(parts, "session_num", computed_at)
 
 
 def session_summary_client(silver: DataFrame, computed_at: Column | None = None) -> DataFrame:
     """Summary of the sessions named by the client, per user, session id and date."""
     names = column_names(SESSIONS_DDL)
+    name = F.concat("user_id", F.lit("_"), "session_id")
     return (
-        silver.groupBy("user_id", "session_id", "event_date")
-        .agg(*_measures(F.count(F.lit(1))))
-        .withColumn("derived_session_id", F.concat("user_id", F.lit("_"), "session_id"))
-        .withColumn("_computed_at", now_or(computed_at))
+        _summary(silver, "session_id", F.count(F.lit(1)), computed_at)
+        .withColumn("derived_session_id", name)
         .select(*names[:2], "session_id", *names[2:])
     )
 
@@ -256,7 +273,7 @@ def resumable_sessions(
     previous_day: DataFrame | None = None,
     computed_at: Column | None = None,
     timeout_mins: float = TIMEOUT_MINS,
-    hot_rows: int = HOT_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Summary with ids that stay the same between runs: user and first second of the session.
 
@@ -266,14 +283,7 @@ def resumable_sessions(
     """
     carried = open_sessions(previous_day) if previous_day is not None else None
     parts = _branches(
-        silver, "user_id", "event_timestamp", "event_id", timeout_mins, hot_rows, carried
-    )
-    return _union(
-        [
-            session_summary(
-                _named(p.where(F.col("event_id").isNotNull()), "user_id", "session_origin"),
-                computed_at,
-            )
-            for p in parts
-        ]
+        silver, "user_id", "event_timestamp", "event_id", timeout_mins, hot, carried
     )
+    events = [p.where(F.col("event_id").isNotNull()) for p in parts]
+    return _numbered_summary(events, "session_origin", computed_at)
