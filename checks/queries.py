@@ -246,7 +246,7 @@ def daily_kpis(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def daily_kpis_approx(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.daily_kpis(silver_table(spark, sf), ntz(COMPUTED))
+    return gold.daily_kpis(clean_events(spark, sf), ntz(COMPUTED), accuracy=1_000_000)
 
 
 @query

@@ -25,7 +25,9 @@ def ordered_bucket(value: Column) -> Column:
     Any non-decreasing function is right here; its steps only decide how evenly the
     rows spread.
     """
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * BUCKETS_PER_E_FOLD)
+    # NaN is the largest number, as in Spark's own order.
+    finite = F.floor(F.signum(value) * F.log1p(F.abs(value)) * BUCKETS_PER_E_FOLD)
+    return F.when(F.isnan(value), F.lit(2**63 - 1)).otherwise(finite)
 
 
 def _ranks(total: Column, p: float) -> tuple[Column, Column, Column]:

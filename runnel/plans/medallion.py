@@ -47,9 +47,12 @@ class Tables:
 def load_bronze(
     spark: SparkSession, raw: str, tables: Tables, ingested_at: Column | None = None
 ) -> None:
-    """Appends raw files. Pass only new files, or use the stream, which keeps track of them."""
+    """Appends raw files. Pass only new files, or use the stream, which keeps track of them.
+
+    Raw files are landed by day and so hold few dates each: no shuffle before the write.
+    """
     raw_logs = add_ingestion_metadata(read_raw_logs(spark, raw), ingested_at=ingested_at)
-    write_table(to_bronze(raw_logs), tables.bronze)
+    write_table(to_bronze(raw_logs), tables.bronze, gather=False)
 
 
 def refresh_silver(

@@ -35,10 +35,15 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: str | StructType | None = None
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType | None = None,
+    merge: bool = False,
 ) -> DataFrame:
-    """Reads a table; files of an older schema give null in the newer columns."""
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
+    """Reads a table. With a schema, files of an older one give null in the newer columns;
+    ``merge`` finds the union of all files' columns instead, by reading every footer.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", merge)
     return reader.parquet(path)
 
 
@@ -76,9 +81,14 @@ def write_table(
     mode: str = "append",
     partition_cols: Sequence[str] = (DATE_COL,),
     dynamic: bool = False,
+    gather: bool = True,
 ) -> None:
-    """Writes a table. ``dynamic`` overwrites only the partitions that occur in ``df``."""
-    if partition_cols:
+    """Writes a table. ``dynamic`` overwrites only the partitions that occur in ``df``.
+
+    ``gather`` brings the rows of a partition together first; without it nothing is
+    shuffled, which suits input whose files already hold few dates each.
+    """
+    if partition_cols and gather:
         df = repartition_by_date(df, partition_cols[0])
     writer = df.write.mode(mode).partitionBy(*partition_cols)
     writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path)
@@ -113,9 +123,10 @@ def compact_table(
     target: str,
     cols: Sequence[str] | None = None,
     files: int | None = None,
+    schema: str | StructType | None = None,
 ) -> None:
     """Rewrites a table into a new path, clustered along ``cols``."""
-    compact(read_table(spark, source), cols, files).write.mode("errorifexists").parquet(target)
+    compact(read_table(spark, source, schema), cols, files).write.mode("errorifexists").parquet(target)
 
 
 def create_tables(

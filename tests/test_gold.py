@@ -42,6 +42,7 @@ def test_percentiles_equal_numpy(spark, broadcast_rows):
 
 def test_buckets_never_fall(spark):
     values = sorted({v for vs in value_sets(3).values() for v in vs})
+    values = [float("-inf"), *values, float("inf"), float("nan")]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     got = [r[0] for r in df.orderBy("v").select(ordered_bucket(F.col("v"))).collect()]
     assert got == sorted(got)
