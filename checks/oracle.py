@@ -355,6 +355,7 @@ ORACLE: dict[str, str] = {
     "scd2_expire": past("SELECT * FROM expired"),
     "scd2_new_rows": past("SELECT * FROM new_rows"),
     "scd2_apply": past("SELECT * FROM applied"),
+    "scd2_table": past("SELECT * FROM applied"),
     "scd2_current": past("SELECT * FROM applied WHERE is_current"),
     "history_as_of": past(
         "SELECT * FROM applied WHERE effective_start_date <= TIMESTAMP '2024-01-15 12:00:00' AND "

@@ -66,11 +66,6 @@ def kpis(spark: SparkSession, sf: str) -> DataFrame:
     return gold.daily_kpis(silver_table(spark, sf), ntz(COMPUTED), exact=True)
 
 
-def kpi_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """The indicators without percentiles, for the reports that show none."""
-    return gold.kpi_counts(clean_events(spark, sf))
-
-
 def hot_users(spark: SparkSession, sf: str) -> HotKeys:
     """Counted over the raw events, which takes one column and no cleaning."""
     return hot_keys(logs_raw(spark, sf), "user_id")
@@ -246,7 +241,7 @@ def daily_kpis(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def daily_kpis_approx(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.daily_kpis(clean_events(spark, sf), ntz(COMPUTED), accuracy=1_000_000)
+    return gold.daily_kpis(silver_table(spark, sf), ntz(COMPUTED), accuracy=1_000_000)
 
 
 @query
@@ -320,12 +315,12 @@ def sessions_resumed(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_table(spark, path, SESSIONS_DDL)
 
 
-# -- dashboard -------------------------------------------------------------------------------
+# -- dashboard: each report takes only the indicators it shows ---------------------------
 
 
 @query
 def kpi_error_trend(spark: SparkSession, sf: str) -> DataFrame:
-    return dashboard.error_trend(kpi_counts(spark, sf))
+    return dashboard.error_trend(gold.kpi_totals(clean_events(spark, sf)))
 
 
 @query
@@ -335,7 +330,7 @@ def kpi_latency_by_service(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def kpi_daily_active(spark: SparkSession, sf: str) -> DataFrame:
-    return dashboard.daily_active(kpi_counts(spark, sf))
+    return dashboard.daily_active(gold.kpi_uniques(clean_events(spark, sf)))
 
 
 @query
@@ -345,7 +340,7 @@ def kpi_top_endpoints(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def kpi_region_traffic(spark: SparkSession, sf: str) -> DataFrame:
-    return dashboard.region_traffic(kpi_counts(spark, sf))
+    return dashboard.region_traffic(gold.kpi_totals(clean_events(spark, sf)))
 
 
 @query
@@ -360,7 +355,7 @@ def kpi_session_buckets(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def kpi_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return dashboard.summary_counters(kpi_counts(spark, sf))
+    return dashboard.summary_counters(gold.kpi_counts(silver_table(spark, sf)))
 
 
 @query
@@ -433,6 +428,15 @@ def scd2_apply(spark: SparkSession, sf: str) -> DataFrame:
     return applied(spark, sf)
 
 
+@query
+def scd2_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Both loads applied to a stored history."""
+    path = scratch_dir(spark, "history")
+    for snapshot, at in zip(customers(spark, sf), LOADS, strict=True):
+        tables.upsert_history(spark, path, snapshot, KEY, COMPARED, ntz(at))
+    return tables.read_history(spark, path)
+
+
 @query
 def scd2_current(spark: SparkSession, sf: str) -> DataFrame:
     return history.current_rows(applied(spark, sf))
@@ -463,8 +467,8 @@ def compact_zorder(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def silver_by_date(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows per date of a rebalanced and cached Silver."""
-    spread = layout.cache_if_reused(layout.repartition_by_date(clean_events(spark, sf)))
+    """Rows per date of a rebalanced Silver."""
+    spread = layout.repartition_by_date(clean_events(spark, sf))
     return spread.groupBy("event_date").agg(F.count(F.lit(1)).alias("cnt"))
 
 

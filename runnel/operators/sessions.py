@@ -203,7 +203,7 @@ def _summary(
     df: DataFrame, session: str, events: Column, computed_at: Column | None
 ) -> DataFrame:
     return (
-        df.groupBy(session, "user_id", "event_date")
+        df.groupBy("user_id", session, "event_date")
         .agg(*_measures(events))
         .withColumn("_computed_at", now_or(computed_at))
     )

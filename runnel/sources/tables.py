@@ -6,10 +6,11 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from runnel.operators.history import scd2_apply, scd2_stage
 from runnel.operators.layout import compact, repartition_by_date
 from runnel.operators.upsert import upsert
 from runnel.plans.sizing import materialise
@@ -18,6 +19,7 @@ from runnel.schemas import BRONZE_DDL, DAILY_KPIS_DDL, SESSIONS_DDL, SILVER_DDL
 DATE_COL = "event_date"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 MAX_DATES = 5_000
+LOAD_COL = "_load"
 
 
 def _absent(error: AnalysisException) -> bool:
@@ -117,6 +119,44 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     replace_dates(upsert(touched, source, keys), path)
 
 
+def _open_versions(path: str) -> str:
+    return f"{path}/{LOAD_COL}=current"
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """Reads a stored history, open and closed versions."""
+    return read_table(spark, path).drop(LOAD_COL)
+
+
+def upsert_history(
+    spark: SparkSession,
+    path: str,
+    new: DataFrame,
+    key: str,
+    compare_cols: Sequence[str],
+    at: Column,
+) -> None:
+    """Loads a snapshot into a stored history; the first load creates it.
+
+    Open versions lie in one partition, the versions closed by a load in one of their own.
+    A load reads and rewrites the open ones only. It stores the closed versions first, so
+    a run that broke off can be repeated with the same ``at``.
+    """
+    load = F.when(F.col("is_current"), "current").otherwise(
+        F.date_format("effective_end_date", "yyyyMMddHHmmss")
+    )
+    if not table_exists(spark, _open_versions(path)):
+        first = scd2_stage(new, compare_cols, at).withColumn(LOAD_COL, load)
+        write_table(first, path, "overwrite", [LOAD_COL])
+        return
+    opened = spark.read.parquet(_open_versions(path))
+    applied, _ = materialise(
+        scd2_apply(opened, new, key, compare_cols, at).withColumn(LOAD_COL, load)
+    )
+    for part in (applied.where("NOT is_current"), applied.where("is_current")):
+        write_table(part, path, "overwrite", [LOAD_COL], dynamic=True)
+
+
 def compact_table(
     spark: SparkSession,
     source: str,

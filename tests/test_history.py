@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from runnel.functions.columns import row_checksum
 from runnel.operators import history, upsert
+from runnel.sources import tables
 from tests.helpers import multiset, rows
 
 DDL = "k int, a string, b double"
@@ -90,6 +91,21 @@ def test_as_of_reads_every_load_back(spark):
         history.history_as_of(past)
 
 
+def test_stored_history_equals_the_frames(spark, folder):
+    rng = random.Random(9)
+    snapshots = [
+        load(spark, [(k, rng.choice(["x", None]), 1.0) for k in rng.sample(range(30), 20)])
+        for _ in range(3)
+    ]
+    past = history.scd2_stage(snapshots[0], COLS, at(1))
+    for day, new in enumerate(snapshots, 1):
+        if day > 1:
+            past = history.scd2_apply(past, new, "k", COLS, at(day))
+        for _ in range(2):  # a repeated load changes nothing
+            tables.upsert_history(spark, f"{folder}/h", new, "k", COLS, at(day))
+        assert multiset(tables.read_history(spark, f"{folder}/h")) == multiset(past)
+
+
 def test_prune_keeps_current_and_recently_closed(spark):
     past = history.scd2_stage(load(spark, [(1, "x", 1.0), (2, "x", 1.0)]), COLS, at(1))
     past = history.scd2_apply(past, load(spark, [(1, "y", 1.0)]), "k", COLS, at(2))
