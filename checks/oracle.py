@@ -348,6 +348,15 @@ ORACLE: dict[str, str] = {
         "SELECT 'gold.daily_kpis', count(*), max(_computed_at) FROM kpis UNION ALL "
         "SELECT 'gold.session_summary', count(*), max(_computed_at) FROM sessions",
     ),
+    "sql_tables_health": logs(
+        f"SELECT 'bronze.raw_logs' AS table_name, count(*) AS row_count, "
+        f"TIMESTAMP '{COMPUTED}' AS last_updated FROM logs_raw UNION ALL "
+        f"SELECT 'silver.logs_cleaned', count(*), TIMESTAMP '{COMPUTED}' FROM silver_sql UNION ALL "
+        "SELECT 'gold.daily_kpis', count(*), max(_computed_at) FROM kpis UNION ALL "
+        f"SELECT 'gold.session_summary', count(*), TIMESTAMP '{COMPUTED}' FROM "
+        "(SELECT DISTINCT user_id, session_id, event_date FROM silver_sql)",
+        "kpis",
+    ),
     "kpis_upsert": logs("SELECT * FROM kpis", "kpis"),
     "sessions_upsert": sql(SESSION_NAMES, "SELECT * FROM sessions"),
     "scd2_initial": past("SELECT * FROM h"),

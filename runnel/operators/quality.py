@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -62,6 +62,18 @@ def value_flags(df: DataFrame) -> DataFrame:
     return df.withColumn("_dq_flags", F.concat(*marks))
 
 
+def observe_quality(
+    df: DataFrame, observation: Observation, cols: Sequence[str] = CRITICAL_COLS
+) -> DataFrame:
+    """The same rows; counts them while they are written, without a job of its own."""
+    return df.observe(
+        observation,
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(~any_null(cols)).alias("valid_rows"),
+        F.count_if(any_null(cols)).alias("quarantined_rows"),
+    )
+
+
 def dq_summary(
     df: DataFrame, cols: Sequence[str] = CRITICAL_COLS, key: str = "event_id"
 ) -> DataFrame:

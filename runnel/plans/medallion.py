@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 
 from runnel.operators.gold import daily_kpis
 from runnel.operators.layout import compact
-from runnel.operators.sessions import resumable_sessions
-from runnel.operators.silver import add_ingestion_metadata, clean, incremental, to_bronze
+from runnel.operators.sessions import resumable_sessions, session_summary_client
+from runnel.operators.silver import (
+    add_ingestion_metadata,
+    clean,
+    incremental,
+    to_bronze,
+    to_silver_sql,
+)
 from runnel.schemas import BRONZE_DDL, DAILY_KPIS_DDL, SESSIONS_DDL, SILVER_DDL
 from runnel.sources.raw import read_raw_logs
 from runnel.sources.tables import read_dates, read_table, replace_dates, write_table
@@ -94,6 +100,19 @@ def refresh_gold(
     replace_dates(resumable_sessions(silver, before, computed_at), tables.sessions)
 
 
+def rebuild_from_view(
+    spark: SparkSession, view: str, tables: Tables, at: Column | None = None
+) -> None:
+    """The SQL-only variant: every table is rebuilt from a view of the raw files.
+
+    Casts instead of cleaning, exact percentiles, and sessions named by the client.
+    """
+    write_table(to_silver_sql(spark.table(view), at), tables.silver, "overwrite")
+    silver = read_table(spark, tables.silver)
+    write_table(daily_kpis(silver, at, exact=True), tables.daily_kpis, "overwrite")
+    write_table(session_summary_client(silver, at), tables.sessions, "overwrite")
+
+
 def compact_gold(
     spark: SparkSession, tables: Tables, as_of: dt.date, days: int = 1, files: int | None = None
 ) -> None:

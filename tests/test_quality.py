@@ -1,5 +1,6 @@
 import datetime as dt
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from runnel.functions.columns import event_time, rounded, status_category
@@ -107,6 +108,13 @@ def test_summary_counts(spark):
     assert rows(quality.dq_summary(df.limit(0))) == [(0, 0, 0, 0)]
 
 
+def test_observed_counts_come_with_the_write(spark, folder):
+    df = raw(spark, raw_row("a"), raw_row("b"), raw_row("c", user_id=None))
+    seen = Observation()
+    quality.observe_quality(df, seen).write.parquet(f"{folder}/t")
+    assert seen.get == {"total_rows": 3, "valid_rows": 2, "quarantined_rows": 1}
+
+
 def test_schema_drift(spark):
     base = raw(spark, raw_row("a"), raw_row("b"))
     expected = struct(spark, RAW_DDL)
