@@ -249,6 +249,11 @@ def session_summary_client(silver: DataFrame, computed_at: Column | None = None)
     )
 
 
+def _origin(session_id: Column | str) -> Column:
+    """The first second of a session, from its id."""
+    return F.substring_index(session_id, "_", -1).try_cast("bigint")
+
+
 def open_sessions(previous_day: DataFrame) -> DataFrame:
     """Each user's last session of a day, as the starting point of the next day's chain."""
     last = F.max_by(
@@ -260,9 +265,7 @@ def open_sessions(previous_day: DataFrame) -> DataFrame:
         .select(
             "user_id",
             whole_seconds("_last.session_end").alias("_sec"),
-            F.substring_index("_last.derived_session_id", "_", -1)
-            .cast("bigint")
-            .alias("_carry"),
+            _origin("_last.derived_session_id").alias("_carry"),
             F.col("_last.session_end").alias("event_timestamp"),
         )
     )
@@ -287,3 +290,24 @@ def resumable_sessions(
     )
     events = [p.where(F.col("event_id").isNotNull()) for p in parts]
     return _numbered_summary(events, "session_origin", computed_at)
+
+
+def stale_dates(summary: DataFrame, timeout_mins: float = TIMEOUT_MINS) -> DataFrame:
+    """Dates of a resumable summary that do not fit the date before them.
+
+    A user's first session of a date must carry the id of its last earlier one if that one
+    was still open, else an id of its own. One row per user and date is compared.
+    """
+    days = summary.groupBy("user_id", "event_date").agg(
+        F.min("session_start").alias("_start"),
+        F.max("session_end").alias("_end"),
+        F.min_by("derived_session_id", "session_start").alias("_first"),
+        F.max_by("derived_session_id", "session_end").alias("_last"),
+    )
+    line = Window.partitionBy("user_id").orderBy("event_date")
+    opened = minutes_between(F.lag("_end").over(line), F.col("_start")) <= timeout_mins
+    due = F.when(opened, _origin(F.lag("_last").over(line))).otherwise(whole_seconds("_start"))
+    first_day = F.lag("event_date").over(line).isNull()
+    origin = _origin("_first")
+    fits = origin.eqNullSafe(due) | (first_day & (origin < whole_seconds("_start")))
+    return days.withColumn("_fits", fits).where("NOT _fits").select("event_date").distinct()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,11 @@ from pyspark.sql import functions as F
 
 from runnel.operators.gold import daily_kpis
 from runnel.operators.layout import compact
-from runnel.operators.sessions import resumable_sessions, session_summary_client
+from runnel.operators.sessions import (
+    resumable_sessions,
+    session_summary_client,
+    stale_dates,
+)
 from runnel.operators.silver import (
     add_ingestion_metadata,
     clean,
@@ -20,7 +25,14 @@ from runnel.operators.silver import (
 )
 from runnel.schemas import BRONZE_DDL, DAILY_KPIS_DDL, SESSIONS_DDL, SILVER_DDL
 from runnel.sources.raw import read_raw_logs
-from runnel.sources.tables import read_dates, read_table, replace_dates, write_table
+from runnel.sources.tables import (
+    read_dates,
+    read_table,
+    replace_dates,
+    write_table,
+)
+
+DAY = dt.timedelta(days=1)
 
 
 @dataclass(frozen=True)
@@ -79,7 +91,48 @@ def refresh_silver(
 
 def session_rows_before(spark: SparkSession, path: str, first: dt.date) -> DataFrame:
     """The session summary of the date before ``first``; no rows if there is none."""
-    return read_dates(spark, path, [first - dt.timedelta(days=1)], SESSIONS_DDL)
+    return read_dates(spark, path, [first - DAY], SESSIONS_DDL)
+
+
+def _runs(dates: Iterable[dt.date]) -> list[list[dt.date]]:
+    """Adjoining dates, in order."""
+    runs: list[list[dt.date]] = []
+    for day in sorted(set(dates)):
+        if runs and day == runs[-1][-1] + DAY:
+            runs[-1].append(day)
+        else:
+            runs.append([day])
+    return runs
+
+
+def refresh_sessions(
+    spark: SparkSession,
+    silver: str,
+    sessions: str,
+    dates: Iterable[dt.date],
+    computed_at: Column | None = None,
+) -> list[dt.date]:
+    """Recomputes the sessions of the given dates, and of later ones as far as they change.
+
+    A date depends on its events and on the sessions open at its first midnight. Whether a
+    later date still fits its predecessor is read off the summary itself, so a run that
+    broke off is completed by repeating it. Gives the recomputed dates.
+    """
+    todo, done = sorted(set(dates)), []
+    first = todo[0] if todo else None
+    while todo:
+        for run in _runs(todo):
+            events = read_dates(spark, silver, run, SILVER_DDL)
+            before = session_rows_before(spark, sessions, run[0])
+            replace_dates(resumable_sessions(events, before, computed_at), sessions)
+        done += todo
+        stored = read_table(spark, sessions, SESSIONS_DDL)
+        stale = stale_dates(stored.where(F.col("event_date") >= F.lit(first)))
+        found = sorted(r[0] for r in stale.collect())
+        if found and found[0] <= todo[0]:
+            raise ValueError(f"session ids of {sessions} do not hold the first second")
+        todo = found
+    return done
 
 
 def refresh_gold(

@@ -63,16 +63,22 @@ def read_dates(
         raise
 
 
+def date_values(df: DataFrame) -> list[dt.date | None] | None:
+    """The dates that occur in ``df``, or None if there are more than ``MAX_DATES``."""
+    found = df.select(DATE_COL).distinct().limit(MAX_DATES + 1).collect()
+    return [r[0] for r in found] if len(found) <= MAX_DATES else None
+
+
 def read_dates_of(
     spark: SparkSession, path: str, df: DataFrame, schema: str | StructType
 ) -> DataFrame:
-    """Reads the dates that occur in ``df``; beyond ``MAX_DATES`` by a semi-join."""
-    dates = df.select(F.col(DATE_COL).alias("_date")).distinct()
-    found = [r[0] for r in dates.limit(MAX_DATES + 1).collect()]
-    if len(found) <= MAX_DATES:
+    """Reads the dates that occur in ``df``; if they are too many, by a semi-join."""
+    found = date_values(df)
+    if found is not None:
         return read_dates(spark, path, found, schema)
     if not table_exists(spark, path):
         return spark.createDataFrame([], schema)
+    dates = df.select(F.col(DATE_COL).alias("_date")).distinct()
     whole = read_table(spark, path, schema)
     return whole.join(dates, F.col(DATE_COL).eqNullSafe(F.col("_date")), "left_semi")
 

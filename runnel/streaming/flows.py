@@ -16,10 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 from runnel.operators.gold import daily_kpis
 from runnel.operators.sessions import resumable_sessions
 from runnel.operators.silver import add_ingestion_metadata, clean, to_bronze
-from runnel.plans.medallion import session_rows_before
+from runnel.plans.medallion import refresh_sessions, session_rows_before
 from runnel.schemas import BRONZE_DDL, CORRUPT_COL, SILVER_DDL
 from runnel.sources.raw import READ_DDL
 from runnel.sources.tables import (
+    date_values,
     read_dates_of,
     read_table,
     replace_dates,
@@ -116,18 +117,18 @@ def refresh_touched(
 ) -> None:
     """Recomputes Gold from Silver for the dates of one batch, late events included.
 
-    Sessions are recomputed from the first touched date on, as a late event can join the
-    sessions of the next dates.
+    A late event can join sessions of the next dates; these follow as far as they change.
     """
     spark = batch.sparkSession
     dated = batch.where("event_date IS NOT NULL")
-    first: dt.date | None = dated.agg(F.min("event_date")).first()[0]
-    if first is None:
-        return
-    table = read_table(spark, silver, SILVER_DDL)
     touched = read_dates_of(spark, silver, dated, SILVER_DDL)
     replace_dates(daily_kpis(touched, computed_at, exact), kpis)
-    since = table.where(F.col("event_date") >= F.lit(first))
+    dates = date_values(dated)
+    if dates is not None:
+        refresh_sessions(spark, silver, sessions, dates, computed_at)
+        return
+    first: dt.date = dated.agg(F.min("event_date")).first()[0]
+    since = read_table(spark, silver, SILVER_DDL).where(F.col("event_date") >= F.lit(first))
     before = session_rows_before(spark, sessions, first)
     replace_dates(resumable_sessions(since, before, computed_at), sessions)
 

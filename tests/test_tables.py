@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from runnel.operators import layout, silver
-from runnel.plans.medallion import Tables, refresh_gold, refresh_silver, run_tables
+from runnel.operators.sessions import resumable_sessions, stale_dates
+from runnel.plans import medallion
+from runnel.plans.medallion import Tables, refresh_gold, refresh_sessions, refresh_silver, run_tables
 from runnel.plans.sizing import checked_broadcast, scratch_dir
 from runnel.schemas import (
     BRONZE_DDL,
@@ -267,3 +269,42 @@ def test_tables_flow_in_steps_equals_one_rebuild(spark, tmp_path, folder):
     refresh_silver(spark, steps)
     refresh_gold(spark, steps, computed_at=at)
     assert multiset(tables.read_table(spark, steps.sessions, SESSIONS_DDL)) == before
+
+
+def test_late_events_recompute_only_what_changes(spark, folder, monkeypatch):
+    at = F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz")
+    # u1 is active every 25 minutes for three days but for one hole; u2 now and then.
+    every = [(f"a{i}", "u1", BASE + dt.timedelta(minutes=25 * i)) for i in range(170)]
+    other = [(f"b{i}", "u2", BASE + dt.timedelta(hours=7 * i)) for i in range(17)]
+    hole = every.pop(20)
+    path, out = f"{folder}/silver", f"{folder}/sessions"
+
+    def arrive(*new):
+        tables.write_table(silver_rows(spark, *new), path)
+        done = refresh_sessions(spark, path, out, {e[2].date() for e in new}, at)
+        whole = resumable_sessions(tables.read_table(spark, path, SILVER_DDL), computed_at=at)
+        assert multiset(tables.read_table(spark, out, SESSIONS_DDL)) == multiset(whole)
+        return [(d - BASE.date()).days for d in done]
+
+    assert arrive(*every, *other) == [0, 1, 2, 3, 4, 5]
+    # Not near midnight and in a session of its own: the next dates stay as they are.
+    assert arrive(("late", "u2", BASE + dt.timedelta(hours=3))) == [0]
+    # Closes the hole: u1's session now has another first second on all its dates. The
+    # first try breaks off after two of them.
+    calls = []
+
+    def break_off(summary):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return stale_dates(summary)
+
+    tables.write_table(silver_rows(spark, hole), path)
+    with monkeypatch.context() as patch:
+        patch.setattr(medallion, "stale_dates", break_off)
+        with pytest.raises(RuntimeError, match="lost"):
+            refresh_sessions(spark, path, out, [BASE.date()], at)
+    assert refresh_sessions(spark, path, out, [BASE.date()], at) == [
+        BASE.date() + i * DAY for i in (0, 2, 3)
+    ]
+    assert arrive(("x", "u3", BASE + DAY), ("y", "u3", BASE + 4 * DAY)) == [1, 4]
