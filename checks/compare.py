@@ -75,7 +75,8 @@ def main() -> int:
         except Exception as error:
             found = f"{type(error).__name__}: {str(error)[:600]}"
         bad += bool(found)
-        print(f"{'DIFF' if found else 'ok  '} {name} {time.time() - start:.1f}s {found}", flush=True)
+        took = f"{time.time() - start:.1f}s"
+        print("DIFF" if found else "ok  ", name, took, found, flush=True)
     print(f"{len(names) - bad} of {len(names)} agree")
     return bad
 

@@ -158,7 +158,8 @@ def session_gaps(
             .agg(F.max(ts_col).alias("_last"))
             .withColumn("_far", F.lag("_last").over(Window.partitionBy("_m_user").orderBy("_m")))
         )
-        same_minute = F.col("_user").eqNullSafe(F.col("_m_user")) & (F.col("_minute") == F.col("_m"))
+        same_user = F.col("_user").eqNullSafe(F.col("_m_user"))
+        same_minute = same_user & (F.col("_minute") == F.col("_m"))
         chained = instants.join(minutes, same_minute, "left").select(
             "_user", "_ts", "_first", F.coalesce("_near", "_far").alias("_before")
         )

@@ -172,7 +172,8 @@ def compact_table(
     schema: str | StructType | None = None,
 ) -> None:
     """Rewrites a table into a new path, clustered along ``cols``."""
-    compact(read_table(spark, source, schema), cols, files).write.mode("errorifexists").parquet(target)
+    clustered = compact(read_table(spark, source, schema), cols, files)
+    clustered.write.mode("errorifexists").parquet(target)
 
 
 def create_tables(
