@@ -22,6 +22,7 @@ def value_sets(seed):
         "signs": [rng.uniform(-50, 50) for _ in range(101)] + [0.0, -0.0],
         "huge": [10.0 ** rng.randint(-300, 300) for _ in range(50)],
         "single": [7.25],
+        "endless": [1.0] + [float("inf")] * 40,
         None: [1.0, 2.0],
     }
 
@@ -37,6 +38,8 @@ def test_percentiles_equal_numpy(spark, broadcast_rows):
     assert set(got) == set(sets)
     for k, vs in sets.items():
         want = np.percentile(vs, [100 * p for p in PROBS.values()])
+        if k == "endless":
+            want = [1.0] + [float("inf")] * 4
         assert np.allclose(got[k], want, rtol=1e-12, atol=0), k
 
 
