@@ -58,6 +58,13 @@ SELECT * REPLACE (CASE WHEN CAST(substring(event_id, 5) AS BIGINT) % 3 = 0 THEN
   ELSE user_id END AS user_id) FROM silver
 """
 
+CROWDED = """
+SELECT * REPLACE (CASE WHEN hot THEN DATE '2024-01-20' ELSE event_date END AS event_date,
+  CASE WHEN hot THEN 'gateway' ELSE service END AS service,
+  CASE WHEN hot THEN 'us-east-1' ELSE region END AS region)
+FROM (SELECT *, CAST(substring(event_id, 5) AS BIGINT) % 3 = 0 AS hot FROM silver)
+"""
+
 KPIS = f"""
 SELECT event_date, service, region, count(event_id) AS total_requests,
   {ERRORS} AS total_errors, {rounded(percent(ERRORS, 'count(event_id)'))} AS error_rate_pct,
@@ -142,6 +149,10 @@ CTES = {
     "skewed": SKEWED,
     "kpis": KPIS.replace("quantile_X", "quantile_cont"),
     "kpis_approx": KPIS.replace("quantile_X", "quantile_disc"),
+    "crowded": CROWDED,
+    "kpis_crowded": KPIS.replace("quantile_X", "quantile_cont").replace(
+        "FROM silver", "FROM crowded"
+    ),
     "gaps": GAPS.replace("<events>", "silver"),
     "numbered": NUMBERED,
     "sessions": summary("numbered"),
@@ -256,6 +267,7 @@ ORACLE: dict[str, str] = {
         ["logs_raw"], "SELECT 'raw_logs' AS label, count(*) AS row_count FROM logs_raw"
     ),
     "daily_kpis": logs("SELECT * FROM kpis", "kpis"),
+    "daily_kpis_skewed": logs("SELECT * FROM kpis_crowded", "crowded", "kpis_crowded"),
     "daily_kpis_approx": logs("SELECT * FROM kpis_approx", "kpis_approx"),
     "kpis_latest": logs(
         "SELECT * FROM kpis ORDER BY event_date DESC, service, region LIMIT 10", "kpis"

@@ -243,6 +243,17 @@ def daily_kpis(spark: SparkSession, sf: str) -> DataFrame:
     return kpis(spark, sf)
 
 
+@query
+def daily_kpis_skewed(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact indicators with a third of all events in one cell."""
+    hot = F.substring("event_id", 5, 20).cast("bigint") % 3 == 0
+    cell = {"event_date": F.lit(SPLIT), "service": F.lit("gateway"), "region": F.lit("us-east-1")}
+    events = silver_table(spark, sf).withColumns(
+        {c: F.when(hot, v).otherwise(F.col(c)) for c, v in cell.items()}
+    )
+    return gold.daily_kpis(events, ntz(COMPUTED), exact=True)
+
+
 @query
 def daily_kpis_approx(spark: SparkSession, sf: str) -> DataFrame:
     return gold.daily_kpis(silver_table(spark, sf), ntz(COMPUTED), accuracy=1_000_000)
