@@ -14,81 +14,141 @@ is one row for each task.
 
 from __future__ import annotations
 
+import gc
 import hashlib
-from collections.abc import Sequence
+import time
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import xxhash
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runnel.llm.text import WordCodes, expand, map_texts, rolling, spaced_words
+from runnel.llm.text import checkpoint, expand, rolling, spaced_words
 
 WINDOW = 13
 SEED_WORDS = 5
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Bytes of text that are hashed in one step.
+STEP_BYTES = 1 << 21
+#: Low bits of a winnowing key that hold the position.
+PLACE_BITS = 24
+SPACES = (9, 10, 11, 12, 13, 32)
 
 
-def _coder() -> WordCodes:
-    return WordCodes(lambda w: xxhash.xxh3_64_intdigest(w, 7))
+def _byte_codes() -> np.ndarray:
+    codes = np.random.default_rng(13).integers(1, 1 << 64, 256, dtype=np.uint64)
+    codes[list(SPACES)] = 0
+    return codes
 
 
-def anchors(codes: np.ndarray, window: int = WINDOW, seed: int = SEED_WORDS):
-    """Hashes of the runs of ``seed`` words, and for each run of ``window`` words where its
-    anchor starts: the least hash in it, the last one of equals."""
+BYTE_CODES = _byte_codes()
+IS_SPACE = np.isin(np.arange(256), SPACES)
+
+
+def word_codes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word of all texts, and the number of its text.
+
+    A word's hash is a polynomial in its bytes' random codes, over the whole buffer at once.
+    """
+    buffer = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    space = IS_SPACE[buffer]
+    first = np.flatnonzero(~space[1:] & space[:-1]) + 1
+    if not space[0]:
+        first = np.concatenate([[0], first])
+    if not len(first):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    run = np.diff(np.append(first, len(buffer)))
+    inside = np.arange(len(buffer) - first[0]) - np.repeat(first - first[0], run)
+    powers = np.full(int(run.max()), BASES[1], np.uint64)
+    powers[0] = 1
+    powers = np.multiply.accumulate(powers)
+    codes = BYTE_CODES[buffer[first[0] :]] * powers[inside]
+    hashes = np.add.reduceat(codes, first - first[0])
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return hashes ^ (hashes >> np.uint64(32)), np.searchsorted(ends, first, side="right")
+
+
+def anchors(
+    codes: np.ndarray, of: np.ndarray, window: int = WINDOW, seed: int = SEED_WORDS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the runs of ``seed`` words; where runs of ``window`` words inside one text
+    start; and where the anchor of each of these starts: the least hash in it (by its high
+    bits), of equals the last."""
     grams = rolling(codes, seed, BASES[0])
     grams ^= grams >> np.uint64(33)
     grams *= np.uint64(0xFF51AFD7ED558CCD)
     grams ^= grams >> np.uint64(29)
     width = window - seed + 1
     if len(grams) < width:
-        return grams, np.zeros(0, np.int64)
-    least = grams[: len(grams) - width + 1].copy()
-    at = np.arange(len(least))
-    for i in range(1, width):
-        step = grams[i : i + len(least)]
-        lower = step <= least
-        least[lower] = step[lower]
-        at[lower] = np.flatnonzero(lower) + i
-    return grams, at
+        return grams, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    low = (1 << PLACE_BITS) - 1
+    place = np.arange(len(grams)) & low
+    keys = (grams & np.uint64(~low & (1 << 64) - 1)) | (low - place).astype(np.uint64)
+    least, size = keys, 1
+    while 2 * size <= width:
+        least, size = np.minimum(least[:-size], least[size:]), 2 * size
+    if size < width:
+        least = np.minimum(least[: len(keys) - width + 1], least[width - size :])
+    start = np.flatnonzero(of[: len(least)] == of[window - 1 : window - 1 + len(least)])
+    at = low - (least[start] & np.uint64(low)).astype(np.int64)
+    return grams, start, start + ((at - start) & low)
+
+
+def _steps(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Parts of the batches with about ``STEP_BYTES`` of text each."""
+    for batch in batches:
+        texts = [(x.as_py() or b"") for x in batch.column(text)]
+        first = size = 0
+        for i, t in enumerate(texts):
+            size += len(t)
+            if size >= STEP_BYTES or i + 1 == len(texts):
+                yield batch.slice(first, i + 1 - first), texts[first : i + 1]
+                first, size = i + 1, 0
 
 
 def _distinct_anchors(window: int):
-    def start():
-        known = _coder()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _steps(batches, 2):
+            codes, of = word_codes(texts)
+            grams, start, at = anchors(codes, of, window)
+            at = at[np.append(True, at[1:] != at[:-1])] if len(at) else at
+            doc, key = (part.column(i).to_numpy()[of[at]] for i in (0, 1))
+            columns = [grams[at].view(np.int64), doc, key]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "doc", "key"])
 
-        def one(doc, key, text):
-            grams, at = anchors(known.array(spaced_words(text)), window)
-            found = np.unique(grams[at]).view(np.int64)
-            return found, np.full(len(found), doc), np.full(len(found), key)
-
-        return one
-
-    return start
+    return run
 
 
 def _runs(window: int):
     """The runs of a document that a shared anchor belongs to."""
 
-    def start():
-        known = _coder()
-
-        def one(doc, key, text, shared):
-            codes = known.array(spaced_words(text))
-            grams, at = anchors(codes, window)
-            shared = np.array(shared, np.int64).view(np.uint64)
-            place = np.flatnonzero(np.isin(grams[at], shared))
-            first, second = (rolling(codes, window, b)[place] for b in BASES)
-            check = (second >> np.uint64(33)).astype(np.int32)
-            size = len(place)
-            return (
-                first.view(np.int64), check, np.full(size, doc), np.full(size, key),
-                place.astype(np.int32),
-            )
-
-        return one
-
-    return start
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _steps(batches, 2):
+            codes, of = word_codes(texts)
+            grams, start, at = anchors(codes, of, window)
+            lists = part.column(3)
+            shared = lists.flatten().to_numpy()
+            owner = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy())
+            # An anchor and its text as one number; what is equal by chance is sorted out later.
+            mark = np.uint64(BASES[1])
+            wanted = shared.view(np.uint64) + owner.astype(np.uint64) * mark
+            own = grams[at] + of[start].astype(np.uint64) * mark
+            kept = np.isin(own, wanted)
+            start = start[kept]
+            first, second = (rolling(codes, window, b)[start] for b in BASES)
+            text = of[start]
+            begin = np.searchsorted(of, text)
+            columns = [
+                first.view(np.int64), (second >> np.uint64(33)).astype(np.int32),
+                part.column(0).to_numpy()[text], part.column(1).to_numpy()[text],
+                (start - begin).astype(np.int32),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in columns], ["run", "check", "doc", "key", "place"]
+            )
+
+    return run
 
 
 def covered(places: Sequence[int], n_words: int, window: int = WINDOW) -> np.ndarray:
@@ -116,6 +176,18 @@ def _cut(window: int):
     return start
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps, which no plan refers to now.
+
+    Spark deletes them when the driver has collected its garbage; the plans are let go by
+    Python first, a moment later by the JVM.
+    """
+    for _ in range(3):
+        gc.collect()
+        time.sleep(0.3)
+        spark.sparkContext._jvm.System.gc()
+
+
 def remove_repeats(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -135,43 +207,32 @@ def remove_repeats(
         docs[f"`{id_col}`"].cast("long").alias("doc"),
         docs[f"`{text_col}`"].cast("string").alias("text"),
     )
-    texts = rows.where("doc IS NOT NULL").select("doc", F.xxhash64("text").alias("key"), "text")
-    copies = (
-        rows.where("doc IS NOT NULL")
-        .groupBy(F.xxhash64("text").alias("key"), F.hash("text").alias("check"))
+    named = rows.where("doc IS NOT NULL")
+    # Where an id has several rows, the text's hash tells them apart.
+    repeated = named.groupBy("doc").count().where("count > 1")
+    key = F.lit(0).cast("long") if repeated.isEmpty() else F.xxhash64("text")
+    texts = named.select("doc", key.alias("key"), "text")
+    copies = checkpoint(
+        named.groupBy(F.xxhash64("text").alias("at"), F.hash("text").alias("check"), key.alias("key"))
         .agg(F.min("doc").alias("doc"))
         .select("doc", "key", F.lit(False).alias("copy"))
     )
-    as_bytes = F.col("text").cast("binary")
+    shared = _shared_anchors(texts, copies, window)
+    release(docs.sparkSession)
     here = ["doc", "key"]
-
-    # Copies of a whole text are settled by the first of them; only firsts give anchors.
-    firsts = texts.join(copies.hint("shuffle_hash"), here)
-    seeds = expand(
-        firsts, [F.col("doc"), F.col("key"), as_bytes], _distinct_anchors(window),
-        "anchor long, doc long, key long",
-    )
-    shared = (
-        seeds.groupBy("anchor")
-        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-        .where("least < most")
-        .select("anchor")
+    runs = (
+        texts.join(shared.hint("shuffle_hash"), here)
+        .select("doc", "key", F.col("text").cast("binary"), "shared")
+        .mapInArrow(_runs(window), "run long, check int, doc long, key long, place int")
     )
-    of_doc = seeds.join(shared, "anchor").groupBy(*here).agg(F.collect_list("anchor").alias("shared"))
-
-    runs = expand(
-        texts.join(of_doc.hint("shuffle_hash"), here),
-        [F.col("doc"), F.col("key"), as_bytes, F.col("shared")], _runs(window),
-        "run long, check int, doc long, key long, place int",
-    )
-    repeated = (
+    least = (
         runs.groupBy("run", "check")
         .agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
         .where("least < most")
         .drop("most")
     )
     places = (
-        runs.join(repeated, ["run", "check"])
+        runs.join(least, ["run", "check"])
         .where("doc > least")
         .groupBy(*here)
         .agg(F.collect_list("place").alias("places"))
@@ -188,6 +249,27 @@ def remove_repeats(
     return _apply(found.unionByName(nameless), window, digest, f"n_words long, n_removed long, {kept}")
 
 
+def _shared_anchors(texts: DataFrame, copies: DataFrame, window: int) -> DataFrame:
+    """``doc, key, shared``: each document's anchors that other documents have too.
+
+    Copies of a whole text are settled by the first of them; only firsts give anchors.
+    """
+    here = ["doc", "key"]
+    seeds = (
+        texts.join(copies.hint("shuffle_hash"), here)
+        .select("doc", "key", F.col("text").cast("binary"))
+        .mapInArrow(_distinct_anchors(window), "anchor long, doc long, key long")
+    )
+    several = (
+        seeds.groupBy("anchor")
+        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+        .where("least < most")
+        .select("anchor")
+    )
+    of_doc = seeds.join(several, "anchor").groupBy(*here)
+    return checkpoint(of_doc.agg(F.collect_set("anchor").alias("shared")))
+
+
 def _apply(found: DataFrame, window: int, digest: bool, fields: str) -> DataFrame:
     def start():
         cut = _cut(window)()
