@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
@@ -49,6 +52,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def share(spark: SparkSession, value: object) -> Broadcast[bytes]:
+    """Broadcasts a value compressed: tables with many zeros take little room on disks."""
+    return spark.sparkContext.broadcast(zlib.compress(pickle.dumps(value, 5), 1))
+
+
+def shared_value(shared: Broadcast[bytes]):
+    return pickle.loads(zlib.decompress(shared.value))
+
+
 def as_binary(name: str) -> Column:
     return F.col(name).cast("string").cast("binary")
 

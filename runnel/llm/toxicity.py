@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runnel.llm.text import alnum_words, as_binary, checkpoint, map_texts
+from runnel.llm.text import alnum_words, as_binary, map_texts, share, shared_value
 
 ORDER = 6
 DISCOUNT = 0.75
@@ -311,7 +311,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> Curve:
 
 def _features_of(df: DataFrame, shared) -> DataFrame:
     def start():
-        return Scorer(shared.value).features
+        return Scorer(shared_value(shared)).features
 
     return map_texts(
         df, "text", start, ", ".join(f"{n} double" for n in FEATURES), ["toxic"]
@@ -369,7 +369,7 @@ def learn(
         some = train.where(F.xxhash64("id") <= F.lit(edge))
         parts = []
         for fold, cells in ((0, [[2], [3]]), (2, [[0], [1]])):
-            shared = spark.sparkContext.broadcast(_tables(rows, cells))
+            shared = share(spark, _tables(rows, cells))
             parts.append(_features_of(some.where(F.col("fold") == fold), shared))
         found = parts[0].unionByName(parts[1]).toArrow()
         x = np.column_stack(
@@ -387,10 +387,11 @@ def score_texts(
     A null or empty text has no words and gets the curve's value for that. Repeated rows are
     each scored; an empty table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def start():
-        scorer, curve = Scorer(shared.value.tables), shared.value.curve
+        learnt = shared_value(shared)
+        scorer, curve = Scorer(learnt.tables), learnt.curve
 
         def one(text):
             return (float(curve.score(np.array([scorer.features(text)]))[0]),)
