@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runnel.llm.text import share, shared_value
+
 ORDER = 6
 BITS = 20
 #: Weight of the shorter context against one count.
@@ -152,7 +154,7 @@ def _ratio_column(df: DataFrame, shared, url: str, keep: Sequence[str]) -> DataF
     out = f"row {picked.schema['row'].dataType.simpleString()}, ratio double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared_value(shared)
         for batch in batches:
             for a in range(0, batch.num_rows, 2000):
                 part = batch.slice(a, 2000)
@@ -184,7 +186,7 @@ def learn(examples: DataFrame) -> Markov:
         return both
     scored = []
     for half, cells in ((0, (2, 3)), (1, (0, 1))):
-        shared = spark.sparkContext.broadcast(Markov(table[:, cells[0]], table[:, cells[1]]))
+        shared = share(spark, Markov(table[:, cells[0]], table[:, cells[1]]))
         some = (
             examples.where(F.col("cell") == 2 * half)
             .orderBy(F.xxhash64("text"))
@@ -221,7 +223,7 @@ def judge_urls(
     half = F.pmod(F.xxhash64("text"), F.lit(2))
     examples = rows.select("text", (rejected + 2 * half).alias("cell"))
     model = learn(examples)
-    shared = pages.sparkSession.sparkContext.broadcast(model)
+    shared = share(pages.sparkSession, model)
     scored = _ratio_column(rows, shared, "text", ["page_id", "host", "path", "found"])
     by_ratio = F.when(F.col("ratio") < F.lit(model.threshold), "block").otherwise("allow")
     return scored.select(
