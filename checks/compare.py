@@ -8,6 +8,7 @@ from __future__ import annotations
 import glob
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -26,6 +27,7 @@ def session(cpus: str = "8") -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", f"file:{tempfile.mkdtemp(prefix='runnel-')}")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

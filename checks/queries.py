@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -38,8 +40,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        context = spark.sparkContext
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if not named and context.master.startswith("local"):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="runnel-"))
+        return fn(spark, sf)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 # -- shared inputs ---------------------------------------------------------------------

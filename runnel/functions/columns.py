@@ -30,6 +30,14 @@ def event_time(raw: Column | str) -> Column:
     return F.when(c.rlike(RAW_TIME_SHAPE), c.try_cast("timestamp_ntz"))
 
 
+def zoned_time(raw: Column | str) -> Column:
+    """Time text to UTC wall time: an offset counts, text without one is UTC already."""
+    c = col(raw)
+    instant = F.to_utc_timestamp(c.try_cast("timestamp"), F.current_timezone())
+    zoned = c.rlike(r"\d:\d{2}.*(?:Z|[+-]\d{2}(?::?\d{2})?)$")
+    return F.when(zoned, instant.cast("timestamp_ntz")).otherwise(c.try_cast("timestamp_ntz"))
+
+
 def whole_seconds(ts: Column | str) -> Column:
     return F.unix_timestamp(col(ts))
 

@@ -98,7 +98,7 @@ def history_as_of(
         moments = loads.where("_at IS NOT NULL").distinct().orderBy("_at")
         ts = moments.offset(version).limit(1).scalar()
     elif ts is None:
-        raise ValueError("Provide version or timestamp")
+        raise ValueError("an as-of read needs a time or a version number")
     end = F.col("effective_end_date")
     return history.where((F.col("effective_start_date") <= ts) & (end.isNull() | (ts < end)))
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import os
+import math
+from bisect import bisect_left
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, StringType
 
-from runnel.functions.columns import col
-
-BUCKET_BITS = 6
+#: Rows from which the bounds of the buckets are taken.
+SAMPLE_ROWS = 16_384
+#: Buckets of a column, and z-values in all, as powers of two.
+MOST_BITS, CELL_BITS = 8, 20
+ROWS_PER_FILE = 5_000_000
 
 
 def repartition_by_date(
@@ -31,66 +33,89 @@ def cache_if_reused(df: DataFrame, uses: int = 2) -> DataFrame:
     return df.persist() if uses > 1 else df
 
 
-def _proxy(df: DataFrame, name: str, low: str | None, high: str | None) -> Column:
-    """A number in the order of the column, to cut it into buckets."""
-    kind = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(kind, StringType):
-        # The seven bytes after the prefix common to all values, as one number.
-        ends = [(v or "").encode() for v in (low, high)]
-        start = len(os.path.commonprefix(ends)) + 1
-        head = F.hex(F.substring(F.encode(c, "utf-8"), start, 7))
-        return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("bigint")
-    if isinstance(kind, DateType):
-        return F.unix_date(c)
-    if isinstance(kind, NumericType):
-        return c
-    return F.unix_timestamp(c)
-
-
-def _bucket(x: Column, bounds: Sequence[float], first: int = 0) -> Column:
+def _bounds(values: Sequence, buckets: int) -> list:
+    """The values at which a new bucket starts, so that the buckets hold nearly equal shares."""
+    known = sorted(v for v in values if v is not None and v == v)
+    places = [i for i, v in enumerate(known) if i == 0 or v != known[i - 1]]
+    cuts = set()
+    for b in range(1, buckets):
+        want = b * len(known) / buckets
+        j = bisect_left(places, want)
+        near = [k for k in (j - 1, j) if 0 < k < len(places)]
+        cuts |= {min(near, key=lambda k: abs(places[k] - want))} if near else set()
+    return [known[places[k]] for k in sorted(cuts)]
+
+
+def _bucket(x: Column, bounds: Sequence[Column], first: int = 0) -> Column:
     """Binary search for the number of bounds not above ``x``."""
     if not bounds:
         return F.lit(first)
     mid = len(bounds) // 2
-    return F.when(x < F.lit(bounds[mid]), _bucket(x, bounds[:mid], first)).otherwise(
+    return F.when(x < bounds[mid], _bucket(x, bounds[:mid], first)).otherwise(
         _bucket(x, bounds[mid + 1 :], first + mid + 1)
     )
 
 
-def z_value(df: DataFrame, cols: Sequence[str], bits: int = BUCKET_BITS) -> Column:
-    """Interleaved bits of the columns' quantile buckets.
+def bucket_bits(files: int, columns: int) -> int:
+    """Bits for each column: four buckets more along each than the files need."""
+    needed = math.ceil(math.log2(max(files, 2)) / columns) + 2
+    return min(needed, MOST_BITS, CELL_BITS // columns)
 
-    Bounds come from one sketch aggregation: a row of at most ``2 ** bits`` numbers a column.
+
+def z_value(df: DataFrame, cols: Sequence[str], bits: int) -> Column:
+    """Interleaved bits of the columns' buckets; a null lies in the first bucket.
+
+    The buckets' bounds are whole values, taken from ``SAMPLE_ROWS`` rows chosen by hash.
     """
-    texts = [c for c in cols if isinstance(df.schema[c].dataType, StringType)]
-    ends = (
-        df.agg(*[F.struct(F.min(c), F.max(c)).alias(c) for c in texts]).first() if texts else {}
-    )
-    proxies = {c: _proxy(df, c, *(ends[c] if c in texts else (None, None))) for c in cols}
-    steps = [i / 2**bits for i in range(1, 2**bits)]
-    bounds = df.agg(*[F.percentile_approx(proxies[c], steps).alias(c) for c in cols]).first()
+    chosen = df.select(*cols, F.xxhash64(*df.columns).alias("_at")).orderBy("_at")
+    sample = chosen.limit(SAMPLE_ROWS).collect()
     z = F.lit(0).cast("bigint")
     for place, c in enumerate(cols):
-        cuts = sorted(set(bounds[c] or []))
-        bucket = F.coalesce(_bucket(proxies[c], cuts), F.lit(0)).cast("bigint")
+        kind = df.schema[c].dataType
+        cuts = [F.lit(v).cast(kind) for v in _bounds([r[c] for r in sample], 2**bits)]
+        bucket = F.coalesce(_bucket(F.col(c), cuts), F.lit(0)).cast("bigint")
         for bit in range(bits):
             one = F.shiftright(bucket, bit).bitwiseAND(F.lit(1).cast("bigint"))
             z = z + F.shiftleft(one, bit * len(cols) + place)
     return z
 
 
+def _file_cells(keyed: DataFrame, files: int) -> DataFrame:
+    """For each z-value its first file and how many files it fills, by exact counts.
+
+    There are at most ``2 ** CELL_BITS`` z-values, so their running sum is one small task.
+    """
+    counted = keyed.groupBy("_z").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_z").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    share = F.sum("_n").over(Window.partitionBy()) / F.lit(files)
+    cells = counted.select("_z", "_n", start.alias("_start"), share.alias("_share"))
+    small = F.col("_n") < F.col("_share")
+    middle = F.floor((F.col("_start") + F.col("_n") / 2) / F.col("_share"))
+    first = F.round(F.col("_start") / F.col("_share"))
+    last = F.round((F.col("_start") + F.col("_n")) / F.col("_share"))
+    return cells.select(
+        "_z",
+        F.when(small, middle).otherwise(first).cast("int").alias("_first"),
+        F.when(small, 1).otherwise(F.greatest(last - first, F.lit(1))).cast("int").alias("_span"),
+    )
+
+
 def compact(
     df: DataFrame, cols: Sequence[str] | None = None, files: int | None = None
 ) -> DataFrame:
     """The same rows in fewer, larger partitions, clustered along ``cols`` if given.
 
-    Ranges run over the z-value and a row hash, so rows that agree in every clustering
-    column still spread over tasks.
+    Files are cut on exact counts of z-values. Rows that agree in every clustering column
+    are spread by their hash over as many files as they fill.
     """
     if not cols:
         return df.repartition(files) if files else df.hint("rebalance")
-    keyed = df.withColumns({"_z": z_value(df, cols), "_h": F.xxhash64(*df.columns)})
-    by = [col("_z"), col("_h")]
-    ranged = keyed.repartitionByRange(files, *by) if files else keyed.repartitionByRange(*by)
-    return ranged.sortWithinPartitions("_z", *cols).drop("_z", "_h")
+    if files is None:
+        files = max(1, math.ceil(df.count() / ROWS_PER_FILE))
+    keyed = df.withColumn("_z", z_value(df, cols, bucket_bits(files, len(cols))))
+    placed = keyed.join(F.broadcast(_file_cells(keyed, files)), "_z")
+    spread = F.pmod(F.xxhash64(*df.columns), F.col("_span")).cast("int")
+    number = F.least(F.col("_first") + spread, F.lit(files - 1))
+    ranged = placed.repartitionById(files, number)
+    return ranged.sortWithinPartitions("_z", *cols).select(*df.columns)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runnel.functions.columns import event_time, now_or, status_category
+from runnel.functions.columns import event_time, now_or, status_category, zoned_time
 from runnel.operators.quality import dedup_latest, split_nulls, value_flags
 from runnel.schemas import CORRUPT_COL, CRITICAL_COLS, RAW_DDL, SILVER_DDL, column_names
 
@@ -60,7 +60,7 @@ def drop_null_critical(df: DataFrame) -> DataFrame:
 
 def to_silver_sql(df: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """The cast-only Silver variant: no deduplication, flags or source file."""
-    time = F.col("timestamp").try_cast("timestamp_ntz")
+    time = zoned_time("timestamp")
     code = F.col("status_code").try_cast("int")
     computed = {
         "event_timestamp": time,

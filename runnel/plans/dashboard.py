@@ -98,6 +98,7 @@ def error_heatmap(silver: DataFrame) -> DataFrame:
 
 def session_buckets(sessions: DataFrame) -> DataFrame:
     mins = F.col("session_duration_mins")
+    # Limits and names of the buckets.
     bucket = (
         F.when(mins < 1, "< 1 min")
         .when(mins < 5, "1-5 mins")

@@ -9,8 +9,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runnel.functions.columns import event_time
 from runnel.operators.gold import daily_kpis
 from runnel.operators.layout import compact
+from runnel.operators.quality import split_nulls
 from runnel.operators.sessions import (
     resumable_sessions,
     session_summary_client,
@@ -23,9 +25,10 @@ from runnel.operators.silver import (
     to_bronze,
     to_silver_sql,
 )
-from runnel.schemas import BRONZE_DDL, DAILY_KPIS_DDL, SESSIONS_DDL, SILVER_DDL
+from runnel.schemas import BRONZE_DDL, CRITICAL_COLS, DAILY_KPIS_DDL, SESSIONS_DDL, SILVER_DDL
 from runnel.sources.raw import read_raw_logs
 from runnel.sources.tables import (
+    date_values,
     read_dates,
     read_table,
     replace_dates,
@@ -64,29 +67,61 @@ class Tables:
 
 def load_bronze(
     spark: SparkSession, raw: str, tables: Tables, ingested_at: Column | None = None
-) -> None:
-    """Appends raw files. Pass only new files, or use the stream, which keeps track of them.
+) -> DataFrame:
+    """Appends raw files, and gives their rows. Pass only new files, or use the stream.
 
     Raw files are landed by day and so hold few dates each: no shuffle before the write.
     """
     raw_logs = add_ingestion_metadata(read_raw_logs(spark, raw), ingested_at=ingested_at)
-    write_table(to_bronze(raw_logs), tables.bronze, gather=False)
+    rows = to_bronze(raw_logs)
+    write_table(rows, tables.bronze, gather=False)
+    return rows
+
+
+def _silver_date() -> Column:
+    return F.to_date(event_time("timestamp"))
+
+
+def _in_dates(day: Column, dates: Iterable[dt.date | None]) -> Column:
+    dates = list(dates)
+    return day.isin([d for d in dates if d is not None]) | (day.isNull() & F.lit(None in dates))
+
+
+def touched_dates(
+    spark: SparkSession, tables: Tables, arrived: DataFrame
+) -> list[dt.date | None] | None:
+    """All dates, in Bronze and in Silver, of the new rows and of older copies of them.
+
+    None if they are more than ``MAX_DATES``.
+    """
+    bronze = read_table(spark, tables.bronze, BRONZE_DDL)
+    ids = arrived.select("event_id").where("event_id IS NOT NULL").distinct()
+    copies = bronze.join(ids, "event_id", "left_semi")
+    both = [d.select(F.explode(F.array("event_date", _silver_date()))) for d in (arrived, copies)]
+    return date_values(both[0].unionByName(both[1]).toDF("event_date"))
 
 
 def refresh_silver(
-    spark: SparkSession, tables: Tables, as_of: dt.date | None = None, days: int = 1
+    spark: SparkSession, tables: Tables, dates: Iterable[dt.date | None] | None = None
 ) -> None:
-    """Cleans all of Bronze, or the recent dates and the rows without a date.
+    """Cleans all of Bronze, or some dates of Silver (None: the rows without a date).
 
-    Whole dates are replaced, so a repeated run does not add copies.
+    Whole dates are replaced, so a repeated run does not add copies, and a date whose rows
+    have all moved is emptied. The copies of an event are looked for on all dates.
     """
     bronze = read_table(spark, tables.bronze, BRONZE_DDL)
-    if as_of is not None:
-        first = F.lit(as_of - dt.timedelta(days=days))
-        bronze = bronze.where(F.col("event_date").isNull() | (F.col("event_date") >= first))
-    silver, quarantine = clean(bronze)
-    replace_dates(quarantine, tables.quarantine)
-    replace_dates(silver, tables.silver)
+    if dates is None:
+        silver, quarantine = clean(bronze)
+        write_table(quarantine, tables.quarantine, "overwrite")
+        write_table(silver, tables.silver, "overwrite")
+        return
+    dates = list(dates)
+    ids = bronze.where(_in_dates(_silver_date(), dates)).select("event_id")
+    ids = ids.where("event_id IS NOT NULL").distinct()
+    silver, _ = clean(bronze.join(ids, "event_id", "left_semi"))
+    replace_dates(silver.where(_in_dates(F.col("event_date"), dates)), tables.silver, dates)
+    rejected = split_nulls(bronze.where(_in_dates(F.col("event_date"), dates)), CRITICAL_COLS)[1]
+    replace_dates(rejected, tables.quarantine, dates)
 
 
 def session_rows_before(spark: SparkSession, path: str, first: dt.date) -> DataFrame:
@@ -124,7 +159,7 @@ def refresh_sessions(
         for run in _runs(todo):
             events = read_dates(spark, silver, run, SILVER_DDL)
             before = session_rows_before(spark, sessions, run[0])
-            replace_dates(resumable_sessions(events, before, computed_at), sessions)
+            replace_dates(resumable_sessions(events, before, computed_at), sessions, run)
         done += todo
         stored = read_table(spark, sessions, SESSIONS_DDL)
         stale = stale_dates(stored.where(F.col("event_date") >= F.lit(first)))
@@ -138,19 +173,22 @@ def refresh_sessions(
 def refresh_gold(
     spark: SparkSession,
     tables: Tables,
-    as_of: dt.date | None = None,
-    days: int = 1,
+    dates: Iterable[dt.date | None] | None = None,
     computed_at: Column | None = None,
     exact: bool = False,
 ) -> None:
-    """Recomputes both Gold tables for all dates, or for ``as_of`` and the days before it."""
-    silver = read_table(spark, tables.silver, SILVER_DDL).where("event_date IS NOT NULL")
-    before = None
-    if as_of is not None:
-        silver = incremental(silver, as_of, days)
-        before = session_rows_before(spark, tables.sessions, as_of - dt.timedelta(days=days))
-    replace_dates(daily_kpis(silver, computed_at, exact), tables.daily_kpis)
-    replace_dates(resumable_sessions(silver, before, computed_at), tables.sessions)
+    """Recomputes both Gold tables for all dates, or for some and what follows from them."""
+    if dates is None:
+        silver = read_table(spark, tables.silver, SILVER_DDL).where("event_date IS NOT NULL")
+        write_table(daily_kpis(silver, computed_at, exact), tables.daily_kpis, "overwrite")
+        whole = resumable_sessions(silver, None, computed_at)
+        write_table(whole, tables.sessions, "overwrite")
+        return
+    days = sorted({d for d in dates if d is not None})
+    if days:
+        silver = read_dates(spark, tables.silver, days, SILVER_DDL)
+        replace_dates(daily_kpis(silver, computed_at, exact), tables.daily_kpis, days)
+        refresh_sessions(spark, tables.silver, tables.sessions, days, computed_at)
 
 
 def rebuild_from_view(
@@ -190,11 +228,20 @@ def run_tables(
     at: Column | None = None,
     exact: bool = False,
 ) -> Tables:
-    """The stages in order; without ``as_of`` everything is recomputed."""
+    """The stages in order; without ``as_of`` everything is recomputed.
+
+    With it, the dates that the new files touch are recomputed, however old, and the
+    ``days`` up to ``as_of``.
+    """
     tables = Tables(root)
-    load_bronze(spark, raw, tables, at)
-    refresh_silver(spark, tables, as_of, days)
-    refresh_gold(spark, tables, as_of, days, at, exact)
+    arrived = load_bronze(spark, raw, tables, at)
+    dates = None
+    if as_of is not None:
+        dates = touched_dates(spark, tables, arrived)
+        recent = {as_of - i * DAY for i in range(days + 1)}
+        dates = None if dates is None else [*recent, *(d for d in dates if d not in recent)]
+    refresh_silver(spark, tables, dates)
+    refresh_gold(spark, tables, dates, at, exact)
     if as_of is not None:
         compact_gold(spark, tables, as_of, days)
     return tables

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass
 
@@ -15,15 +14,11 @@ MAX_HOT_KEYS = 1_000
 
 
 def scratch_base(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only in local mode."""
+    """The shared folder named by ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not base:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    base = tempfile.mkdtemp(prefix="runnel-")
-    spark.sparkContext.setCheckpointDir(base)
-    return base
+    return base.rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from runnel.operators.history import scd2_apply, scd2_stage
 from runnel.operators.layout import compact, repartition_by_date
-from runnel.operators.upsert import upsert
+from runnel.operators.upsert import require_unique, upsert
 from runnel.plans.sizing import materialise
 from runnel.schemas import BRONZE_DDL, DAILY_KPIS_DDL, SESSIONS_DDL, SILVER_DDL
 
@@ -102,9 +102,32 @@ def write_table(
     writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path)
 
 
-def replace_dates(df: DataFrame, path: str) -> None:
-    """Replaces the dates that occur in ``df``; running it again changes nothing."""
-    write_table(df, path, "overwrite", dynamic=True)
+def replace_dates(
+    df: DataFrame, path: str, dates: Sequence[dt.date | None] | None = None
+) -> None:
+    """Replaces the dates that occur in ``df``; running it again changes nothing.
+
+    Of ``dates``, those without rows in ``df`` are emptied.
+    """
+    if dates is None:
+        write_table(df, path, "overwrite", dynamic=True)
+        return
+    kept, _ = materialise(df)
+    found = {r[0] for r in kept.select(DATE_COL).distinct().collect()}
+    write_table(kept, path, "overwrite", dynamic=True)
+    drop_dates(df.sparkSession, path, [d for d in dates if d not in found])
+
+
+def _folder(value: dt.date | None) -> str:
+    return f"{DATE_COL}={NULL_PARTITION if value is None else value.isoformat()}"
+
+
+def drop_dates(spark: SparkSession, path: str, dates: Sequence[dt.date | None]) -> None:
+    """Deletes the folders of some dates; absent ones are passed over."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for value in dates:
+        folder = hadoop(f"{path}/{_folder(value)}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_quarantine(df: DataFrame, path: str) -> None:
@@ -115,13 +138,18 @@ def write_quarantine(df: DataFrame, path: str) -> None:
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str]) -> None:
     """Replaces matching rows and adds the others, rewriting only the touched dates.
 
-    ``keys`` contains the date, so rows that match lie in a touched partition.
+    ``keys`` contains the date, so rows that match lie in a touched partition. Columns that
+    only the target or only the source has are kept. Two source rows with one key are an
+    error.
     """
     if not table_exists(spark, path):
+        require_unique(source, keys)
         write_table(source, path, "overwrite")
         return
     source, _ = materialise(source)
-    touched = read_dates_of(spark, path, source, source.schema)
+    require_unique(source, keys)
+    stored = read_table(spark, path, merge=True).schema
+    touched = read_dates_of(spark, path, source, stored)
     replace_dates(upsert(touched, source, keys), path)
 
 
@@ -146,10 +174,12 @@ def upsert_history(
 
     Open versions lie in one partition, the versions closed by a load in one of their own.
     A load reads and rewrites the open ones only. It stores the closed versions first, so
-    a run that broke off can be repeated with the same ``at``.
+    a run that broke off can be repeated with the same ``at``. ``at`` must not lie before an
+    earlier load, nor name another snapshot's load; keys must be unique in the snapshot.
     """
+    require_unique(new, [key])
     load = F.when(F.col("is_current"), "current").otherwise(
-        F.date_format("effective_end_date", "yyyyMMddHHmmss")
+        F.date_format("effective_end_date", "yyyyMMddHHmmssSSSSSS")
     )
     if not table_exists(spark, _open_versions(path)):
         first = scd2_stage(new, compare_cols, at).withColumn(LOAD_COL, load)
@@ -159,6 +189,11 @@ def upsert_history(
     applied, _ = materialise(
         scd2_apply(opened, new, key, compare_cols, at).withColumn(LOAD_COL, load)
     )
+    last = opened.select(
+        F.max(F.col("effective_start_date") > at), F.max(F.col("effective_start_date") == at)
+    ).first()
+    if last[0] or (last[1] and not applied.where("NOT is_current").isEmpty()):
+        raise ValueError("a load must be later than every load before it")
     for part in (applied.where("NOT is_current"), applied.where("is_current")):
         write_table(part, path, "overwrite", [LOAD_COL], dynamic=True)
 
@@ -180,7 +215,7 @@ def create_tables(
     spark: SparkSession, root: str, databases: Sequence[str] = ("bronze", "silver", "gold")
 ) -> list[str]:
     """Declares the databases and the four tables below ``root``; gives the table names."""
-    comments = ["Raw ingested data", "Cleaned and validated data", "Business KPIs and aggregates"]
+    comments = ["events as received", "checked and typed events", "indicators and sessions"]
     for name, comment in zip(databases, comments, strict=True):
         spark.sql(
             f"CREATE DATABASE IF NOT EXISTS {name} COMMENT '{comment}' LOCATION '{root}/{name}'"

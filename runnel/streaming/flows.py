@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from runnel.operators.gold import daily_kpis
+from runnel.operators.quality import dedup_latest
 from runnel.operators.sessions import resumable_sessions
 from runnel.operators.silver import add_ingestion_metadata, clean, to_bronze
 from runnel.plans.medallion import refresh_sessions, session_rows_before
@@ -21,6 +22,7 @@ from runnel.schemas import BRONZE_DDL, CORRUPT_COL, SILVER_DDL
 from runnel.sources.raw import READ_DDL
 from runnel.sources.tables import (
     date_values,
+    read_dates,
     read_dates_of,
     read_table,
     replace_dates,
@@ -60,8 +62,9 @@ def stream_bronze(
 def add_to_silver(
     batch: DataFrame, silver: str, quarantine: str, batch_id: int, all_dates: bool = False
 ) -> None:
-    """Cleans one Bronze batch and appends the events that Silver does not hold yet.
+    """Cleans one Bronze batch and puts it into Silver; of copies the latest counts.
 
+    The batch's dates are read, merged and replaced, so a repeated batch changes nothing.
     Copies of an event carry its time, so only the batch's dates are searched. Where a copy
     may carry another time, ``all_dates`` searches the whole table.
     """
@@ -71,13 +74,19 @@ def add_to_silver(
     write_table(parted, quarantine, "overwrite", ["_batch"], dynamic=True)
     fresh = fresh.persist()
     try:
-        if not all_dates:
-            held = read_dates_of(spark, silver, fresh, SILVER_DDL)
+        dates = date_values(fresh)
+        if all_dates and table_exists(spark, silver):
+            stored = read_table(spark, silver, SILVER_DDL)
+            moved = stored.join(fresh.select("event_id"), "event_id", "left_semi")
+            dates = date_values(moved.select("event_date").unionByName(fresh.select("event_date")))
+        if dates is not None:
+            held = read_dates(spark, silver, dates, SILVER_DDL)
         elif table_exists(spark, silver):
             held = read_table(spark, silver, SILVER_DDL)
         else:
             held = spark.createDataFrame([], SILVER_DDL)
-        write_table(fresh.join(held.select("event_id"), "event_id", "left_anti"), silver)
+        merged = dedup_latest(held.unionByName(fresh))
+        replace_dates(merged, silver, dates)
     finally:
         fresh.unpersist()
 

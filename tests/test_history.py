@@ -87,7 +87,7 @@ def test_as_of_reads_every_load_back(spark):
         assert multiset(history.history_as_of(past, at(i + 1)).select("k", "a", "b")) == want
         assert multiset(history.history_as_of(past, version=i).select("k", "a", "b")) == want
     assert history.history_as_of(past, version=3).count() == 0
-    with pytest.raises(ValueError, match="version or timestamp"):
+    with pytest.raises(ValueError, match="time or a version"):
         history.history_as_of(past)
 
 
@@ -128,3 +128,19 @@ def test_append_evolving_fills_missing_columns(spark):
     old = spark.createDataFrame([(1,)], "a int")
     new = spark.createDataFrame([(2, "x")], "a int, b string")
     assert rows(upsert.append_evolving(old, new)) == [(1, None), (2, "x")]
+
+
+def test_loads_in_one_second_keep_all_versions(spark, folder):
+    def moment(text):
+        return F.lit(f"2024-01-01 00:00:00.{text}").cast("timestamp_ntz")
+
+    for text, value in (("100", "a"), ("500", "b"), ("900", "c")):
+        tables.upsert_history(spark, f"{folder}/h", load(spark, [(1, value, 1.0)]), "k", COLS, moment(text))
+    assert rows(tables.read_history(spark, f"{folder}/h"), "a") == [("a",), ("b",), ("c",)]
+    for text, value in (("900", "d"), ("200", "d")):
+        with pytest.raises(ValueError, match="later than every load"):
+            tables.upsert_history(spark, f"{folder}/h", load(spark, [(1, value, 1.0)]), "k", COLS, moment(text))
+    with pytest.raises(ValueError, match="several rows"):
+        tables.upsert_history(
+            spark, f"{folder}/h", load(spark, [(1, "x", 1.0), (1, "y", 1.0)]), "k", COLS, at(9)
+        )

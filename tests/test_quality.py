@@ -176,3 +176,12 @@ def test_incremental_takes_today_and_yesterday(spark):
     df = spark.createDataFrame(days, "event_date date")
     out = silver.incremental(df, dt.date(2024, 1, 30))
     assert [r[0].day for r in rows(out)] == [29, 30, 31]
+
+
+def test_time_offsets_count(spark):
+    from runnel.functions.columns import zoned_time
+
+    texts = ["2024-01-10T00:30:00+02:00", "2024-01-10T00:30:00.000Z", "2024-01-10 00:30:00", "2024-01-10", "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r[0] for r in df.select(zoned_time("t").cast("string")).collect()]
+    assert found == ["2024-01-09 22:30:00", "2024-01-10 00:30:00", "2024-01-10 00:30:00", "2024-01-10 00:00:00", None]

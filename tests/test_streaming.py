@@ -105,3 +105,11 @@ def test_backlog_is_cut_into_batches(spark, tmp_path, folder):
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
     assert read_table(spark, f"{folder}/bronze", BRONZE_DDL).count() == 18
+
+
+def test_changed_copy_replaces_the_earlier_one(spark, tmp_path, folder):
+    for i, code in enumerate((200, 503)):
+        clock = F.lit(dt.datetime(2024, 2, 1 + i)).cast("timestamp_ntz")
+        write_lines(tmp_path / "raw", [json.dumps(dict(event(1, 0), status_code=code))])
+        target = run(spark, tmp_path, folder, clock)
+    assert rows(read_table(spark, target.silver, SILVER_DDL), "status_code") == [(503,)]

@@ -314,3 +314,54 @@ def test_late_events_recompute_only_what_changes(spark, folder, monkeypatch):
         BASE.date() + i * DAY for i in (0, 2, 3)
     ]
     assert arrive(("x", "u3", BASE + DAY), ("y", "u3", BASE + 4 * DAY)) == [1, 4]
+
+
+def test_clustering_withstands_one_odd_value(spark):
+    df = spark.range(20_001).selectExpr(
+        "CASE WHEN id = 20000 THEN 'anonymous' ELSE concat('user_', lpad(CAST(id % 5000 AS STRING), 6, '0')) END AS user_id",
+        "id",
+    )
+    z = layout.z_value(df, ["user_id"], 6)
+    assert df.select(z.alias("z")).distinct().count() >= 60
+
+
+def test_incremental_runs_lose_and_double_nothing(spark, tmp_path, folder):
+    at = F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz")
+    later = F.lit(dt.datetime(2024, 2, 2)).cast("timestamp_ntz")
+    last = BASE.date() + 4 * DAY
+    first = events(60) + [raw_row("odd", timestamp="2024-01-05 10:00:00"), raw_row("bad", user_id=None)]
+    moved = dict(first[3], timestamp=(BASE + dt.timedelta(days=2, hours=1)).isoformat() + ".000Z")
+    old = raw_row("old", timestamp=(BASE - dt.timedelta(days=20)).isoformat() + ".000Z")
+    second = [moved, old, raw_row("odd2", timestamp="later")]
+    write_lines(tmp_path / "one", [json.dumps(e) for e in first])
+    write_lines(tmp_path / "two", [json.dumps(e) for e in second])
+    steps, whole = Tables(f"{folder}/steps"), Tables(f"{folder}/whole")
+    run_tables(spark, str(tmp_path / "one"), steps.root, at=at)
+    run_tables(spark, str(tmp_path / "two"), steps.root, as_of=last, at=later)
+    medallion.load_bronze(spark, str(tmp_path / "one"), whole, at)
+    medallion.load_bronze(spark, str(tmp_path / "two"), whole, later)
+    refresh_silver(spark, whole)
+    refresh_gold(spark, whole, computed_at=at)
+    for a, b, ddl in [
+        (whole.silver, steps.silver, SILVER_DDL),
+        (whole.daily_kpis, steps.daily_kpis, DAILY_KPIS_DDL),
+        (whole.sessions, steps.sessions, SESSIONS_DDL),
+    ]:
+        left, right = (tables.read_table(spark, p, ddl).drop("_computed_at") for p in (a, b))
+        assert multiset(left) == multiset(right), ddl
+    held = tables.read_table(spark, steps.silver, SILVER_DDL)
+    assert held.count() == held.select("event_id").distinct().count() == 63
+    assert tables.read_table(spark, steps.quarantine).count() == 1
+
+
+def test_upsert_keeps_columns_and_rejects_double_keys(spark, folder):
+    path = f"{folder}/t"
+    old = spark.createDataFrame([("2024-01-01", 1, "x", "kept")], "d string, k int, v string, more string")
+    old = old.selectExpr("CAST(d AS DATE) AS event_date", "k", "v", "more")
+    new = old.select("event_date", F.lit(2).alias("k"), F.lit("y").alias("v"))
+    for part in (old, new):
+        tables.upsert_table(spark, path, part, ["event_date", "k"])
+    found = tables.read_table(spark, path, merge=True)
+    assert rows(found, "k", "v", "more") == [(1, "x", "kept"), (2, "y", None)]
+    with pytest.raises(ValueError, match="several rows"):
+        tables.upsert_table(spark, path, new.unionByName(new), ["event_date", "k"])
