@@ -115,7 +115,7 @@ def blocks_of(page: str | None) -> list[Block]:
     page = page or ""
     at, n, last = 0, len(page), page.rfind(">")
     while at < n:
-        if at > last:
+        if at > last and not page.startswith("<!--", at):
             text.append(page[at:])
             break
         m = TOKEN.match(page, at)

@@ -147,4 +147,75 @@ QUERIES = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ALNUM = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLE = {
+    "op2_decontamination": f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {ALNUM} AS w FROM documents),
+items AS (SELECT item_id, {ALNUM} AS w FROM benchmark WHERE item_id IS NOT NULL),
+wins AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n,
+    array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS s
+  FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM wins),
+runs AS (
+  SELECT r, i, n, array_to_string(w[i : i + n - 1], ' ') AS s
+  FROM docs, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)),
+hits AS (SELECT r, i, n, item_id FROM runs JOIN wins USING (n, s)),
+places AS (SELECT DISTINCT r, unnest(range(i, i + n)) AS p FROM hits),
+hit AS (SELECT r, count(*) AS n_hit FROM places GROUP BY r),
+named AS (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits),
+found AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM named GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN found USING (r)""",
+    "op6_rules": f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+  {WORDS} AS w FROM documents),
+lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs),
+dups AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lines
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+runs AS (SELECT r, i, array_to_string(w[i : i + 4], ' ') AS s
+  FROM docs, unnest(range(1, len(w) - 3)) AS t(i)),
+twice AS (SELECT r, s FROM runs GROUP BY r, s HAVING count(*) > 1),
+places AS (SELECT DISTINCT r, unnest(range(i, i + 5)) AS p FROM runs JOIN twice USING (r, s)),
+repeats AS (SELECT r, count(*) AS n FROM places GROUP BY r),
+counted AS (
+  SELECT doc_id, source, len(w) AS n_words,
+    length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(dups.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words
+  FROM docs LEFT JOIN dups USING (r) LEFT JOIN repeats USING (r)),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+  FROM counted),
+hosts AS (SELECT source, count(*) AS n, sum(CAST(base_failed AS BIGINT)) AS f FROM judged
+  WHERE source IS NOT NULL GROUP BY source),
+over AS (SELECT avg(f / n) AS mean, avg((f / n) * (f / n)) AS square, avg(1 / n) AS inverse
+  FROM hosts),
+spread AS (SELECT mean, square - mean * mean - mean * (1 - mean) * inverse AS between_hosts
+  FROM over),
+prior AS (SELECT mean, CASE WHEN between_hosts > 0
+  THEN greatest(mean * (1 - mean) / between_hosts - 1, 0) END AS weight FROM spread),
+rates AS (SELECT source, CASE WHEN weight IS NULL THEN mean
+  ELSE (f + mean * weight) / (n + weight) END AS rate FROM hosts, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT coalesce(rate > {rules.HOST_RATE}, false) AS kept
+FROM judged LEFT JOIN rates USING (source)""",
+    "op7_substrings": f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+runs AS (SELECT r, doc_id, i, array_to_string(w[i : i + 12], ' ') AS s
+  FROM docs, unnest(range(1, len(w) - 11)) AS t(i)),
+least AS (SELECT s, min(doc_id) AS m FROM runs GROUP BY s),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS p FROM runs JOIN least USING (s)
+  WHERE doc_id > m),
+words AS (SELECT r, p, w[p] AS word FROM docs, unnest(range(1, len(w) + 1)) AS t(p)),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (r, p)
+  GROUP BY r),
+cut AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(cut.n, 0) AS n_removed,
+  sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM docs LEFT JOIN cut USING (r) LEFT JOIN kept USING (r)""",
+}
