@@ -9,7 +9,8 @@ repeats; neighbouring ones join to maximal repeats, which are cut out.
 
 No pair of documents is ever made: shared anchors and shared runs are found by grouped
 minima, which are built up before the shuffle, so a passage that very many documents share
-is one row for each task.
+is one row for each task. Rows go back to these minima by a join that spreads the rows of
+such a passage over many tasks.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runnel.llm.text import checkpoint, expand, rolling, spaced_words
+from runnel.llm.text import checkpoint, expand, join_spread, rolling, spaced_words
 
 WINDOW = 13
 SEED_WORDS = 5
@@ -225,14 +226,15 @@ def remove_repeats(
         .select("doc", "key", F.col("text").cast("binary"), "shared")
         .mapInArrow(_runs(window), "run long, check int, doc long, key long, place int")
     )
-    least = (
+    least = checkpoint(
         runs.groupBy("run", "check")
-        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count(F.lit(1)).alias("n"))
         .where("least < most")
         .drop("most")
     )
+    release(docs.sparkSession)
     places = (
-        runs.join(least, ["run", "check"])
+        join_spread(runs, least, ["run", "check"], ["doc", "place"])
         .where("doc > least")
         .groupBy(*here)
         .agg(F.collect_list("place").alias("places"))
@@ -260,13 +262,14 @@ def _shared_anchors(texts: DataFrame, copies: DataFrame, window: int) -> DataFra
         .select("doc", "key", F.col("text").cast("binary"))
         .mapInArrow(_distinct_anchors(window), "anchor long, doc long, key long")
     )
-    several = (
+    several = checkpoint(
         seeds.groupBy("anchor")
-        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count(F.lit(1)).alias("n"))
         .where("least < most")
-        .select("anchor")
+        .select("anchor", "n")
     )
-    of_doc = seeds.join(several, "anchor").groupBy(*here)
+    release(texts.sparkSession)
+    of_doc = join_spread(seeds, several, ["anchor"], ["doc"]).groupBy(*here)
     return checkpoint(of_doc.agg(F.collect_set("anchor").alias("shared")))
 
 

@@ -25,6 +25,9 @@ LOWER = _table(lambda _: True)
 #: A-Z to a-z; all ASCII but letters and digits to a space.
 ALNUM = _table(lambda b: b >= 128 or 48 <= b <= 57 or 97 <= b <= 122)
 
+#: A key with more than this part of all rows is cut up in a join.
+HOT_SHARE = 1000
+
 
 def spaced_words(text: bytes | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+``: ``bytes.split`` splits at these six bytes alone."""
@@ -52,6 +55,25 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def join_spread(
+    rows: DataFrame, keys: DataFrame, on: Sequence[str], by: Sequence[str], share: int = HOT_SHARE
+) -> DataFrame:
+    """Joins ``rows`` with ``keys``, whose ``n`` says how many of the rows each key has.
+
+    A key with more than a ``share``-th of the rows is cut into parts no larger than that,
+    by a hash of the columns ``by``. There are fewer than ``share`` such keys, so their
+    broadcast is bounded. ``keys`` is read twice and should be a checkpoint.
+    """
+    total = keys.agg(F.sum("n")).first()[0] or 1
+    parted = keys.withColumn("_parts", F.ceil(F.col("n") * share / total).cast("int"))
+    hot = F.broadcast(parted.where("_parts > 1").select(*on, "_parts"))
+    part = F.coalesce(F.pmod(F.xxhash64(*by), "_parts").cast("int"), F.lit(0))
+    salted = rows.join(hot, list(on), "left").withColumn("_part", part).drop("_parts")
+    every = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    dealt = parted.withColumn("_part", every).drop("n", "_parts")
+    return salted.join(dealt, [*on, "_part"]).drop("_part")
+
+
 def share(spark: SparkSession, value: object) -> Broadcast[bytes]:
     """Broadcasts a value compressed: tables with many zeros take little room on disks."""
     return spark.sparkContext.broadcast(zlib.compress(pickle.dumps(value, 5), 1))

@@ -27,6 +27,7 @@ from runnel.llm import (
     rules,
     simhash,
     substrings,
+    text,
     toxicity,
     urls,
 )
@@ -207,6 +208,22 @@ def test_repeats_equal_brute_force(spark, seed):
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_text"]) for r in found} == brute_repeats(texts)
 
 
+def test_passage_in_most_documents_is_spread(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("doc")
+    )
+    keys = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("least"))
+    found = text.join_spread(rows, keys.where("k % 2 = 0"), ["k"], ["doc"], share=10)
+    expected = rows.join(keys, "k").where("k % 2 = 0").select("k", "doc", "least")
+    assert found.columns == expected.columns
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    assert text.join_spread(rows, keys.where("k < 0"), ["k"], ["doc"]).count() == 0
+    shared = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(i, f"a{i} {shared} z{i}") for i in range(300)], "doc_id long, text string")
+    got = substrings.remove_repeats(docs).collect()
+    assert {(r["doc_id"], r["n_removed"]) for r in got} == {(i, 20 if i else 0) for i in range(300)}
+
+
 def test_repeats_on_odd_input(spark, strange, nothing):
     found = substrings.remove_repeats(strange).collect()
     by = collections.Counter((r["doc_id"], r["n_words"], r["n_removed"]) for r in found)
