@@ -213,6 +213,27 @@ ORACLE: dict[str, str] = {
         "CASE WHEN event_date > DATE '2024-01-20' THEN region END AS region) FROM silver"
     ),
     "silver_clean": logs("SELECT * FROM silver"),
+    "bronze_unknown_fields": sql(
+        ["logs_raw"],
+        "SELECT 'canary' AS \"column\", count(*) AS non_null FROM logs_raw "
+        "WHERE CAST(substring(event_id, 5) AS BIGINT) % 5 = 0 "
+        "UNION ALL SELECT 'shard', count(*) FROM logs_raw",
+    ),
+    "upsert_evolving": logs(
+        "SELECT *, CASE WHEN event_date < DATE '2024-01-19' THEN 'old' END AS note FROM kpis",
+        "kpis",
+    ),
+    "silver_late_events": sql(
+        ["logs_raw", "silver_sql"], "SELECT * EXCLUDE (_ingested_at) FROM silver_sql"
+    ),
+    "gold_late_events": logs("SELECT * EXCLUDE (_computed_at) FROM kpis", "kpis"),
+    "flow_by_name": logs(
+        "SELECT 'raw_logs' AS table_name, count(*) + count(*) FILTER (timestamp IS NOT NULL "
+        "AND CAST(substring(event_id, 5) AS BIGINT) % 40 = 11) AS cnt FROM logs_raw UNION ALL "
+        "SELECT 'logs_cleaned', count(*) FROM silver UNION ALL "
+        "SELECT 'daily_kpis', count(*) FROM kpis",
+        "kpis",
+    ),
     "silver_sql": sql(["logs_raw", "silver_sql"], "SELECT * FROM silver_sql"),
     "incremental_read": logs(
         "SELECT event_id, event_date FROM silver WHERE event_date >= DATE '2024-01-29'"
@@ -377,6 +398,9 @@ ORACLE: dict[str, str] = {
     "scd2_new_rows": past("SELECT * FROM new_rows"),
     "scd2_apply": past("SELECT * FROM applied"),
     "scd2_table": past("SELECT * FROM applied"),
+    "scd2_version": past(
+        "SELECT c_custkey, c_mktsegment, c_acctbal FROM applied WHERE is_current"
+    ),
     "scd2_current": past("SELECT * FROM applied WHERE is_current"),
     "history_as_of": past(
         "SELECT * FROM applied WHERE effective_start_date <= TIMESTAMP '2024-01-15 12:00:00' AND "
@@ -397,3 +421,5 @@ ORACLE: dict[str, str] = {
     "stream_gold": logs("SELECT * FROM kpis", "kpis"),
     "stream_sessions": sql([*LOG_NAMES, "gaps", "numbered", "origins"], summary("origins")),
 }
+
+ORACLE["stream_quarantine"] = ORACLE["dq_null_quarantine"]

@@ -160,6 +160,66 @@ def append_evolving(spark: SparkSession, sf: str) -> DataFrame:
     return upsert.append_evolving(old, new)
 
 
+@query
+def bronze_unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of the fields of raw events that the data model lacks."""
+    path = scratch_dir(spark, "raw")
+    number = F.substring("event_id", 5, 20).cast("bigint")
+    extra = {"canary": F.when(number % 5 == 0, F.lit("x")), "shard": F.struct(number.alias("n"))}
+    logs_raw(spark, sf).withColumns(extra).write.json(path)
+    return raw.unknown_fields(raw.read_raw_lines(spark, path))
+
+
+@query
+def upsert_evolving(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored table keeps the column that the upserted rows lack."""
+    path = scratch_dir(spark, "kpis")
+    old, new = overlapping(kpis(spark, sf), "total_requests")
+    tables.upsert_table(spark, path, old.withColumn("note", F.lit("old")), KPI_KEYS)
+    tables.upsert_table(spark, path, new, KPI_KEYS)
+    return tables.read_table(spark, path, merge=True)
+
+
+def late_flow(spark: SparkSession, sf: str, databases=None) -> medallion.Tables:
+    """Two runs of the table flow; the second brings older events and corrected times."""
+    number = F.substring("event_id", 5, 20).cast("bigint")
+    corrected = (number % 40 == 11) & F.col("timestamp").isNotNull()
+    wrong = F.when(number % 80 == 11, F.lit("unknown")).otherwise("2024-01-02T03:04:05.000Z")
+    events, root = logs_raw(spark, sf), scratch_dir(spark, "flow")
+    first = events.withColumn("timestamp", F.when(corrected, wrong).otherwise(F.col("timestamp")))
+    arrivals = [first.where((number % 3 != 0) | corrected), events.where((number % 3 == 0) | corrected)]
+    for arrival, at, as_of in zip(arrivals, ("2024-01-31 00:00:00", INGESTED), (None, AS_OF)):
+        path = scratch_dir(spark, "raw")
+        arrival.write.json(path)
+        target = medallion.run_tables(
+            spark, path, root, as_of, at=ntz(at), exact=True, databases=databases
+        )
+    return target
+
+
+@query
+def silver_late_events(spark: SparkSession, sf: str) -> DataFrame:
+    silver_now = tables.read_table(spark, late_flow(spark, sf).silver, SILVER_DDL)
+    return silver_now.drop("_source_file", "_ingested_at")
+
+
+@query
+def gold_late_events(spark: SparkSession, sf: str) -> DataFrame:
+    path = late_flow(spark, sf).daily_kpis
+    return tables.read_table(spark, path, DAILY_KPIS_DDL).drop("_computed_at")
+
+
+@query
+def flow_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the flow's tables, read through the catalog."""
+    tag = uuid.uuid4().hex[:8]
+    databases = [f"{n}_{tag}" for n in ("bronze", "silver", "gold")]
+    late_flow(spark, sf, databases)
+    names = ["raw_logs", "logs_cleaned", "daily_kpis"]
+    owners = [*databases, databases[-1]]
+    return tables.row_counts(spark, [f"{d}.{n}" for d, n in zip(owners, names)])
+
+
 # -- projections, filters, quality -------------------------------------------------------
 
 
@@ -479,6 +539,18 @@ def scd2_table(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_history(spark, path)
 
 
+@query
+def scd2_version(spark: SparkSession, sf: str) -> DataFrame:
+    """What the second of three loads left; the third came half a second later."""
+    path = scratch_dir(spark, "history")
+    first, second = customers(spark, sf)
+    third = first.withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    times = [*LOADS, LOADS[1].replace(":00:00", ":00:00.500")]
+    for snapshot, at in zip((first, second, third), times, strict=True):
+        tables.upsert_history(spark, path, snapshot, KEY, COMPARED, ntz(at))
+    return tables.read_version(spark, path, 1).select(KEY, *COMPARED)
+
+
 @query
 def scd2_current(spark: SparkSession, sf: str) -> DataFrame:
     return history.current_rows(applied(spark, sf))
@@ -542,6 +614,23 @@ def stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_table(spark, target.silver, SILVER_DDL).drop("_source_file")
 
 
+@query
+def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejects of two streams, each with a checkpoint of its own."""
+    target = medallion.Tables(scratch_dir(spark, "tables"))
+    number = F.substring("event_id", 5, 20).cast("bigint")
+    for part in (0, 1):
+        src, out = scratch_dir(spark, "raw"), scratch_dir(spark, "bronze")
+        logs_raw(spark, sf).where(number % 2 == part).write.json(src)
+        states = [scratch_dir(spark, "state") for _ in range(2)]
+        flows.stream_bronze(spark, src, out, states[0], ntz(INGESTED)).awaitTermination()
+        flows.stream_silver(
+            spark, out, target.silver, target.quarantine, states[1]
+        ).awaitTermination()
+    held = tables.read_table(spark, target.quarantine)
+    return held.select(*column_names(RAW_DDL), "_dq_reason", "_dq_null_cols")
+
+
 def streamed_gold(spark: SparkSession, sf: str) -> medallion.Tables:
     """Gold after two arrivals that share a date."""
     target = medallion.Tables(scratch_dir(spark, "tables"))

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from runnel.functions.columns import event_time, now_or, status_category, zoned_time
 from runnel.operators.quality import dedup_latest, split_nulls, value_flags
-from runnel.schemas import CORRUPT_COL, CRITICAL_COLS, RAW_DDL, SILVER_DDL, column_names
+from runnel.schemas import (
+    CORRUPT_COL,
+    CRITICAL_COLS,
+    RAW_DDL,
+    SILVER_DDL,
+    UNKNOWN_COL,
+    column_names,
+)
 
 
 def add_ingestion_metadata(
@@ -23,9 +30,9 @@ def add_ingestion_metadata(
 def to_bronze(df: DataFrame) -> DataFrame:
     """Bronze columns, with the date taken from the raw time text.
 
-    The text of a broken line, if the reader kept it, stays with the row.
+    The text of a broken line and unknown fields, if the reader kept them, stay with the row.
     """
-    kept = [c for c in [CORRUPT_COL] if c in df.columns]
+    kept = [c for c in [CORRUPT_COL, UNKNOWN_COL] if c in df.columns]
     return df.select(
         *column_names(RAW_DDL),
         "_ingested_at",

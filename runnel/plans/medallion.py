@@ -3,32 +3,35 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from runnel.functions.columns import event_time
+from runnel.functions.columns import event_time, now_or
 from runnel.operators.gold import daily_kpis
 from runnel.operators.layout import compact
-from runnel.operators.quality import split_nulls
+from runnel.operators.quality import observe_quality, split_nulls
 from runnel.operators.sessions import (
     resumable_sessions,
     session_summary_client,
     stale_dates,
 )
 from runnel.operators.silver import (
-    add_ingestion_metadata,
     clean,
     incremental,
     to_bronze,
     to_silver_sql,
 )
 from runnel.schemas import BRONZE_DDL, CRITICAL_COLS, DAILY_KPIS_DDL, SESSIONS_DDL, SILVER_DDL
-from runnel.sources.raw import read_raw_logs
+from runnel.sources.raw import read_raw_lines
 from runnel.sources.tables import (
+    append_load,
+    create_tables,
     date_values,
+    publish_tables,
     read_dates,
     read_table,
     replace_dates,
@@ -66,15 +69,20 @@ class Tables:
 
 
 def load_bronze(
-    spark: SparkSession, raw: str, tables: Tables, ingested_at: Column | None = None
+    spark: SparkSession,
+    raw: str,
+    tables: Tables,
+    ingested_at: Column | None = None,
+    load: str | None = None,
 ) -> DataFrame:
     """Appends raw files, and gives their rows. Pass only new files, or use the stream.
 
-    Raw files are landed by day and so hold few dates each: no shuffle before the write.
+    A load that broke off can be repeated under its name ``load`` without adding copies.
+    Fields that the data model lacks are kept, see ``unknown_fields``.
     """
-    raw_logs = add_ingestion_metadata(read_raw_logs(spark, raw), ingested_at=ingested_at)
+    raw_logs = read_raw_lines(spark, raw).withColumn("_ingested_at", now_or(ingested_at))
     rows = to_bronze(raw_logs)
-    write_table(rows, tables.bronze, gather=False)
+    append_load(rows, tables.bronze, load or uuid.uuid4().hex)
     return rows
 
 
@@ -103,25 +111,37 @@ def touched_dates(
 
 def refresh_silver(
     spark: SparkSession, tables: Tables, dates: Iterable[dt.date | None] | None = None
-) -> None:
+) -> dict[str, int]:
     """Cleans all of Bronze, or some dates of Silver (None: the rows without a date).
 
     Whole dates are replaced, so a repeated run does not add copies, and a date whose rows
     have all moved is emptied. The copies of an event are looked for on all dates.
+
+    Gives the counts of the Bronze rows that were read for Silver, observed while it is
+    written: all, valid and quarantined rows and the copies among the valid ones.
     """
     bronze = read_table(spark, tables.bronze, BRONZE_DDL)
+    read, written = Observation(), Observation()
+    kept = F.count(F.lit(1)).alias("kept")
     if dates is None:
-        silver, quarantine = clean(bronze)
-        write_table(quarantine, tables.quarantine, "overwrite")
-        write_table(silver, tables.silver, "overwrite")
-        return
+        write_table(split_nulls(bronze, CRITICAL_COLS)[1], tables.quarantine, "overwrite")
+        silver, _ = clean(observe_quality(bronze, read))
+        write_table(silver.observe(written, kept), tables.silver, "overwrite")
+        return _counts(read, written)
     dates = list(dates)
     ids = bronze.where(_in_dates(_silver_date(), dates)).select("event_id")
     ids = ids.where("event_id IS NOT NULL").distinct()
-    silver, _ = clean(bronze.join(ids, "event_id", "left_semi"))
-    replace_dates(silver.where(_in_dates(F.col("event_date"), dates)), tables.silver, dates)
+    silver, _ = clean(observe_quality(bronze.join(ids, "event_id", "left_semi"), read))
+    silver = silver.observe(written, kept).where(_in_dates(F.col("event_date"), dates))
+    replace_dates(silver, tables.silver, dates)
     rejected = split_nulls(bronze.where(_in_dates(F.col("event_date"), dates)), CRITICAL_COLS)[1]
     replace_dates(rejected, tables.quarantine, dates)
+    return _counts(read, written)
+
+
+def _counts(read: Observation, written: Observation) -> dict[str, int]:
+    counts = dict(read.get)
+    return {**counts, "duplicates_removed": counts["valid_rows"] - written.get["kept"]}
 
 
 def session_rows_before(spark: SparkSession, path: str, first: dt.date) -> DataFrame:
@@ -227,11 +247,13 @@ def run_tables(
     days: int = 1,
     at: Column | None = None,
     exact: bool = False,
+    databases: Sequence[str] | None = None,
 ) -> Tables:
     """The stages in order; without ``as_of`` everything is recomputed.
 
     With it, the dates that the new files touch are recomputed, however old, and the
-    ``days`` up to ``as_of``.
+    ``days`` up to ``as_of``. With ``databases`` (of Bronze, Silver and Gold) the tables are
+    declared in the catalog too and can be read by name.
     """
     tables = Tables(root)
     arrived = load_bronze(spark, raw, tables, at)
@@ -244,4 +266,6 @@ def run_tables(
     refresh_gold(spark, tables, dates, at, exact)
     if as_of is not None:
         compact_gold(spark, tables, as_of, days)
+    if databases:
+        publish_tables(spark, create_tables(spark, root, databases))
     return tables

@@ -18,12 +18,18 @@ RAW_DDL = """
 """
 
 CORRUPT_COL = "_corrupt_record"
+#: Fields of a raw event that the data model does not name, as one JSON object.
+UNKNOWN_COL = "_unknown_fields"
+#: Partition of a load, so that a repeated load replaces itself.
+LOAD_COL = "_load"
 
 BRONZE_DDL = f"""
     {RAW_DDL}, _ingested_at TIMESTAMP_NTZ, _source_file STRING, {CORRUPT_COL} STRING,
-    event_date DATE
+    {UNKNOWN_COL} STRING, event_date DATE
 """
 
+QUARANTINE_DDL = f"{BRONZE_DDL}, _dq_reason STRING, _dq_null_cols STRING, _batch STRING"
+
 SILVER_DDL = """
     event_id STRING NOT NULL, session_id STRING, user_id STRING, event_timestamp TIMESTAMP_NTZ,
     event_date DATE, event_hour INT, service STRING, endpoint STRING, method STRING,

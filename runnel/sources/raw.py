@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runnel.schemas import CORRUPT_COL, RAW_DDL
+from runnel.schemas import CORRUPT_COL, RAW_DDL, UNKNOWN_COL, column_names
 
 READ_DDL = f"{RAW_DDL}, {CORRUPT_COL} STRING"
 
@@ -23,6 +23,42 @@ def read_raw_logs(spark: SparkSession, path: str, ddl: str = READ_DDL) -> DataFr
     )
 
 
+def parse_raw_lines(lines: DataFrame, ddl: str = READ_DDL) -> DataFrame:
+    """The events of text lines (column ``value``), also with fields that ``ddl`` lacks.
+
+    Those are kept as one JSON object in ``_unknown_fields``; null if there are none. Other
+    columns of ``lines`` stay behind them. Blank lines are passed over.
+    """
+    line = F.col("value")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
+    fields = F.from_json(line, "map<string,string>", {"mode": "PERMISSIVE"})
+    unknown = F.map_filter(fields, lambda name, _: ~name.isin(column_names(ddl)))
+    others = [c for c in lines.columns if c != "value"]
+    event = F.from_json(line, ddl.replace(" NOT NULL", ""), options)
+    return (
+        lines.where(F.trim(line) != "")
+        .select(
+            event.alias("event"),
+            F.when(F.size(unknown) > 0, F.to_json(unknown)).alias(UNKNOWN_COL),
+            *others,
+        )
+        .select("event.*", UNKNOWN_COL, *others)
+    )
+
+
+def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    """As :func:`read_raw_logs`, with unknown fields kept and the file's path."""
+    lines = spark.read.text(path, recursiveFileLookup=True)
+    return parse_raw_lines(lines.select("value", F.col("_metadata.file_path").alias("_source_file")))
+
+
+def unknown_fields(events: DataFrame) -> DataFrame:
+    """``column, non_null``: the unknown fields, and how many events have a value in them."""
+    named = F.from_json(UNKNOWN_COL, "map<string,string>")
+    found = events.where(F.col(UNKNOWN_COL).isNotNull()).select(F.explode(named).alias("column", "value"))
+    return found.groupBy("column").agg(F.count("value").alias("non_null"))
+
+
 def register_raw_logs(spark: SparkSession, path: str, view: str) -> None:
     """Declares the same files as a temporary SQL view."""
     quoted = path.replace("'", "\\'")

@@ -10,16 +10,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from runnel.operators.history import scd2_apply, scd2_stage
+from runnel.operators.history import history_as_of, scd2_apply, scd2_stage
 from runnel.operators.layout import compact, repartition_by_date
 from runnel.operators.upsert import require_unique, upsert
 from runnel.plans.sizing import materialise
-from runnel.schemas import BRONZE_DDL, DAILY_KPIS_DDL, SESSIONS_DDL, SILVER_DDL
+from runnel.schemas import BRONZE_DDL, DAILY_KPIS_DDL, LOAD_COL, SESSIONS_DDL, SILVER_DDL
 
 DATE_COL = "event_date"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 MAX_DATES = 5_000
-LOAD_COL = "_load"
+#: Folder of a stored history with its load numbers; readers pass over the underscore.
+LOADS = "_loads"
+LOADS_DDL = "version BIGINT, at TIMESTAMP_NTZ"
+#: Number of the row that says up to when closed versions were dropped.
+PRUNED = -1
 
 
 def _absent(error: AnalysisException) -> bool:
@@ -45,8 +49,9 @@ def read_table(
     """Reads a table. With a schema, files of an older one give null in the newer columns;
     ``merge`` finds the union of all files' columns instead, by reading every footer.
     """
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", merge)
-    return reader.parquet(path)
+    if not schema:
+        return spark.read.option("mergeSchema", merge).parquet(path)
+    return spark.read.schema(schema).parquet(path).drop(LOAD_COL)
 
 
 def read_dates(
@@ -124,9 +129,13 @@ def _folder(value: dt.date | None) -> str:
 
 def drop_dates(spark: SparkSession, path: str, dates: Sequence[dt.date | None]) -> None:
     """Deletes the folders of some dates; absent ones are passed over."""
+    delete_folders(spark, [f"{path}/{_folder(value)}" for value in dates])
+
+
+def delete_folders(spark: SparkSession, paths: Sequence[str]) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for value in dates:
-        folder = hadoop(f"{path}/{_folder(value)}")
+    for name in paths:
+        folder = hadoop(name)
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
@@ -157,6 +166,15 @@ def _open_versions(path: str) -> str:
     return f"{path}/{LOAD_COL}=current"
 
 
+def append_load(df: DataFrame, path: str, load: str) -> None:
+    """Adds rows under the name of a load; repeating it with that name adds nothing more.
+
+    Input files that hold few dates each need no shuffle before the write.
+    """
+    named = df.withColumn(LOAD_COL, F.lit(load))
+    write_table(named, path, "overwrite", (DATE_COL, LOAD_COL), dynamic=True, gather=False)
+
+
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """Reads a stored history, open and closed versions."""
     return read_table(spark, path).drop(LOAD_COL)
@@ -176,6 +194,8 @@ def upsert_history(
     A load reads and rewrites the open ones only. It stores the closed versions first, so
     a run that broke off can be repeated with the same ``at``. ``at`` must not lie before an
     earlier load, nor name another snapshot's load; keys must be unique in the snapshot.
+    Loads are numbered from 0, for :func:`read_version`; the numbers stay when versions are
+    dropped.
     """
     require_unique(new, [key])
     load = F.when(F.col("is_current"), "current").otherwise(
@@ -184,6 +204,7 @@ def upsert_history(
     if not table_exists(spark, _open_versions(path)):
         first = scd2_stage(new, compare_cols, at).withColumn(LOAD_COL, load)
         write_table(first, path, "overwrite", [LOAD_COL])
+        _number_load(spark, path, at)
         return
     opened = spark.read.parquet(_open_versions(path))
     applied, _ = materialise(
@@ -196,6 +217,58 @@ def upsert_history(
         raise ValueError("a load must be later than every load before it")
     for part in (applied.where("NOT is_current"), applied.where("is_current")):
         write_table(part, path, "overwrite", [LOAD_COL], dynamic=True)
+    _number_load(spark, path, at)
+
+
+def _loads(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each load: a short table, as loads are made one after the other."""
+    try:
+        return spark.read.schema(LOADS_DDL).parquet(f"{path}/{LOADS}")
+    except AnalysisException as error:
+        if _absent(error):
+            return spark.createDataFrame([], LOADS_DDL)
+        raise
+
+
+def _number_load(spark: SparkSession, path: str, at: Column) -> None:
+    known = _loads(spark, path).where(F.col("version") >= 0)
+    if known.where(F.col("at") == at).isEmpty():
+        row = known.agg((F.coalesce(F.max("version"), F.lit(-1)) + 1).alias("version"))
+        row.select("version", at.alias("at")).write.mode("append").parquet(f"{path}/{LOADS}")
+
+
+def read_version(spark: SparkSession, path: str, version: int) -> DataFrame:
+    """The versions valid after the load of that number, counted from 0.
+
+    An error if there is no such load or if versions of that time have been dropped.
+    """
+    loads = _loads(spark, path)
+    limit = loads.where(F.col("version") == PRUNED).agg(F.max("at")).scalar()
+    found = loads.where(F.col("version") == version).select(
+        "at", F.coalesce(F.col("at") < limit, F.lit(False)).alias("gone")
+    )
+    row = found.first() if version >= 0 else None
+    if row is None:
+        raise ValueError(f"{path} has no load {version}")
+    if row["gone"]:
+        raise ValueError(f"versions of load {version} of {path} have been dropped")
+    return history_as_of(read_history(spark, path), F.lit(row["at"]).cast("timestamp_ntz"))
+
+
+def prune_history(spark: SparkSession, path: str, as_of: Column, hours: int = 168) -> None:
+    """Drops versions closed more than ``hours`` before ``as_of``, by whole loads.
+
+    What is dropped is noted first, so a run that broke off can be repeated.
+    """
+    limit = as_of - F.make_dt_interval(hours=F.lit(hours))
+    closed = read_table(spark, path).where("NOT is_current").groupBy(LOAD_COL)
+    old = closed.agg(F.max("effective_end_date").alias("at")).where(F.col("at") < limit)
+    old, rows = materialise(old)
+    if not rows:
+        return
+    note = old.agg(F.lit(PRUNED).cast("bigint").alias("version"), F.max("at").alias("at"))
+    note.write.mode("append").parquet(f"{path}/{LOADS}")
+    delete_folders(spark, [f"{path}/{LOAD_COL}={r[0]}" for r in old.select(LOAD_COL).collect()])
 
 
 def compact_table(
@@ -214,26 +287,35 @@ def compact_table(
 def create_tables(
     spark: SparkSession, root: str, databases: Sequence[str] = ("bronze", "silver", "gold")
 ) -> list[str]:
-    """Declares the databases and the four tables below ``root``; gives the table names."""
+    """Declares the databases and the four tables of the flow below ``root``; gives the names."""
     comments = ["events as received", "checked and typed events", "indicators and sessions"]
     for name, comment in zip(databases, comments, strict=True):
         spark.sql(
             f"CREATE DATABASE IF NOT EXISTS {name} COMMENT '{comment}' LOCATION '{root}/{name}'"
         )
     bronze, silver, gold = databases
-    tables = {
-        f"{bronze}.raw_logs": (BRONZE_DDL, "raw log events as received"),
-        f"{silver}.logs_cleaned": (SILVER_DDL, "cleaned, typed, deduplicated log events"),
-        f"{gold}.daily_kpis": (DAILY_KPIS_DDL, "daily indicators per service and region"),
-        f"{gold}.session_summary": (SESSIONS_DDL, "per-user session summaries"),
-    }
-    for name, (ddl, comment) in tables.items():
+    loaded = f"{BRONZE_DDL}, {LOAD_COL} STRING"
+    tables = [
+        (bronze, "bronze/raw_logs", loaded, "raw log events as received"),
+        (silver, "silver/logs_cleaned", SILVER_DDL, "cleaned, typed, deduplicated log events"),
+        (gold, "gold/daily_kpis", DAILY_KPIS_DDL, "daily indicators per service and region"),
+        (gold, "gold/session_summary", SESSIONS_DDL, "per-user session summaries"),
+    ]
+    names = []
+    for database, folder, ddl, comment in tables:
+        names.append(f"{database}.{folder.split('/')[1]}")
+        parts = f"{DATE_COL}, {LOAD_COL}" if ddl == loaded else DATE_COL
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
-            f"PARTITIONED BY ({DATE_COL}) COMMENT '{comment}' "
-            f"LOCATION '{root}/{name.replace('.', '/')}'"
+            f"CREATE TABLE IF NOT EXISTS {names[-1]} ({ddl}) USING parquet "
+            f"PARTITIONED BY ({parts}) COMMENT '{comment}' LOCATION '{root}/{folder}'"
         )
-    return list(tables)
+    return names
+
+
+def publish_tables(spark: SparkSession, names: Sequence[str]) -> None:
+    """Makes the catalog tables show the partitions that their folders hold now."""
+    for name in names:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
 
 
 def row_counts(spark: SparkSession, names: Sequence[str]) -> DataFrame:

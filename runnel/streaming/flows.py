@@ -16,18 +16,19 @@ from pyspark.sql.streaming import StreamingQuery
 from runnel.operators.gold import daily_kpis
 from runnel.operators.quality import dedup_latest
 from runnel.operators.sessions import resumable_sessions
-from runnel.operators.silver import add_ingestion_metadata, clean, to_bronze
+from runnel.functions.columns import now_or
+from runnel.operators.silver import clean, to_bronze
 from runnel.plans.medallion import refresh_sessions, session_rows_before
-from runnel.schemas import BRONZE_DDL, CORRUPT_COL, SILVER_DDL
-from runnel.sources.raw import READ_DDL
+from runnel.schemas import BRONZE_DDL, LOAD_COL, QUARANTINE_DDL, SILVER_DDL
+from runnel.sources.raw import parse_raw_lines
 from runnel.sources.tables import (
+    append_load,
     date_values,
     read_dates,
     read_dates_of,
     read_table,
     replace_dates,
     table_exists,
-    write_table,
 )
 
 MAX_BYTES = 512 * 1024**3
@@ -41,37 +42,62 @@ def stream_bronze(
     ingested_at: Column | None = None,
     max_bytes: int = MAX_BYTES,
 ) -> StreamingQuery:
-    """New JSON files to Bronze, each file once."""
-    raw = (
-        spark.readStream.schema(READ_DDL)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COL)
-        .option("maxBytesPerTrigger", max_bytes)
-        .json(src)
+    """New JSON files to Bronze, each file once; ``load_bronze`` may add to the same table."""
+    lines = (
+        spark.readStream.option("maxBytesPerTrigger", max_bytes)
+        .option("recursiveFileLookup", True)
+        .text(src)
+        .select("value", F.col("_metadata.file_path").alias("_source_file"))
     )
-    bronze = to_bronze(add_ingestion_metadata(raw, ingested_at=ingested_at))
+
+    def add(batch: DataFrame, number: int) -> None:
+        rows = parse_raw_lines(batch).withColumn("_ingested_at", now_or(ingested_at))
+        append_load(to_bronze(rows), out, batch_name(batch, number))
+
     return (
-        bronze.writeStream.format("parquet")
-        .partitionBy("event_date")
+        lines.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(out)
+        .start()
     )
 
 
+def batch_name(batch: DataFrame, number: int) -> str:
+    """The stream's id, which lies in its checkpoint, with the number of the batch."""
+    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{stream}-{number}"
+
+
+def add_to_quarantine(rejected: DataFrame, quarantine: str, name: str) -> None:
+    """Puts a batch's rejects beside those of other batches and of the batch flow.
+
+    The dates are read, merged and replaced, so a repeated batch replaces its own rows.
+    """
+    spark = rejected.sparkSession
+    dates = date_values(rejected)
+    if dates is not None:
+        held = read_dates(spark, quarantine, dates, QUARANTINE_DDL)
+    elif table_exists(spark, quarantine):
+        held = read_table(spark, quarantine, QUARANTINE_DDL)
+    else:
+        held = spark.createDataFrame([], QUARANTINE_DDL)
+    others = held.where(~F.col("_batch").eqNullSafe(F.lit(name)))
+    named = rejected.withColumn("_batch", F.lit(name))
+    replace_dates(others.unionByName(named, allowMissingColumns=True), quarantine, dates)
+
+
 def add_to_silver(
-    batch: DataFrame, silver: str, quarantine: str, batch_id: int, all_dates: bool = False
+    batch: DataFrame, silver: str, quarantine: str, name: str, all_dates: bool = False
 ) -> None:
     """Cleans one Bronze batch and puts it into Silver; of copies the latest counts.
 
-    The batch's dates are read, merged and replaced, so a repeated batch changes nothing.
-    Copies of an event carry its time, so only the batch's dates are searched. Where a copy
-    may carry another time, ``all_dates`` searches the whole table.
+    The batch's dates are read, merged and replaced, so a repeated batch of that ``name``
+    changes nothing. Copies of an event carry its time, so only the batch's dates are
+    searched. Where a copy may carry another time, ``all_dates`` searches the whole table.
     """
     spark = batch.sparkSession
-    fresh, rejected = clean(batch)
-    parted = rejected.withColumn("_batch", F.lit(batch_id))
-    write_table(parted, quarantine, "overwrite", ["_batch"], dynamic=True)
+    fresh, rejected = clean(batch.drop(LOAD_COL))
+    add_to_quarantine(rejected, quarantine, name)
     fresh = fresh.persist()
     try:
         dates = date_values(fresh)
@@ -108,7 +134,9 @@ def stream_silver(
     )
     return (
         rows.writeStream.foreachBatch(
-            lambda batch, n: add_to_silver(batch, silver, quarantine, n, all_dates)
+            lambda batch, n: add_to_silver(
+                batch, silver, quarantine, batch_name(batch, n), all_dates
+            )
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

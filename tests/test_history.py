@@ -144,3 +144,29 @@ def test_loads_in_one_second_keep_all_versions(spark, folder):
         tables.upsert_history(
             spark, f"{folder}/h", load(spark, [(1, "x", 1.0), (1, "y", 1.0)]), "k", COLS, at(9)
         )
+
+
+def test_load_numbers_outlive_pruning(spark, folder):
+    def moment(day):
+        return F.lit(f"2024-01-{day:02d} 00:00:00").cast("timestamp_ntz")
+
+    path = f"{folder}/h"
+    for day, value in ((1, "a"), (2, "b"), (2, "b"), (3, "b"), (20, "c"), (21, "d")):
+        tables.upsert_history(spark, path, load(spark, [(1, value, 1.0)]), "k", COLS, moment(day))
+
+    def values():
+        out = []
+        for n in range(5):
+            try:
+                out.append(rows(tables.read_version(spark, path, n), COLS[0]))
+            except ValueError:
+                out.append(None)
+        return out
+
+    assert values() == [[("a",)], [("b",)], [("b",)], [("c",)], [("d",)]]
+    for _ in range(2):
+        tables.prune_history(spark, path, moment(21), hours=7 * 24)
+        assert values() == [None, [("b",)], [("b",)], [("c",)], [("d",)]]
+    for wrong in (-1, 5):
+        with pytest.raises(ValueError, match="no load"):
+            tables.read_version(spark, path, wrong)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from runnel.operators.gold import daily_kpis
 from runnel.operators.sessions import resumable_sessions
 from runnel.operators.silver import clean
-from runnel.plans.medallion import Tables
+from runnel.plans.medallion import Tables, load_bronze, refresh_silver
 from runnel.schemas import BRONZE_DDL, DAILY_KPIS_DDL, SESSIONS_DDL, SILVER_DDL
 from runnel.sources.tables import read_table
 from runnel.streaming import flows
@@ -76,9 +76,10 @@ def test_repeated_batch_adds_nothing(spark, tmp_path, folder, at):
     write_lines(tmp_path / "raw", [json.dumps(e) for b in arrivals() for e in b])
     target = run(spark, tmp_path, folder, at)
     bronze = read_table(spark, target.bronze, BRONZE_DDL)
+    name = read_table(spark, target.quarantine).first()["_batch"]
     counts = []
     for _ in range(2):
-        flows.add_to_silver(bronze, target.silver, target.quarantine, 0)
+        flows.add_to_silver(bronze, target.silver, target.quarantine, name)
         counts.append(
             (
                 read_table(spark, target.silver, SILVER_DDL).count(),
@@ -113,3 +114,24 @@ def test_changed_copy_replaces_the_earlier_one(spark, tmp_path, folder):
         write_lines(tmp_path / "raw", [json.dumps(dict(event(1, 0), status_code=code))])
         target = run(spark, tmp_path, folder, clock)
     assert rows(read_table(spark, target.silver, SILVER_DDL), "status_code") == [(503,)]
+
+
+def test_loads_and_streams_share_bronze_and_quarantine(spark, tmp_path, folder, at):
+    write_lines(tmp_path / "raw", [json.dumps(event(1, 0)), json.dumps(raw_row("bad", user_id=None))])
+    target = run(spark, tmp_path, folder, at)
+    more = [event(2, 5), raw_row("worse", user_id=None)]
+    write_lines(tmp_path / "more", [json.dumps(e) for e in more])
+    load_bronze(spark, str(tmp_path / "more"), target, at)
+    assert read_table(spark, target.bronze, BRONZE_DDL).count() == 4
+    run(spark, tmp_path, folder, at)
+    assert rows(read_table(spark, target.silver, SILVER_DDL), "event_id") == [("e1",), ("e2",)]
+    assert rows(read_table(spark, target.quarantine), "event_id") == [("bad",), ("worse",)]
+    # Another stream starts at batch 0 too.
+    flows.stream_silver(
+        spark, target.bronze, target.silver, target.quarantine, f"{folder}/state/other"
+    ).awaitTermination()
+    assert read_table(spark, target.quarantine).count() == 4
+    # The batch flow replaces whole dates, whoever wrote them.
+    refresh_silver(spark, target, [BASE.date()])
+    assert rows(read_table(spark, target.quarantine), "event_id") == [("bad",), ("worse",)]
+    assert rows(read_table(spark, target.silver, SILVER_DDL), "event_id") == [("e1",), ("e2",)]

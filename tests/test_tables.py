@@ -51,7 +51,10 @@ def test_broken_line_is_kept_with_its_text(spark, tmp_path):
     lines = [json.dumps(raw_row("ok")), '{"event_id": "cut', '{"event_id":"x","status_code":"n/a"}']
     write_lines(tmp_path / "raw", lines)
     df = raw.read_raw_logs(spark, str(tmp_path / "raw"))
-    out = silver.to_bronze(silver.add_ingestion_metadata(df))
+    typed = silver.to_bronze(silver.add_ingestion_metadata(df)).drop("_ingested_at")
+    lines_df = raw.read_raw_lines(spark, str(tmp_path / "raw"))
+    out = silver.to_bronze(lines_df.withColumn("_ingested_at", F.localtimestamp()))
+    assert multiset(out.select(*typed.columns)) == multiset(typed)
     assert sorted(out.columns) == sorted(column_names(BRONZE_DDL))
     kept = {(r["event_id"], r["_corrupt_record"]) for r in out.collect()}
     assert kept == {("ok", None), (None, lines[1]), ("x", lines[2])}
@@ -60,6 +63,34 @@ def test_broken_line_is_kept_with_its_text(spark, tmp_path):
     assert silver.clean(out)[1].count() == 2
 
 
+def test_unknown_fields_are_kept_and_counted(spark, tmp_path, folder):
+    known = json.dumps(raw_row("plain"))
+    more = [dict(raw_row("a"), zone="z1", tags={"k": [1, 2]}), dict(raw_row("b"), zone=None)]
+    write_lines(tmp_path / "raw", [known, "", "   ", *map(json.dumps, more)])
+    target = Tables(f"{folder}/tables")
+    medallion.load_bronze(spark, str(tmp_path / "raw"), target)
+    bronze = tables.read_table(spark, target.bronze, BRONZE_DDL)
+    kept = {r["event_id"]: json.loads(r["_unknown_fields"] or "{}") for r in bronze.collect()}
+    assert kept["plain"] == {} and kept["a"] == {"zone": "z1", "tags": '{"k":[1,2]}'}
+    assert multiset(raw.unknown_fields(bronze)) == multiset(
+        spark.createDataFrame([("zone", 1), ("tags", 1)], "column string, non_null long")
+    )
+
+
+def test_repeated_load_replaces_itself(spark, tmp_path, folder):
+    write_lines(tmp_path / "raw", [json.dumps(e) for e in events(6)])
+    target = Tables(f"{folder}/tables")
+    for load in ("a", "a", "b", None):
+        medallion.load_bronze(spark, str(tmp_path / "raw"), target, load=load)
+    assert tables.read_table(spark, target.bronze, BRONZE_DDL).count() == 18
+    counts = refresh_silver(spark, target)
+    assert counts == {
+        "total_rows": 18, "valid_rows": 18, "quarantined_rows": 0, "duplicates_removed": 12,
+    }
+    some = refresh_silver(spark, target, [BASE.date()])
+    assert (some["total_rows"], some["duplicates_removed"]) == (6, 4)
+
+
 def test_sql_view_reads_the_same_rows(spark, tmp_path):
     write_lines(tmp_path / "raw", [json.dumps(e) for e in events(5)])
     raw.register_raw_logs(spark, str(tmp_path / "raw"), "raw_view")
@@ -148,12 +179,14 @@ def test_declared_tables(spark, folder):
     found = tables.create_tables(spark, folder, names)
     assert found == tables.create_tables(spark, folder, names)
     for name, ddl in zip(
-        found, [BRONZE_DDL, SILVER_DDL, DAILY_KPIS_DDL, SESSIONS_DDL], strict=True
+        found,
+        [f"{BRONZE_DDL}, _load STRING", SILVER_DDL, DAILY_KPIS_DDL, SESSIONS_DDL],
+        strict=True,
     ):
         table = spark.table(name)
         assert sorted(table.columns) == sorted(column_names(ddl))
         parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-        assert parts == ["event_date"]
+        assert parts == ["event_date", *(["_load"] if "_load" in table.columns else [])]
     assert rows(tables.row_counts(spark, found))[0] == ("daily_kpis", 0)
     for name in names:
         spark.sql(f"DROP DATABASE {name} CASCADE")
