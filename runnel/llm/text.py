@@ -5,6 +5,7 @@ from __future__ import annotations
 import pickle
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -83,6 +84,27 @@ def shared_value(shared: Broadcast[bytes]):
     return pickle.loads(zlib.decompress(shared.value))
 
 
+@dataclass
+class Counts:
+    """Numbers by 64-bit hash; any hash that is not there has zero."""
+
+    keys: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def made(cls, keys: np.ndarray, values: np.ndarray) -> Counts:
+        some = np.flatnonzero(values)
+        some = some[np.argsort(keys[some])]
+        return cls(keys[some], values[some].astype(np.float64))
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(hashes))
+        distinct, back = np.unique(hashes, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
+        return np.where(self.keys[at] == distinct, self.values[at], 0.0)[back]
+
+
 def as_binary(name: str) -> Column:
     return F.col(name).cast("string").cast("binary")
 

@@ -5,10 +5,11 @@ the examples to learn from: URLs that a rule blocks, or whose host has a blocked
 rejected ones, all others accepted ones. (Were only allowed URLs accepted, the models would
 learn the rules' own sites and reject every other.) Two variable-order Markov models over
 characters, smoothed down to shorter contexts, give each URL a difference of
-log-likelihoods, divided by its length. The threshold is calibrated on examples that the
-models have not seen.
+log-likelihoods, divided by its length. The rows are parted by a hash of the URL, and each
+part is scored by models counted on all others, so no URL votes for itself. The threshold
+comes from the scores of accepted examples.
 
-Counts are summed by hashed slot in tables of fixed size, over all examples.
+Counts are summed by hashed slot, over all examples.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runnel.llm.text import share, shared_value
+from runnel.llm.text import Counts, checkpoint, share, shared_value
 
 ORDER = 6
 BITS = 20
@@ -29,8 +30,12 @@ BITS = 20
 PRIOR = 1.0
 #: Share of accepted examples that the calibrated threshold may reject.
 FALSE_REJECTIONS = 0.01
-#: Examples used for the threshold, of each class.
+#: Accepted examples used for the threshold.
 CALIBRATION_ROWS = 20_000
+#: Parts of the rows that are scored by models of the others.
+FOLDS = 8
+#: The threshold's rank is off by at most this part of the accepted examples.
+RANK_ERROR = 1e-5
 #: Host parts that mark an example as rejected.
 BLOCKED_WORDS = ("ads", "adult", "bets", "casino", "pills", "porn", "spam", "track", "viagra")
 
@@ -94,7 +99,8 @@ def _codes(urls: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, at, np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)
 
 
-def _slots(codes: np.ndarray, at: np.ndarray, size: int, salt: int) -> np.ndarray:
+def _hashes(codes: np.ndarray, at: np.ndarray, size: int, salt: int) -> np.ndarray:
+    """Slots of the ``size`` codes that end before each position ``at``."""
     out = np.full(len(at), 2 * size + salt + 1, np.uint64)
     for i in range(size, 0, -1):
         out = (out ^ codes[at - i]) * np.uint64(0x9E3779B97F4A7C15)
@@ -104,97 +110,81 @@ def _slots(codes: np.ndarray, at: np.ndarray, size: int, salt: int) -> np.ndarra
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of runs and contexts by slot for each class and half, summed in the task."""
-    total: np.ndarray | None = None
+    """Counts of runs and contexts by hash and fold for each class."""
     for batch in batches:
-        total = np.zeros((1 << BITS, 4), np.int32) if total is None else total
         urls = batch.column(0).to_pylist()
         cell = batch.column(1).to_numpy()
-        for a in range(0, len(urls), 2000):
-            codes, at, first = _codes(urls[a : a + 2000])
+        for a in range(0, len(urls), 5000):
+            codes, at, first = _codes(urls[a : a + 5000])
             size = np.diff(np.append(first, len(at)))
-            of = np.repeat(cell[a : a + 2000], size)
+            of = np.repeat(cell[a : a + 5000], size)
             for k in range(ORDER):
                 for salt, place in ((0, at + 1), (1, at)):
-                    slots = _slots(codes, place, k + 1 - salt, salt + 2 * k)
-                    np.add.at(total, (slots, of), 1)
-    if total is not None:
-        used = np.flatnonzero(total.any(axis=1))
-        columns = [pa.array(used), *(pa.array(total[used, i].astype(np.int64)) for i in range(4))]
-        yield pa.RecordBatch.from_arrays(columns, ["slot", "a0", "r0", "a1", "r1"])
+                    found = _hashes(codes, place, k + 1 - salt, salt + 2 * k)
+                    keys, back = np.unique(found, return_inverse=True)
+                    counts = np.bincount(2 * FOLDS * back + of, minlength=2 * FOLDS * len(keys))
+                    counts = counts.reshape(-1, FOLDS, 2)
+                    key, fold = np.nonzero(counts.any(axis=2))
+                    columns = [keys[key], fold, *counts[key, fold].T]
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["key", "fold", "a", "r"])
 
 
 @dataclass
 class Markov:
-    """Counts of the accepted and the rejected class, and the threshold."""
+    """Counts of the accepted and the rejected class: of all rows, and of each fold."""
 
-    accepted: np.ndarray
-    rejected: np.ndarray
-    threshold: float = 0.0
+    whole: tuple[Counts, Counts]
+    folds: list[tuple[Counts, Counts]]
 
-    def ratios(self, urls: Sequence[str]) -> np.ndarray:
-        """Accepted less rejected log-likelihood, by character."""
-        if not urls:
-            return np.zeros(0)
+    def ratios(self, urls: Sequence[str], fold: int) -> np.ndarray:
+        """Accepted less rejected log-likelihood, by character, by the other folds' counts.
+
+        Zero where these lack a class.
+        """
+        pairs = list(zip(self.whole, self.folds[fold], strict=True))
+        if not urls or any(every.values.sum() <= own.values.sum() for every, own in pairs):
+            return np.zeros(len(urls))
         codes, at, first = _codes(urls)
         p = [np.full(len(at), 1 / 128), np.full(len(at), 1 / 128)]
         for k in range(ORDER):
             run, context = (
-                _slots(codes, place, k + 1 - salt, salt + 2 * k) for salt, place in ((0, at + 1), (1, at))
+                _hashes(codes, place, k + 1 - salt, salt + 2 * k) for salt, place in ((0, at + 1), (1, at))
             )
-            for c, counts in enumerate((self.accepted, self.rejected)):
-                p[c] = (counts[run] + PRIOR * p[c]) / (counts[context] + PRIOR)
+            for c, (every, own) in enumerate(pairs):
+                seen, total = every.of(run) - own.of(run), every.of(context) - own.of(context)
+                p[c] = (seen + PRIOR * p[c]) / (total + PRIOR)
         size = np.diff(np.append(first, len(at)))
         return np.add.reduceat(np.log(p[0]) - np.log(p[1]), first) / size
 
 
-def _ratio_column(df: DataFrame, shared, url: str, keep: Sequence[str]) -> DataFrame:
-    """``row`` (the columns ``keep``) and ``ratio`` of the URL text."""
-    picked = df.select(F.struct(*keep).alias("row"), F.col(url).alias("url"))
+def _ratio_column(df: DataFrame, shared, keep: Sequence[str]) -> DataFrame:
+    """``row`` (the columns ``keep``) and ``ratio`` of ``text`` in its ``fold``."""
+    picked = df.select(F.struct(*keep).alias("row"), "text", F.col("fold").cast("long"))
     out = f"row {picked.schema['row'].dataType.simpleString()}, ratio double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared_value(shared)
-        for batch in batches:
-            for a in range(0, batch.num_rows, 2000):
-                part = batch.slice(a, 2000)
-                ratio = pa.array(model.ratios(part.column(1).to_pylist()))
-                yield pa.RecordBatch.from_arrays([part.column(0), ratio], ["row", "ratio"])
+        for part in batches:
+            fold = part.column(2).to_numpy()
+            ratio = np.zeros(len(fold))
+            for f in np.unique(fold).tolist():
+                at = np.flatnonzero(fold == f)
+                ratio[at] = model.ratios(part.column(1).take(pa.array(at)).to_pylist(), f)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ratio)], ["row", "ratio"])
 
     return picked.mapInArrow(run, out)
 
 
 def learn(examples: DataFrame) -> Markov:
-    """The models from ``text, cell``: the example's class (0 accepted) plus twice its half.
-
-    For the threshold, examples of each half are scored by models of the other half; it is
-    the value below which ``FALSE_REJECTIONS`` of the accepted examples lie, and at most 0.
-    Without accepted examples, or without rejected ones, nothing is rejected.
-    """
-    spark = examples.sparkSession
-    made = examples.select("text", F.col("cell").cast("long")).mapInArrow(
-        _count, "slot long, a0 long, r0 long, a1 long, r1 long"
-    )
-    sums = made.groupBy("slot").agg(*[F.sum(c).alias(c) for c in ("a0", "r0", "a1", "r1")])
-    found = sums.toArrow()
-    table = np.zeros((1 << BITS, 4), np.float32)
-    slots = found.column("slot").to_numpy()
-    for i, name in enumerate(("a0", "r0", "a1", "r1")):
-        table[slots, i] = found.column(name).to_numpy()
-    both = Markov(table[:, 0] + table[:, 2], table[:, 1] + table[:, 3], -np.inf)
-    if not both.accepted.any() or not both.rejected.any():
-        return both
-    scored = []
-    for half, cells in ((0, (2, 3)), (1, (0, 1))):
-        shared = share(spark, Markov(table[:, cells[0]], table[:, cells[1]]))
-        some = (
-            examples.where(F.col("cell") == 2 * half)
-            .orderBy(F.xxhash64("text"))
-            .limit(CALIBRATION_ROWS // 2)
-        )
-        scored += _ratio_column(some, shared, "text", ["cell"]).toArrow().column("ratio").to_pylist()
-    both.threshold = min(0.0, float(np.quantile(scored, FALSE_REJECTIONS))) if scored else 0.0
-    return both
+    """The models from ``text, rejected, fold``."""
+    cell = (F.col("rejected") + 2 * F.col("fold")).cast("long")
+    made = examples.select("text", cell).mapInArrow(_count, "key long, fold long, a long, r long")
+    found = made.groupBy("key", "fold").agg(F.sum("a").alias("a"), F.sum("r").alias("r")).toArrow()
+    key, fold, *cells = (found.column(c).to_numpy() for c in ("key", "fold", "a", "r"))
+    keys, back = np.unique(key, return_inverse=True)
+    whole = [Counts.made(keys, np.bincount(back, c, len(keys))) for c in cells]
+    parts = [np.flatnonzero(fold == f) for f in range(FOLDS)]
+    return Markov(tuple(whole), [tuple(Counts.made(key[p], c[p]) for c in cells) for p in parts])
 
 
 def judge_urls(
@@ -206,26 +196,33 @@ def judge_urls(
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, ratio``, one row for each row of ``pages``.
 
-    A rule decides where one fits; else the calibrated ratio does. A null URL, and one
-    without ``://``, has an empty host and path and is judged like any other text. Repeated
-    rows count and stay; an empty table gives no rows.
+    A rule decides where one fits; else the ratio of host and path does. It rejects below the
+    value that ``FALSE_REJECTIONS`` of all accepted rows fall below, at most 0; without
+    accepted or without rejected rows it rejects nothing. A null URL, and one without
+    ``://``, has an empty host and path; null is judged like an empty text. Repeated rows
+    count and stay; an empty table gives no rows.
     """
-    host, path = host_and_path(F.col("_url"))
+    host, path = host_and_path(F.col("text"))
     rows = pages.select(
-        pages[f"`{id_col}`"].alias("page_id"), pages[f"`{url_col}`"].cast("string").alias("_url")
+        pages[f"`{id_col}`"].alias("page_id"),
+        F.coalesce(pages[f"`{url_col}`"].cast("string"), F.lit("")).alias("text"),
     )
-    rows = rows.select("page_id", host.alias("host"), path.alias("path"))
+    rows = rows.select("page_id", "text", host.alias("host"), path.alias("path"))
     rows = rows.withColumn("text", F.concat("host", "path"))
     rows = rows.withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
     spam = blocked_host(F.col("host"), blocked_words)
     blocked = F.coalesce(F.col("found.verdict") == "block", F.lit(False))
-    rejected = (spam | blocked).cast("long")
-    half = F.pmod(F.xxhash64("text"), F.lit(2))
-    examples = rows.select("text", (rejected + 2 * half).alias("cell"))
-    model = learn(examples)
-    shared = share(pages.sparkSession, model)
-    scored = _ratio_column(rows, shared, "text", ["page_id", "host", "path", "found"])
-    by_ratio = F.when(F.col("ratio") < F.lit(model.threshold), "block").otherwise("allow")
+    rows = rows.withColumn("rejected", (spam | blocked).cast("long"))
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)))
+    shared = share(pages.sparkSession, learn(rows))
+    scored = checkpoint(
+        _ratio_column(rows, shared, ["page_id", "host", "path", "found", "rejected"])
+    )
+    edge = F.percentile_approx("ratio", FALSE_REJECTIONS, round(1 / RANK_ERROR))
+    some = scored.where("row.rejected = 0").orderBy(F.xxhash64("row.host", "row.path"))
+    found = some.limit(CALIBRATION_ROWS).agg(edge).first()[0]
+    threshold = 0.0 if found is None else min(0.0, found)
+    by_ratio = F.when(F.col("ratio") < F.lit(threshold), "block").otherwise("allow")
     return scored.select(
         "row.page_id",
         "row.host",

@@ -457,6 +457,33 @@ def test_urls_on_odd_input(spark):
     assert urls.judge_urls(pages.limit(0)).count() == 0
 
 
+def made_urls(rng, ordinary, listed, hidden, kinds=10**9):
+    """Ordinary URLs, spam on hosts with a listed word, and spam on hosts without one.
+
+    ``kinds`` is the number of different paths that spam has.
+    """
+    def letters(alphabet, n):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    def spam(lead):
+        path = random.Random(rng.randrange(kinds)).choices("qxzjkvwy", k=18)
+        return f"http://{lead}{letters('qxzjkv', 6)}.net/{''.join(path)}"
+
+    out = [f"http://{letters('aeiost', 6)}.net/{letters('aeiorn', 9)}/{rng.randrange(999)}" for _ in range(ordinary)]
+    return out + [spam("casino-") for _ in range(listed)] + [spam("") for _ in range(hidden)]
+
+
+def judged(spark, given):
+    pages = spark.createDataFrame(list(enumerate(given)), "page_id long, url string")
+    return urls.judge_urls(pages, rules=()).toPandas().sort_values("page_id")
+
+
+def test_urls_do_not_vote_for_themselves(spark):
+    found = judged(spark, made_urls(random.Random(3), 4000, 300, 30))
+    assert (found.verdict[:4000] == "block").mean() < 0.01
+    assert (found.verdict[4300:] == "block").mean() > 0.8
+
+
 def test_main_text_of_all_pages(spark):
     found = {r["page_id"]: r["text"] for r in queries.op8_html(spark, MIDDLE).collect()}
     for page, raw in texts_of("pages", "html", MIDDLE).items():
