@@ -7,7 +7,7 @@ learn the rules' own sites and reject every other.) Two variable-order Markov mo
 characters, smoothed down to shorter contexts, give each URL a difference of
 log-likelihoods, divided by its length. The rows are parted by a hash of the URL, and each
 part is scored by models counted on all others, so no URL votes for itself. The threshold
-comes from the scores of accepted examples.
+comes from the scores of all accepted examples.
 
 Counts are summed by hashed slot, over all examples.
 """
@@ -30,8 +30,6 @@ BITS = 20
 PRIOR = 1.0
 #: Share of accepted examples that the calibrated threshold may reject.
 FALSE_REJECTIONS = 0.01
-#: Accepted examples used for the threshold.
-CALIBRATION_ROWS = 20_000
 #: Parts of the rows that are scored by models of the others.
 FOLDS = 8
 #: The threshold's rank is off by at most this part of the accepted examples.
@@ -219,8 +217,7 @@ def judge_urls(
         _ratio_column(rows, shared, ["page_id", "host", "path", "found", "rejected"])
     )
     edge = F.percentile_approx("ratio", FALSE_REJECTIONS, round(1 / RANK_ERROR))
-    some = scored.where("row.rejected = 0").orderBy(F.xxhash64("row.host", "row.path"))
-    found = some.limit(CALIBRATION_ROWS).agg(edge).first()[0]
+    found = scored.where("row.rejected = 0").agg(edge).first()[0]
     threshold = 0.0 if found is None else min(0.0, found)
     by_ratio = F.when(F.col("ratio") < F.lit(threshold), "block").otherwise("allow")
     return scored.select(

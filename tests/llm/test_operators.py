@@ -484,6 +484,16 @@ def test_urls_do_not_vote_for_themselves(spark):
     assert (found.verdict[4300:] == "block").mean() > 0.8
 
 
+def test_url_threshold_counts_every_row(spark):
+    given = made_urls(random.Random(4), 24_000, 3000, 900, 1000)
+    column = spark.createDataFrame([(u,) for u in given[:24_000]], "u string")
+    key = F.regexp_replace("u", "^http://", "")  # also least by the hash without the scheme
+    least = column.orderBy(F.xxhash64(key)).first()[0]
+    found = judged(spark, given + [least] * 12_000)
+    accepted = found[~found.host.str.startswith("casino")]
+    assert 0.009 < (accepted.verdict == "block").mean() <= 0.01
+
+
 def test_main_text_of_all_pages(spark):
     found = {r["page_id"]: r["text"] for r in queries.op8_html(spark, MIDDLE).collect()}
     for page, raw in texts_of("pages", "html", MIDDLE).items():
