@@ -9,8 +9,8 @@ log-likelihoods; a text's are means of it, over the whole text and over its most
 passage. A logistic curve turns them into a score.
 
 Counting is distributed: words are counted by class and fold, split into letter runs, and
-summed by hashed slot. The tables have a fixed number of slots, so what is broadcast is
-bounded whatever the corpus; all labelled rows count.
+summed by the full 64-bit hash of a run, so different runs do not share counts. The tables
+grow with the number of different runs; all labelled rows count.
 """
 
 from __future__ import annotations
@@ -24,13 +24,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runnel.llm.text import alnum_words, as_binary, map_texts, share, shared_value
+from runnel.llm.text import Counts, alnum_words, as_binary, map_texts, share, shared_value
 
 ORDER = 6
 DISCOUNT = 0.75
-#: log2 of the slots of the class counts, and of each shared table.
-CLASS_BITS = 20
-SHARED_BITS = 18
 PASSAGE = 8
 THRESHOLD = 0.7
 #: Labelled rows on which the curve is fitted.
@@ -78,8 +75,8 @@ def run_hash(codes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
-def _slot(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes & np.uint64((1 << bits) - 1)).astype(np.int64)
+def run_key(codes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    return run_hash(codes, at, size).view(np.int64)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,7 +103,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-#: Kinds of slots in the class tables: counts of a run, of its context, kinds of letters.
+#: Kinds of keys in the class tables: counts of a run, of its context, kinds of letters.
 RUN, CONTEXT, KINDS = 0, 1, 2
 CELLS = ["o0", "t0", "o2", "t2"]
 RUN_COLUMNS = ["size", "run", "last", "inner", "context", *CELLS]
@@ -133,16 +130,16 @@ def _letter_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 place = here[one]
                 columns = [
                     np.full(len(run), k, np.int64), run.view(np.int64),
-                    _slot(run_hash(codes, place + 1, k - 1), SHARED_BITS),
-                    _slot(run_hash(codes, place, max(k - 2, 0)), SHARED_BITS),
-                    _slot(run_hash(codes, place, k - 1), CLASS_BITS if k == ORDER else SHARED_BITS),
+                    run_key(codes, place + 1, k - 1),
+                    run_key(codes, place, max(k - 2, 0)),
+                    run_key(codes, place, k - 1),
                     *added,
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], RUN_COLUMNS)
 
 
-def slot_counts(labelled: DataFrame) -> DataFrame:
-    """``kind, slot, o0, t0, o2, t2`` over ``text, toxic, fold``: all tables of the models.
+def run_counts(labelled: DataFrame) -> DataFrame:
+    """``kind, key, o0, t0, o2, t2`` over ``text, toxic, fold``: all tables of the models.
 
     Class tables (kinds 0 to 2) have a number for each cell of class and fold. Shared tables
     have in ``o0`` a number of different runs: kind ``10 + k`` by the last ``k`` letters of
@@ -157,46 +154,44 @@ def slot_counts(labelled: DataFrame) -> DataFrame:
         *[F.sum(c).alias(c) for c in CELLS],
     )
 
-    def slot(kind: Column | int, at: Column, cells: Sequence[Column] | None = None) -> Column:
+    def entry(kind: Column | int, at: Column, cells: Sequence[Column] | None = None) -> Column:
         values = cells or [F.lit(1).cast("long"), *[F.lit(0).cast("long")] * 3]
-        named = [v.cast("int").alias(c) for v, c in zip(values, CELLS, strict=True)]
+        named = [v.alias(c) for v, c in zip(values, CELLS, strict=True)]
         kind = F.lit(kind) if isinstance(kind, int) else kind
-        return F.struct(kind.cast("int").alias("kind"), at.cast("int").alias("slot"), *named)
+        return F.struct(kind.cast("int").alias("kind"), at.alias("key"), *named)
 
     counts = [F.col(c) for c in CELLS]
     seen = [(c > 0).cast("long") for c in counts]
-    own = F.col("run").bitwiseAND(F.lit((1 << CLASS_BITS) - 1))
-    continued = [slot(F.col("size") + 9, F.col("last")), slot(F.col("size") + 18, F.col("inner"))]
-    top = [slot(RUN, own, counts), slot(CONTEXT, F.col("context"), counts), slot(KINDS, F.col("context"), seen)]
-    kinds = slot(F.col("size") + 29, F.col("context"))
+    context = F.col("context")
+    continued = [entry(F.col("size") + 9, F.col("last")), entry(F.col("size") + 18, F.col("inner"))]
+    top = [entry(RUN, F.col("run"), counts), entry(CONTEXT, context, counts), entry(KINDS, context, seen)]
+    kinds = entry(F.col("size") + 29, F.col("context"))
     made = (
         F.when(F.col("size") == ORDER, F.array(*continued, *top))
         .when(F.col("size") == 1, F.array(kinds))
         .otherwise(F.array(*continued, kinds))
     )
     each = runs.select(F.inline(made))
-    added = each.groupBy("kind", "slot").agg(*[F.sum(c).alias(c) for c in CELLS])
-    return added.select("kind", "slot", *[F.col(c).cast("int") for c in CELLS])
+    return each.groupBy("kind", "key").agg(*[F.sum(c).alias(c) for c in CELLS])
 
 
 @dataclass
 class Tables:
     """The models' counts: class tables by class, shared tables by length."""
 
-    run: np.ndarray
-    context: np.ndarray
-    kinds: np.ndarray
-    shared: dict[int, np.ndarray]
+    run: list[Counts]
+    context: list[Counts]
+    kinds: list[Counts]
+    shared: dict[int, Counts]
 
     def back_off(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Shared probability of each letter after up to ``ORDER - 2`` letters."""
         p = np.full(len(at), 1 / 256)
         for k in range(1, ORDER):
-            context = _slot(run_hash(codes, at, k - 1), SHARED_BITS)
-            run = _slot(run_hash(codes, at + 1, k), SHARED_BITS)
+            context, run = run_key(codes, at, k - 1), run_key(codes, at + 1, k)
             p = _discounted(
-                self.shared[10 + k][run], self.shared[20 + k - 1][context],
-                self.shared[30 + k - 1][context], p,
+                self.shared[10 + k].of(run), self.shared[20 + k - 1].of(context),
+                self.shared[30 + k - 1].of(context), p,
             )
         return p
 
@@ -206,11 +201,10 @@ class Tables:
             return np.zeros(0)
         codes, at, first = letter_runs(words)
         lower = self.back_off(codes, at)
-        run = _slot(run_hash(codes, at + 1, ORDER), CLASS_BITS)
-        context = _slot(run_hash(codes, at, ORDER - 1), CLASS_BITS)
+        run, context = run_key(codes, at + 1, ORDER), run_key(codes, at, ORDER - 1)
         ordinary, toxic = (
-            np.log(_discounted(self.run[c][run], self.context[c][context], self.kinds[c][context], lower))
-            for c in (0, 1)
+            np.log(_discounted(n.of(run), total.of(context), kinds.of(context), lower))
+            for n, total, kinds in zip(self.run, self.context, self.kinds, strict=True)
         )
         return np.add.reduceat(toxic - ordinary, first)
 
@@ -225,24 +219,21 @@ def _discounted(count, total, kinds, lower):
 
 
 def _tables(rows: np.ndarray, cells: Sequence[Sequence[int]]) -> Tables:
-    """Arrays from rows ``kind, slot, o0, t0, o2, t2``; ``cells`` names each class's cells."""
+    """Tables from rows ``kind, key, o0, t0, o2, t2``; ``cells`` names each class's cells."""
 
-    def dense(kind: int, bits: int, columns: Sequence[int]) -> np.ndarray:
-        out = np.zeros(1 << bits, np.float32)
+    def table(kind: int, columns: Sequence[int]) -> Counts:
         some = rows[rows[:, 0] == kind]
-        out[some[:, 1]] = some[:, list(columns)].sum(axis=1)
-        return out
+        return Counts.made(some[:, 1], some[:, list(columns)].sum(axis=1))
 
     by_class = [
-        [dense(kind, CLASS_BITS, [2 + c for c in cell]) for cell in cells]
-        for kind in (RUN, CONTEXT, KINDS)
+        [table(kind, [2 + c for c in cell]) for cell in cells] for kind in (RUN, CONTEXT, KINDS)
     ]
     shared = {
-        base + k: dense(base + k, SHARED_BITS, [2])
+        base + k: table(base + k, [2])
         for base, lengths in ((10, range(1, ORDER)), (20, range(ORDER - 1)), (30, range(ORDER - 1)))
         for k in lengths
     }
-    return Tables(*(np.stack(c) for c in by_class), shared)
+    return Tables(*by_class, shared)
 
 
 class Scorer:
@@ -359,8 +350,8 @@ def learn(
     """
     spark = docs.sparkSession
     train = labelled_rows(docs, labels, id_col, text_col, label_col)
-    counts = slot_counts(train.select("text", "toxic", "fold")).toArrow()
-    rows = np.column_stack([counts.column(n).to_numpy() for n in ["kind", "slot", *CELLS]])
+    counts = run_counts(train.select("text", "toxic", "fold")).toArrow()
+    rows = np.column_stack([counts.column(n).to_numpy() for n in ["kind", "key", *CELLS]])
     rows = rows.reshape(-1, 6).astype(np.int64)
     ids = usable_labels(labels, id_col, label_col).select(F.xxhash64("id").alias("at"))
     edge = ids.orderBy("at").limit(CURVE_ROWS).agg(F.max("at")).first()[0]

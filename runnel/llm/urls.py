@@ -9,7 +9,8 @@ log-likelihoods, divided by its length. The rows are parted by a hash of the URL
 part is scored by models counted on all others, so no URL votes for itself. The threshold
 comes from the scores of all accepted examples.
 
-Counts are summed by hashed slot, over all examples.
+Counts go by the full 64-bit hash of a run or context, over all examples; the tables grow
+with the number of different ones.
 """
 
 from __future__ import annotations
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 from runnel.llm.text import Counts, checkpoint, share, shared_value
 
 ORDER = 6
-BITS = 20
 #: Weight of the shorter context against one count.
 PRIOR = 1.0
 #: Share of accepted examples that the calibrated threshold may reject.
@@ -98,13 +98,13 @@ def _codes(urls: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _hashes(codes: np.ndarray, at: np.ndarray, size: int, salt: int) -> np.ndarray:
-    """Slots of the ``size`` codes that end before each position ``at``."""
+    """Signed 64-bit hashes of the ``size`` codes that end before each position ``at``."""
     out = np.full(len(at), 2 * size + salt + 1, np.uint64)
     for i in range(size, 0, -1):
         out = (out ^ codes[at - i]) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(31)
     out *= np.uint64(0xBF58476D1CE4E5B9)
-    return (out >> np.uint64(64 - BITS)).astype(np.int64)
+    return (out ^ (out >> np.uint64(32))).view(np.int64)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

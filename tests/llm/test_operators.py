@@ -494,6 +494,26 @@ def test_url_threshold_counts_every_row(spark):
     assert 0.009 < (accepted.verdict == "block").mean() <= 0.01
 
 
+def test_url_runs_do_not_share_counts():
+    codes, at, _ = urls._codes(made_urls(random.Random(5), 20_000, 0, 20_000))
+    runs = {bytes(codes[i - 5 : i + 1].astype("<u4").tobytes()) for i in at.tolist()}
+    assert len(runs) > 200_000
+    assert len(np.unique(urls._hashes(codes, at + 1, 6, 10))) == len(runs)
+
+
+def test_letter_runs_do_not_share_counts(spark):
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(14)) for _ in range(40_000)]
+    lines = [(" ".join(words[i : i + 100]).encode(), i % 2, 0) for i in range(0, len(words), 100)]
+    found = toxicity.run_counts(spark.createDataFrame(lines, "text binary, toxic int, fold int"))
+    got = {r["kind"]: r["n"] for r in found.groupBy("kind").agg(F.count("key").alias("n")).collect()}
+    marked = ["\x02" * 5 + w + "\x03" for w in words]
+    top = {w[i : i + 6] for w in marked for i in range(len(w) - 5)}
+    assert len(top) > 200_000 and got[toxicity.RUN] == len(top)
+    assert got[toxicity.CONTEXT] == len({t[:5] for t in top})
+    assert got[15] == len({t[1:] for t in top})
+
+
 def test_main_text_of_all_pages(spark):
     found = {r["page_id"]: r["text"] for r in queries.op8_html(spark, MIDDLE).collect()}
     for page, raw in texts_of("pages", "html", MIDDLE).items():
