@@ -194,7 +194,7 @@ def judge_urls(
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, ratio``, one row for each row of ``pages``.
 
-    A rule decides where one fits; else the ratio of host and path does. It rejects below the
+    A rule decides where one fits; else the ratio of the whole URL does. It rejects below the
     value that ``FALSE_REJECTIONS`` of all accepted rows fall below, at most 0; without
     accepted or without rejected rows it rejects nothing. A null URL, and one without
     ``://``, has an empty host and path; null is judged like an empty text. Repeated rows
@@ -206,7 +206,6 @@ def judge_urls(
         F.coalesce(pages[f"`{url_col}`"].cast("string"), F.lit("")).alias("text"),
     )
     rows = rows.select("page_id", "text", host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("text", F.concat("host", "path"))
     rows = rows.withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
     spam = blocked_host(F.col("host"), blocked_words)
     blocked = F.coalesce(F.col("found.verdict") == "block", F.lit(False))

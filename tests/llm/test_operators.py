@@ -501,6 +501,14 @@ def test_url_runs_do_not_share_counts():
     assert len(np.unique(urls._hashes(codes, at + 1, 6, 10))) == len(runs)
 
 
+def test_whole_url_is_judged(spark):
+    given = made_urls(random.Random(6), 500, 50, 0)
+    found = judged(spark, [*given, "http://a.net/b?page=2", "http://a.net/b?qxzjkv#vq", "no scheme", "qxzjkvqxz", None])
+    last = found.ratio.tolist()[-5:]
+    assert len(set(last)) == 5
+    assert found.host.tolist()[-3:] == [""] * 3 and found.path.tolist()[-5:-3] == ["/b"] * 2
+
+
 def test_letter_runs_do_not_share_counts(spark):
     rng = random.Random(7)
     words = ["".join(rng.choice("abcdefghij") for _ in range(14)) for _ in range(40_000)]
