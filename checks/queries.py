@@ -599,15 +599,18 @@ def stream_bronze(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_silver(spark: SparkSession, sf: str) -> DataFrame:
-    """All events, then a second arrival of some of them."""
-    src, out = landed(spark, sf), scratch_dir(spark, "bronze")
+    """Some events with other times, then all events, then a second arrival of some of them."""
+    src, out = scratch_dir(spark, "raw"), scratch_dir(spark, "bronze")
     target = medallion.Tables(scratch_dir(spark, "tables"))
     states = [scratch_dir(spark, "state") for _ in range(2)]
+    events = logs_raw(spark, sf)
     copies = logs_dup(spark, sf).where("ingest_seq = 2").drop("ingest_seq")
-    for arrival in (None, copies):
-        if arrival is not None:
-            arrival.write.mode("append").json(src)
-        flows.stream_bronze(spark, src, out, states[0], ntz(INGESTED)).awaitTermination()
+    kept = F.substring("event_id", 5, 20).cast("bigint") % 10 == 3
+    year = F.regexp_replace("timestamp", "^[0-9]{4}", "2001")
+    moved = events.where(kept).withColumn("timestamp", year)
+    for arrival, at in ((moved, "2024-01-01 00:00:00"), (events, INGESTED), (copies, INGESTED)):
+        arrival.write.mode("append").json(src)
+        flows.stream_bronze(spark, src, out, states[0], ntz(at)).awaitTermination()
         flows.stream_silver(
             spark, out, target.silver, target.quarantine, states[1]
         ).awaitTermination()

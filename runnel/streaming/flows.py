@@ -19,11 +19,13 @@ from runnel.operators.quality import dedup_latest
 from runnel.operators.sessions import resumable_sessions
 from runnel.operators.silver import clean, to_bronze
 from runnel.plans.medallion import refresh_sessions, session_rows_before
+from runnel.plans.sizing import materialise
 from runnel.schemas import BRONZE_DDL, LOAD_COL, QUARANTINE_DDL, SILVER_DDL
 from runnel.sources.raw import parse_raw_lines
 from runnel.sources.tables import (
     append_load,
     date_values,
+    drop_dates,
     read_dates,
     read_dates_of,
     read_table,
@@ -91,28 +93,27 @@ def add_to_silver(
 ) -> None:
     """Cleans one Bronze batch and puts it into Silver; of copies the latest counts.
 
-    The batch's dates are read, merged and replaced, so a repeated batch of that ``name``
-    changes nothing. Copies of an event carry its time, so only the batch's dates are
-    searched. Where a copy may carry another time, ``all_dates`` searches the whole table.
+    Older copies are looked for by id in the whole table, as a copy may carry another time.
+    The dates of the batch and of these copies are read, merged and replaced, so a repeated
+    batch of that ``name`` changes nothing. ``all_dates`` is kept for callers, without effect.
     """
     spark = batch.sparkSession
     fresh, rejected = clean(batch.drop(LOAD_COL))
     add_to_quarantine(rejected, quarantine, name)
     fresh = fresh.persist()
     try:
-        dates = date_values(fresh)
-        if all_dates and table_exists(spark, silver):
+        touched = fresh.select("event_date")
+        if table_exists(spark, silver):
             stored = read_table(spark, silver, SILVER_DDL)
-            moved = stored.join(fresh.select("event_id"), "event_id", "left_semi")
-            dates = date_values(moved.select("event_date").unionByName(fresh.select("event_date")))
-        if dates is not None:
-            held = read_dates(spark, silver, dates, SILVER_DDL)
-        elif table_exists(spark, silver):
-            held = read_table(spark, silver, SILVER_DDL)
-        else:
-            held = spark.createDataFrame([], SILVER_DDL)
-        merged = dedup_latest(held.unionByName(fresh))
-        replace_dates(merged, silver, dates)
+            older = stored.join(fresh.select("event_id"), "event_id", "left_semi")
+            touched = touched.unionByName(older.select("event_date"))
+        touched, _ = materialise(touched.distinct())
+        held = read_dates_of(spark, silver, touched, SILVER_DDL)
+        merged, _ = materialise(dedup_latest(held.unionByName(fresh)))
+        replace_dates(merged, silver)
+        left = merged.select(F.col("event_date").alias("_date")).distinct()
+        same = F.col("event_date").eqNullSafe(F.col("_date"))
+        drop_dates(spark, silver, [r[0] for r in touched.join(left, same, "left_anti").collect()])
     finally:
         fresh.unpersist()
 

@@ -97,6 +97,24 @@ def test_copy_with_another_time_needs_all_dates(spark, tmp_path, folder, at):
     assert rows(read_table(spark, target.silver, SILVER_DDL), "event_id") == [("e1",)]
 
 
+@pytest.mark.parametrize("most", [5000, 0])
+def test_copy_with_another_time_by_default(spark, tmp_path, folder, monkeypatch, most):
+    monkeypatch.setattr("runnel.sources.tables.MAX_DATES", most)
+    for i, minutes in enumerate((0, 3000)):
+        clock = F.lit(dt.datetime(2024, 2, 1 + i)).cast("timestamp_ntz")
+        write_lines(tmp_path / "raw", [json.dumps(event(1, minutes)), json.dumps(event(2 + i, 5000))])
+        target = Tables(f"{folder}/tables")
+        flows.stream_bronze(
+            spark, f"{folder}/raw", target.bronze, f"{folder}/state/bronze", clock
+        ).awaitTermination()
+        flows.stream_silver(
+            spark, target.bronze, target.silver, target.quarantine, f"{folder}/state/silver"
+        ).awaitTermination()
+    held = read_table(spark, target.silver, SILVER_DDL)
+    assert rows(held, "event_id") == [("e1",), ("e2",), ("e3",)]
+    assert held.where("event_id = 'e1'").first()["event_date"] == BASE.date() + dt.timedelta(2)
+
+
 def test_backlog_is_cut_into_batches(spark, tmp_path, folder):
     for batch in arrivals():
         write_lines(tmp_path / "raw", [json.dumps(e) for e in batch])
