@@ -1,4 +1,4 @@
-"""The ten queries over whole tables, and those that SQL can express as DuckDB SQL."""
+"""The thirteen queries over whole tables, and those that SQL can express as DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -13,12 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runnel.llm import (
+    alignment,
     decontaminate,
     html,
+    negatives,
     packing,
     pii,
     quality,
     rules,
+    secret_spans,
     simhash,
     substrings,
     toxicity,
@@ -26,6 +29,9 @@ from runnel.llm import (
 )
 
 TOKENIZER = public_tokenizers.path(packing.TOKENIZER)
+#: The byte-level vocabulary as ranks; the same ids as byte_bpe_50k.json.
+BYTE_TOKENS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECE_TOKENS = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def prepare(spark: SparkSession) -> None:
@@ -139,11 +145,41 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    number = F.col("vec_id")
+    label = F.when(number % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_negatives(table(spark, sf_dir, "embeddings"), number % 50 == 0, label)
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = secret_spans.find_secrets(
+        table(spark, sf_dir, "documents"), BYTE_TOKENS, public_tokenizers.PATTERN, carry=["doc_id"]
+    )
+    return found.select(
+        "row.doc_id",
+        *[secret_spans.count_of(kind).alias(f"n_{kind}") for kind in secret_spans.BASE],
+        F.sha2(secret_spans.listed(base_only=True).cast("binary"), 256).alias("base_sha256"),
+        secret_spans.listed().alias("spans"),
+    )
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    found = alignment.align_corpus(
+        docs, BYTE_TOKENS, public_tokenizers.PATTERN, PIECE_TOKENS, carry=["doc_id"]
+    )
+    return found.select(F.col("row.doc_id").cast("long").alias("doc_id"), *alignment.columns())
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality, op2_decontamination, op3_urls, op4_toxicity, op5_simhash, op6_rules,
-        op7_substrings, op8_html, op9_pii, op10_packing,
+        op7_substrings, op8_html, op9_pii, op10_packing, op11_negatives, op12_secrets,
+        op13_alignment,
     )
 }
 
@@ -218,4 +254,27 @@ cut AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
 SELECT doc_id, len(w) AS n_words, coalesce(cut.n, 0) AS n_removed,
   sha256(coalesce(kept.t, '')) AS kept_sha256
 FROM docs LEFT JOIN cut USING (r) LEFT JOIN kept USING (r)""",
+    "op11_negatives": f"""
+WITH named AS (SELECT row_number() OVER () AS r, vec_id,
+  CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding FROM embeddings),
+v AS (SELECT r, vec_id, label,
+  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM named
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v AS a JOIN v AS b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+near AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) AS place
+  FROM scored WHERE same),
+windows AS (SELECT anchor, anchor_id, place, id AS positive_id, score AS positive_score FROM near
+  WHERE place <= {negatives.POSITIVES}),
+fits AS (
+  SELECT w.*, s.id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY w.anchor, w.place ORDER BY s.score DESC, s.id) AS rank
+  FROM windows AS w JOIN scored AS s ON s.anchor = w.anchor AND NOT s.same
+    AND {negatives.LOW} * positive_score <= 100 * s.score
+    AND 100 * s.score <= {negatives.HIGH} * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM fits
+WHERE rank <= {negatives.NEGATIVES}""",
 }
