@@ -261,7 +261,8 @@ def held_against_corpus(
     if counts.count() <= broadcast_pairs:
         met = links.join(F.broadcast(counts), "pair")
     else:
-        met = join_spread(links, counts, ["pair"], ["_row"])
+        met = join_spread(links, counts.withColumn("_n", F.col("n")), ["pair"], ["_row"])
+        met = met.withColumnRenamed("_n", "n")
     sums = met.groupBy("_row").agg(
         F.sum(F.when(F.col("best"), F.col("_times")).otherwise(0)).alias("n_best"),
         F.sum(F.col("n") * F.col("_times")).alias("count_sum"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import cache
 from itertools import accumulate
 
@@ -33,7 +33,7 @@ LEAST = 20
 RATIO = 2.0
 #: A random string has a piece of so many letters and digits without a sign; dates, versions
 #: and short codes have not.
-PIECE = 10
+PIECE = 8
 #: Runs longer than this are tried by windows of this size, so that a secret inside a long
 #: run of other text is not averaged away.
 WINDOW = 64
@@ -67,7 +67,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def is_known(run: str) -> bool:
-    """Whether the form says digest, identifier, number or name rather than secret."""
+    """Whether the form says digest, identifier or number rather than secret."""
     core = run.strip("+/_=-")
     if HEX_ANY.fullmatch(core) and len(core) in DIGEST_SIZES:
         return True
@@ -75,26 +75,25 @@ def is_known(run: str) -> bool:
         return True
     if not SOLID.search(core):
         return True
-    kinds = (any(c.islower() for c in core), any(c.isupper() for c in core))
-    if sum((*kinds, any(c.isdigit() for c in core))) < 2:
-        return True
-    # A name has long words; in random text the same pattern fits only by many short pieces.
-    return bool(NAME.fullmatch(run)) and 5 * len(WORD.findall(run)) <= len(run)
+    kinds = (str.islower, str.isupper, str.isdigit)
+    return sum(any(map(kind, core)) for kind in kinds) < 2
 
 
-def is_random(run: str, tokens_of: Callable[[str], int], ratio: float = RATIO) -> bool:
-    """Whether some window of the run has few characters for each token.
+def is_name(part: str) -> bool:
+    """Whether it is made of words and short codes; random text has only short pieces."""
+    return bool(NAME.fullmatch(part)) and 5 * len(WORD.findall(part)) <= len(part)
 
-    A run of up to ``WINDOW`` characters is one window; a longer one has windows at every
-    half of that, the last at its end.
-    """
-    size = len(run)
-    starts = range(0, max(size - WINDOW, 0) + WINDOW // 2, WINDOW // 2) if size > WINDOW else (0,)
-    for at in starts:
-        part = run[min(at, max(size - WINDOW, 0)) :][:WINDOW]
-        if len(part) < ratio * tokens_of(part):
-            return True
-    return False
+
+def windows(run: str) -> Iterator[str]:
+    """The run, or if it is longer than ``WINDOW`` its windows at every half of that."""
+    last = max(len(run) - WINDOW, 0)
+    for at in range(0, last + WINDOW // 2, WINDOW // 2):
+        yield run[min(at, last) :][:WINDOW]
+
+
+def is_random(run: str, tokens_of: Callable[[str], int], ratio: float = RATIO) -> bool:
+    """Whether some window, if it is no name, has few characters for each token."""
+    return any(len(w) < ratio * tokens_of(w) for w in windows(run) if not is_name(w))
 
 
 def find_spans(
