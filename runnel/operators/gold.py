@@ -9,6 +9,11 @@ from runnel.functions.columns import error_sum, now_or, percent, rounded, same_r
 from runnel.operators.percentiles import exact_percentiles
 from runnel.schemas import DAILY_KPIS_DDL, KPI_KEYS, column_names
 
+#: Columns that the indicators are computed from, beside their keys.
+KPI_INPUTS = [
+    "event_id", "user_id", "session_id", "is_error", "latency_ms",
+    "request_size_bytes", "response_size_bytes",
+]
 LATENCY_PROBS = {"p95_latency_ms": 0.95, "p99_latency_ms": 0.99}
 
 

@@ -15,6 +15,8 @@ the stored rows behind it does as well, since any choice gives the same sessions
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,6 +27,7 @@ from runnel.plans.sizing import HotKeys, hot_keys
 from runnel.schemas import SESSIONS_DDL, column_names
 
 TIMEOUT_MINS = 30
+DAY_SECONDS = 86_400
 
 _WORK = ["_sec", "_carry", "_slice", "_lo", "_hi", "_new"]
 
@@ -54,8 +57,11 @@ def _by_user(rows: DataFrame, user: str, order: list[str], timeout_mins: float)
 
 
 def _by_slice(rows: DataFrame, user: str, timeout_mins: float) -> DataFrame:
-    width = max(1, int(timeout_mins * 60))
-    sliced = rows.withColumn("_slice", F.floor(F.col("_sec") / width))
+    # Slices end at midnight, so that a taken-up session shares none with another date.
+    width = max(1, min(int(timeout_mins * 60), DAY_SECONDS))
+    day = F.floor(F.col("_sec") / DAY_SECONDS)
+    within = F.floor((F.col("_sec") - day * DAY_SECONDS) / width)
+    sliced = rows.withColumn("_slice", day * (DAY_SECONDS // width + 1) + within)
     spans = (
         sliced.where(F.col("_slice").isNotNull())
         .groupBy(user, "_slice")
@@ -256,12 +262,12 @@ def _origin(session_id: Column | str) -> Column:
 
 
 def open_sessions(previous_day: DataFrame) -> DataFrame:
-    """Each user's last session of a day, as the starting point of the next day's chain."""
+    """Each user's last session of a date, as the starting point of the next date's chain."""
     last = F.max_by(
         F.struct("derived_session_id", "session_end"), F.struct("session_end", "derived_session_id")
     )
     return (
-        previous_day.groupBy("user_id")
+        previous_day.groupBy("user_id", "event_date")
         .agg(last.alias("_last"))
         .select(
             "user_id",
@@ -281,9 +287,10 @@ def resumable_sessions(
 ) -> DataFrame:
     """Summary with ids that stay the same between runs: user and first second of the session.
 
-    ``silver`` holds whole dates; ``previous_day`` the summary of the date before them. As
-    the timeout is shorter than a day, a session running into the first date has a row on
-    that previous date, so no older events need to be read.
+    ``silver`` holds whole dates; ``previous_day`` the summary of the date before them, or of
+    the date before each run of adjoining ones. As the timeout is shorter than a day, a
+    session running into a date has a row on the previous one, so no older events need to be
+    read, and runs with a date between them do not touch.
     """
     carried = open_sessions(previous_day) if previous_day is not None else None
     parts = _branches(
@@ -293,11 +300,14 @@ def resumable_sessions(
     return _numbered_summary(events, "session_origin", computed_at)
 
 
-def stale_dates(summary: DataFrame, timeout_mins: float = TIMEOUT_MINS) -> DataFrame:
-    """Dates of a resumable summary that do not fit the date before them.
+def stale_users(
+    summary: DataFrame, dates: Sequence[dt.date], timeout_mins: float = TIMEOUT_MINS
+) -> DataFrame:
+    """Users and dates of a resumable summary that do not fit the date before them.
 
-    A user's first session of a date must carry the id of its last earlier one if that one
-    was still open, else an id of its own. One row per user and date is compared.
+    ``summary`` holds the given dates and those before each. A user's first session of a
+    date must carry the id of its last one of the date before if that one was still open,
+    else an id of its own. One row per user and date is compared.
     """
     days = summary.groupBy("user_id", "event_date").agg(
         F.min("session_start").alias("_start"),
@@ -306,9 +316,10 @@ def stale_dates(summary: DataFrame, timeout_mins: float = TIMEOUT_MINS) -> DataF
         F.max_by("derived_session_id", "session_end").alias("_last"),
     )
     line = Window.partitionBy("user_id").orderBy("event_date")
-    opened = minutes_between(F.lag("_end").over(line), F.col("_start")) <= timeout_mins
-    due = F.when(opened, _origin(F.lag("_last").over(line))).otherwise(whole_seconds("_start"))
-    first_day = F.lag("event_date").over(line).isNull()
-    origin = _origin("_first")
-    fits = origin.eqNullSafe(due) | (first_day & (origin < whole_seconds("_start")))
-    return days.withColumn("_fits", fits).where("NOT _fits").select("event_date").distinct()
+    adjoins = F.lag("event_date").over(line) == F.date_sub("event_date", 1)
+    near = minutes_between(F.lag("_end").over(line), F.col("_start")) <= timeout_mins
+    carried = F.when(adjoins & near, _origin(F.lag("_last").over(line)))
+    due = F.coalesce(carried, whole_seconds("_start"))
+    judged = days.withColumn("_fits", _origin("_first").eqNullSafe(due))
+    stale = judged.where(F.col("event_date").isin(list(dates)) & ~F.col("_fits"))
+    return stale.select("user_id", "event_date")

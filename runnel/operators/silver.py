@@ -56,9 +56,15 @@ def to_silver(df: DataFrame, keep_flags: bool = False) -> DataFrame:
 
 
 def clean(df: DataFrame, tie_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Bronze rows to Silver rows and quarantined rows."""
+    """Bronze rows to Silver rows and quarantined rows.
+
+    Of copies with equal times, ``tie_cols`` decide; without them the Silver row itself, so
+    it is the same one whether the copies meet here or later in the Silver table.
+    """
     valid, quarantine = split_nulls(df, CRITICAL_COLS)
-    return to_silver(dedup_latest(valid, tie_cols=tie_cols)), quarantine
+    if tie_cols:
+        return to_silver(dedup_latest(valid, tie_cols=tie_cols)), quarantine
+    return dedup_latest(to_silver(valid)), quarantine
 
 
 def drop_null_critical(df: DataFrame) -> DataFrame:

@@ -6,18 +6,19 @@ import datetime as dt
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from runnel.functions.columns import event_time, now_or
-from runnel.operators.gold import daily_kpis
-from runnel.operators.layout import compact
+from runnel.functions.columns import now_or
+from runnel.operators.gold import KPI_INPUTS, daily_kpis
+from runnel.operators.layout import cache_if_reused, compact
 from runnel.operators.quality import observe_quality, split_nulls
 from runnel.operators.sessions import (
     resumable_sessions,
     session_summary_client,
-    stale_dates,
+    stale_users,
 )
 from runnel.operators.silver import (
     clean,
@@ -25,20 +26,39 @@ from runnel.operators.silver import (
     to_bronze,
     to_silver_sql,
 )
-from runnel.schemas import BRONZE_DDL, CRITICAL_COLS, DAILY_KPIS_DDL, SESSIONS_DDL, SILVER_DDL
+from runnel.plans.sizing import materialise
+from runnel.schemas import (
+    BRONZE_DDL,
+    CRITICAL_COLS,
+    DAILY_KPIS_DDL,
+    DATE_COL,
+    FILE_COL,
+    KPI_KEYS,
+    SESSIONS_DDL,
+    SILVER_DDL,
+)
+from runnel.sources.keyindex import copies_of, keys_of_load, read_load, silver_date, strays
 from runnel.sources.raw import read_raw_lines
 from runnel.sources.tables import (
-    append_load,
+    append_bronze,
     create_tables,
     date_values,
+    delete_folders,
     publish_tables,
     read_dates,
+    read_dates_of,
     read_table,
     replace_dates,
+    table_exists,
     write_table,
 )
 
 DAY = dt.timedelta(days=1)
+#: Folder inside Silver with the dates that lost all their rows; readers pass over it.
+EMPTIED = "_emptied"
+#: Folder inside the session summary with the dates that a refresh has still to do.
+PENDING = "_pending"
+NOTE_DDL = f"{DATE_COL} DATE"
 
 
 @dataclass(frozen=True)
@@ -74,20 +94,17 @@ def load_bronze(
     tables: Tables,
     ingested_at: Column | None = None,
     load: str | None = None,
-) -> DataFrame:
-    """Appends raw files, and gives their rows. Pass only new files, or use the stream.
+) -> str:
+    """Appends raw files, and gives the name of the load. Pass only new files, or use the
+    stream.
 
     A load that broke off can be repeated under its name ``load`` without adding copies.
     Fields that the data model lacks are kept, see ``unknown_fields``.
     """
+    load = load or uuid.uuid4().hex
     raw_logs = read_raw_lines(spark, raw).withColumn("_ingested_at", now_or(ingested_at))
-    rows = to_bronze(raw_logs)
-    append_load(rows, tables.bronze, load or uuid.uuid4().hex)
-    return rows
-
-
-def _silver_date() -> Column:
-    return F.to_date(event_time("timestamp"))
+    append_bronze(to_bronze(raw_logs), tables.bronze, load)
+    return load
 
 
 def _in_dates(day: Column, dates: Iterable[dt.date | None]) -> Column:
@@ -95,18 +112,58 @@ def _in_dates(day: Column, dates: Iterable[dt.date | None]) -> Column:
     return day.isin([d for d in dates if d is not None]) | (day.isNull() & F.lit(None in dates))
 
 
-def touched_dates(
-    spark: SparkSession, tables: Tables, arrived: DataFrame
-) -> list[dt.date | None] | None:
-    """All dates, in Bronze and in Silver, of the new rows and of older copies of them.
+def _all_dates(*frames: DataFrame) -> DataFrame:
+    """All dates of the frames' date columns, as one column."""
+    parts = [
+        f.select(F.explode(F.array([c for c, kind in f.dtypes if kind == "date"])).alias(DATE_COL))
+        for f in frames
+    ]
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def touched_dates(spark: SparkSession, bronze: str, load: str) -> list[dt.date | None] | None:
+    """All dates, in Bronze and in Silver, of a load's rows and of older copies of them.
 
-    None if they are more than ``MAX_DATES``.
+    Only the load itself and the index are read. None if they are more than ``MAX_DATES``.
     """
-    bronze = read_table(spark, tables.bronze, BRONZE_DDL)
-    ids = arrived.select("event_id").where("event_id IS NOT NULL").distinct()
-    copies = bronze.join(ids, "event_id", "left_semi")
-    both = [d.select(F.explode(F.array("event_date", _silver_date()))) for d in (arrived, copies)]
-    return date_values(both[0].unionByName(both[1]).toDF("event_date"))
+    mine = keys_of_load(spark, bronze, load)
+    arrived = read_load(spark, bronze, load).select(DATE_COL)
+    return date_values(_all_dates(arrived, mine, copies_of(spark, bronze, mine)))
+
+
+def bronze_for(
+    spark: SparkSession, bronze: str, dates: Sequence[dt.date | None]
+) -> tuple[DataFrame, DataFrame]:
+    """The Bronze rows that some Silver dates follow from: those of these dates, and their
+    copies on other dates; and the Bronze rows of the same dates.
+
+    The index says on which dates the copies lie, so only these are read.
+    """
+    moved = strays(spark, bronze)
+    inside = _in_dates(F.col("silver_date"), dates) | _in_dates(F.col("bronze_date"), dates)
+    ids = moved.where(inside).select("event_id").distinct()
+    elsewhere = moved.join(ids, "event_id", "left_semi").select(F.col("bronze_date").alias(DATE_COL))
+    named = spark.createDataFrame([(d,) for d in dates], NOTE_DDL)
+    found = date_values(elsewhere)
+    if found is None:
+        rows = read_dates_of(spark, bronze, named.unionByName(elsewhere), BRONZE_DDL)
+    else:
+        rows = read_dates(spark, bronze, [*dates, *found], BRONZE_DDL)
+    rows = rows.withColumn(FILE_COL, F.col("_metadata.file_name"))
+    here = _in_dates(silver_date(), dates)
+    copies = rows.where(~here).join(ids, "event_id", "left_semi")
+    return rows.where(here).unionByName(copies), rows.where(_in_dates(F.col(DATE_COL), dates))
+
+
+def replace_silver(
+    df: DataFrame, silver: str, dates: Sequence[dt.date | None] | DataFrame
+) -> None:
+    """Replaces dates of Silver, and notes the emptied ones for those who follow its files."""
+    emptied = replace_dates(df, silver, dates)
+    note = [(d,) for d in emptied if d is not None]
+    if note:
+        noted = df.sparkSession.createDataFrame(note, NOTE_DDL).coalesce(1)
+        noted.write.mode("append").parquet(f"{silver}/{EMPTIED}")
 
 
 def refresh_silver(
@@ -115,27 +172,27 @@ def refresh_silver(
     """Cleans all of Bronze, or some dates of Silver (None: the rows without a date).
 
     Whole dates are replaced, so a repeated run does not add copies, and a date whose rows
-    have all moved is emptied. The copies of an event are looked for on all dates.
+    have all moved is emptied. The copies of an event are looked for on all dates, by the
+    index of ids; other dates of Bronze are not read.
 
     Gives the counts of the Bronze rows that were read for Silver, observed while it is
     written: all, valid and quarantined rows and the copies among the valid ones.
     """
-    bronze = read_table(spark, tables.bronze, BRONZE_DDL)
     read, written = Observation(), Observation()
     kept = F.count(F.lit(1)).alias("kept")
     if dates is None:
-        write_table(split_nulls(bronze, CRITICAL_COLS)[1], tables.quarantine, "overwrite")
+        bronze = read_table(spark, tables.bronze, BRONZE_DDL)
+        named = bronze.withColumn(FILE_COL, F.col("_metadata.file_name"))
+        write_table(split_nulls(named, CRITICAL_COLS)[1], tables.quarantine, "overwrite")
         silver, _ = clean(observe_quality(bronze, read))
         write_table(silver.observe(written, kept), tables.silver, "overwrite")
         return _counts(read, written)
     dates = list(dates)
-    ids = bronze.where(_in_dates(_silver_date(), dates)).select("event_id")
-    ids = ids.where("event_id IS NOT NULL").distinct()
-    silver, _ = clean(observe_quality(bronze.join(ids, "event_id", "left_semi"), read))
-    silver = silver.observe(written, kept).where(_in_dates(F.col("event_date"), dates))
-    replace_dates(silver, tables.silver, dates)
-    rejected = split_nulls(bronze.where(_in_dates(F.col("event_date"), dates)), CRITICAL_COLS)[1]
-    replace_dates(rejected, tables.quarantine, dates)
+    rows, own = bronze_for(spark, tables.bronze, dates)
+    silver, _ = clean(observe_quality(rows, read))
+    silver = silver.observe(written, kept).where(_in_dates(F.col(DATE_COL), dates))
+    replace_silver(silver, tables.silver, dates)
+    replace_dates(split_nulls(own, CRITICAL_COLS)[1], tables.quarantine, dates)
     return _counts(read, written)
 
 
@@ -149,15 +206,16 @@ def session_rows_before(spark: SparkSession, path: str, first: dt.date) -> DataF
     return read_dates(spark, path, [first - DAY], SESSIONS_DDL)
 
 
-def _runs(dates: Iterable[dt.date]) -> list[list[dt.date]]:
-    """Adjoining dates, in order."""
-    runs: list[list[dt.date]] = []
-    for day in sorted(set(dates)):
-        if runs and day == runs[-1][-1] + DAY:
-            runs[-1].append(day)
-        else:
-            runs.append([day])
-    return runs
+def _note(spark: SparkSession, sessions: str, dates: Sequence[dt.date]) -> None:
+    noted = spark.createDataFrame([(d,) for d in dates], NOTE_DDL).coalesce(1)
+    noted.write.mode("append").parquet(f"{sessions}/{PENDING}")
+
+
+def _noted(spark: SparkSession, sessions: str) -> set[dt.date]:
+    path = f"{sessions}/{PENDING}"
+    if not table_exists(spark, path):
+        return set()
+    return {r[0] for r in read_table(spark, path, NOTE_DDL).distinct().collect()}
 
 
 def refresh_sessions(
@@ -167,27 +225,69 @@ def refresh_sessions(
     dates: Iterable[dt.date],
     computed_at: Column | None = None,
 ) -> list[dt.date]:
-    """Recomputes the sessions of the given dates, and of later ones as far as they change.
-
-    A date depends on its events and on the sessions open at its first midnight. Whether a
-    later date still fits its predecessor is read off the summary itself, so a run that
-    broke off is completed by repeating it. Gives the recomputed dates.
+    """Recomputes the sessions of the given dates, and of later ones for the users whose
+    sessions change.
+
+    A date depends on its events and on the sessions open at its first midnight, so only the
+    date behind a recomputed one can change, and there only users whose first session no
+    longer fits. All dates of a step are computed together. What a step has still to do is
+    noted first, so a run that broke off is completed by repeating it. Gives the recomputed
+    dates.
     """
-    todo, done = sorted(set(dates)), []
-    first = todo[0] if todo else None
+    todo = sorted(set(dates) | _noted(spark, sessions))
+    done: list[dt.date] = []
+    users: DataFrame | None = None
     while todo:
-        for run in _runs(todo):
-            events = read_dates(spark, silver, run, SILVER_DDL)
-            before = session_rows_before(spark, sessions, run[0])
-            replace_dates(resumable_sessions(events, before, computed_at), sessions, run)
+        _note(spark, sessions, todo)
+        whole = set(todo)
+        first = [d - DAY for d in todo if d - DAY not in whole]
+        events = read_dates(spark, silver, todo, SILVER_DDL)
+        before = read_dates(spark, sessions, first, SESSIONS_DDL)
+        if users is None:
+            made = resumable_sessions(events, before, computed_at)
+        else:
+            at = ["user_id", DATE_COL]
+            met = events.join(users, at, "left_semi")
+            open_then = before.join(
+                users.select("user_id", F.date_sub(DATE_COL, 1).alias(DATE_COL)), at, "left_semi"
+            )
+            others = read_dates(spark, sessions, todo, SESSIONS_DDL).join(users, at, "left_anti")
+            fresh = resumable_sessions(met, open_then, computed_at)
+            made = others.unionByName(fresh)
+        replace_dates(made, sessions, todo)
         done += todo
-        stored = read_table(spark, sessions, SESSIONS_DDL)
-        stale = stale_dates(stored.where(F.col("event_date") >= F.lit(first)))
-        found = sorted(r[0] for r in stale.collect())
-        if found and found[0] <= todo[0]:
-            raise ValueError(f"session ids of {sessions} do not hold the first second")
-        todo = found
-    return done
+        behind = sorted({d + DAY for d in todo} - whole)
+        pairs = read_dates(spark, sessions, [*behind, *(d - DAY for d in behind)], SESSIONS_DDL)
+        users, _ = materialise(stale_users(pairs, behind))
+        todo = sorted(r[0] for r in users.select(DATE_COL).distinct().collect())
+    delete_folders(spark, [f"{sessions}/{PENDING}"])
+    return sorted(done)
+
+
+def refresh_gold_dates(
+    spark: SparkSession,
+    silver: str,
+    kpis: str,
+    sessions: str,
+    dates: Iterable[dt.date],
+    computed_at: Column | None = None,
+    exact: bool = False,
+) -> None:
+    """Recomputes both Gold tables for some dates of Silver; those without rows are emptied.
+
+    The columns that the indicators need are cached meanwhile, as several aggregations read
+    them.
+    """
+    days = sorted(set(dates))
+    if not days:
+        return
+    needed = [*KPI_KEYS, *KPI_INPUTS]
+    rows = cache_if_reused(read_dates(spark, silver, days, SILVER_DDL).select(*needed))
+    try:
+        replace_dates(daily_kpis(rows, computed_at, exact), kpis, days)
+    finally:
+        rows.unpersist()
+    refresh_sessions(spark, silver, sessions, days, computed_at)
 
 
 def refresh_gold(
@@ -204,11 +304,10 @@ def refresh_gold(
         whole = resumable_sessions(silver, None, computed_at)
         write_table(whole, tables.sessions, "overwrite")
         return
-    days = sorted({d for d in dates if d is not None})
-    if days:
-        silver = read_dates(spark, tables.silver, days, SILVER_DDL)
-        replace_dates(daily_kpis(silver, computed_at, exact), tables.daily_kpis, days)
-        refresh_sessions(spark, tables.silver, tables.sessions, days, computed_at)
+    days = [d for d in dates if d is not None]
+    refresh_gold_dates(
+        spark, tables.silver, tables.daily_kpis, tables.sessions, days, computed_at, exact
+    )
 
 
 def rebuild_from_view(
@@ -239,6 +338,25 @@ def compact_gold(
         ).parquet(path)
 
 
+def run_silver(
+    spark: SparkSession,
+    raw: str,
+    tables: Tables,
+    as_of: dt.date | None = None,
+    days: int = 1,
+    at: Column | None = None,
+) -> list[dt.date | None] | None:
+    """The first two stages; gives the recomputed dates, None for all."""
+    load = load_bronze(spark, raw, tables, at)
+    dates = None
+    if as_of is not None:
+        dates = touched_dates(spark, tables.bronze, load)
+        recent = {as_of - i * DAY for i in range(days + 1)}
+        dates = None if dates is None else [*recent, *(d for d in dates if d not in recent)]
+    refresh_silver(spark, tables, dates)
+    return dates
+
+
 def run_tables(
     spark: SparkSession,
     raw: str,
@@ -256,13 +374,7 @@ def run_tables(
     declared in the catalog too and can be read by name.
     """
     tables = Tables(root)
-    arrived = load_bronze(spark, raw, tables, at)
-    dates = None
-    if as_of is not None:
-        dates = touched_dates(spark, tables, arrived)
-        recent = {as_of - i * DAY for i in range(days + 1)}
-        dates = None if dates is None else [*recent, *(d for d in dates if d not in recent)]
-    refresh_silver(spark, tables, dates)
+    dates = run_silver(spark, raw, tables, as_of, days, at)
     refresh_gold(spark, tables, dates, at, exact)
     if as_of is not None:
         compact_gold(spark, tables, as_of, days)

@@ -22,13 +22,16 @@ CORRUPT_COL = "_corrupt_record"
 UNKNOWN_COL = "_unknown_fields"
 #: Partition of a load, so that a repeated load replaces itself.
 LOAD_COL = "_load"
+DATE_COL = "event_date"
+#: The Bronze file of a rejected row, by which batch and stream know each other's rejects.
+FILE_COL = "_bronze_file"
 
 BRONZE_DDL = f"""
     {RAW_DDL}, _ingested_at TIMESTAMP_NTZ, _source_file STRING, {CORRUPT_COL} STRING,
     {UNKNOWN_COL} STRING, event_date DATE
 """
 
-QUARANTINE_DDL = f"{BRONZE_DDL}, _dq_reason STRING, _dq_null_cols STRING, _batch STRING"
+QUARANTINE_DDL = f"{BRONZE_DDL}, _dq_reason STRING, _dq_null_cols STRING, {FILE_COL} STRING"
 
 SILVER_DDL = """
     event_id STRING NOT NULL, session_id STRING, user_id STRING, event_timestamp TIMESTAMP_NTZ,

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,9 +14,16 @@ from runnel.operators.history import history_as_of, scd2_apply, scd2_stage
 from runnel.operators.layout import compact, repartition_by_date
 from runnel.operators.upsert import require_unique, upsert
 from runnel.plans.sizing import materialise
-from runnel.schemas import BRONZE_DDL, DAILY_KPIS_DDL, LOAD_COL, SESSIONS_DDL, SILVER_DDL
+from runnel.schemas import (
+    BRONZE_DDL,
+    DAILY_KPIS_DDL,
+    DATE_COL,
+    LOAD_COL,
+    SESSIONS_DDL,
+    SILVER_DDL,
+)
+from runnel.sources.keyindex import index_load
 
-DATE_COL = "event_date"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 MAX_DATES = 5_000
 #: Folder of a stored history with its load numbers; readers pass over the underscore.
@@ -108,19 +115,32 @@ def write_table(
 
 
 def replace_dates(
-    df: DataFrame, path: str, dates: Sequence[dt.date | None] | None = None
-) -> None:
+    df: DataFrame, path: str, dates: Sequence[dt.date | None] | DataFrame | None = None
+) -> list[dt.date | None]:
     """Replaces the dates that occur in ``df``; running it again changes nothing.
 
-    Of ``dates``, those without rows in ``df`` are emptied.
+    Of ``dates`` (a list, or a frame of them), those without rows in ``df`` are emptied; they
+    are given back. Which dates occur is observed while they are written, so ``df`` is
+    computed once; it may read the same table.
     """
+    seen = Observation()
+    # Behind the exchange, so that empty input is observed too and not optimised away.
+    written = repartition_by_date(df).observe(
+        seen,
+        F.collect_set(F.col(DATE_COL).cast("string")).alias("dates"),
+        F.count_if(F.col(DATE_COL).isNull()).alias("undated"),
+    )
+    write_table(written, path, "overwrite", dynamic=True, gather=False)
     if dates is None:
-        write_table(df, path, "overwrite", dynamic=True)
-        return
-    kept, _ = materialise(df)
-    found = {r[0] for r in kept.select(DATE_COL).distinct().collect()}
-    write_table(kept, path, "overwrite", dynamic=True)
-    drop_dates(df.sparkSession, path, [d for d in dates if d not in found])
+        return []
+    if isinstance(dates, DataFrame):
+        dates = [r[0] for r in dates.select(DATE_COL).distinct().collect()]
+    found: set[dt.date | None] = {dt.date.fromisoformat(d) for d in seen.get["dates"]}
+    if seen.get["undated"]:
+        found.add(None)
+    emptied = [d for d in dates if d not in found]
+    drop_dates(df.sparkSession, path, emptied)
+    return emptied
 
 
 def _folder(value: dt.date | None) -> str:
@@ -139,6 +159,11 @@ def delete_folders(spark: SparkSession, paths: Sequence[str]) -> None:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def write_quarantine(df: DataFrame, path: str) -> None:
     """Appends rejected rows; an empty frame adds no rows, so nothing is counted first."""
     df.write.mode("append").parquet(path)
@@ -175,6 +200,12 @@ def append_load(df: DataFrame, path: str, load: str) -> None:
     write_table(named, path, "overwrite", (DATE_COL, LOAD_COL), dynamic=True, gather=False)
 
 
+def append_bronze(df: DataFrame, path: str, load: str) -> None:
+    """Adds a load of Bronze rows, and their ids to the table's index."""
+    append_load(df, path, load)
+    index_load(df.sparkSession, path, load)
+
+
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """Reads a stored history, open and closed versions."""
     return read_table(spark, path).drop(LOAD_COL)

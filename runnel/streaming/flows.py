@@ -15,17 +15,31 @@ from pyspark.sql.streaming import StreamingQuery
 
 from runnel.functions.columns import now_or
 from runnel.operators.gold import daily_kpis
-from runnel.operators.quality import dedup_latest
+from runnel.operators.quality import any_null, dedup_latest
 from runnel.operators.sessions import resumable_sessions
 from runnel.operators.silver import clean, to_bronze
-from runnel.plans.medallion import refresh_sessions, session_rows_before
-from runnel.plans.sizing import materialise
-from runnel.schemas import BRONZE_DDL, LOAD_COL, QUARANTINE_DDL, SILVER_DDL
+from runnel.plans.medallion import (
+    EMPTIED,
+    NOTE_DDL,
+    refresh_gold_dates,
+    replace_silver,
+    session_rows_before,
+)
+from runnel.schemas import (
+    BRONZE_DDL,
+    CRITICAL_COLS,
+    DATE_COL,
+    FILE_COL,
+    LOAD_COL,
+    QUARANTINE_DDL,
+    SILVER_DDL,
+)
+from runnel.sources.keyindex import STRAYS, copies_of, index_bronze, silver_date
 from runnel.sources.raw import parse_raw_lines
 from runnel.sources.tables import (
-    append_load,
+    append_bronze,
     date_values,
-    drop_dates,
+    make_folder,
     read_dates,
     read_dates_of,
     read_table,
@@ -54,7 +68,7 @@ def stream_bronze(
 
     def add(batch: DataFrame, number: int) -> None:
         rows = parse_raw_lines(batch).withColumn("_ingested_at", now_or(ingested_at))
-        append_load(to_bronze(rows), out, batch_name(batch, number))
+        append_bronze(to_bronze(rows), out, batch_name(batch, number))
 
     return (
         lines.writeStream.foreachBatch(add)
@@ -70,52 +84,46 @@ def batch_name(batch: DataFrame, number: int) -> str:
     return f"{stream}-{number}"
 
 
-def add_to_quarantine(rejected: DataFrame, quarantine: str, name: str) -> None:
+def add_to_quarantine(rejected: DataFrame, quarantine: str) -> None:
     """Puts a batch's rejects beside those of other batches and of the batch flow.
 
-    The dates are read, merged and replaced, so a repeated batch replaces its own rows.
+    Rejects are known by their Bronze file, here as in the batch flow. Those of the same
+    files are replaced, so neither a repeated batch nor the other flow doubles them.
     """
     spark = rejected.sparkSession
     dates = date_values(rejected)
+    if dates == []:
+        return
     if dates is not None:
         held = read_dates(spark, quarantine, dates, QUARANTINE_DDL)
     elif table_exists(spark, quarantine):
         held = read_table(spark, quarantine, QUARANTINE_DDL)
     else:
         held = spark.createDataFrame([], QUARANTINE_DDL)
-    others = held.where(~F.col("_batch").eqNullSafe(F.lit(name)))
-    named = rejected.withColumn("_batch", F.lit(name))
-    replace_dates(others.unionByName(named, allowMissingColumns=True), quarantine, dates)
+    files = rejected.select(FILE_COL).distinct()
+    others = held.join(files, FILE_COL, "left_anti")
+    replace_dates(others.unionByName(rejected, allowMissingColumns=True), quarantine)
 
 
-def add_to_silver(
-    batch: DataFrame, silver: str, quarantine: str, name: str, all_dates: bool = False
-) -> None:
-    """Cleans one Bronze batch and puts it into Silver; of copies the latest counts.
+def add_to_silver(batch: DataFrame, bronze: str, silver: str, quarantine: str) -> None:
+    """Cleans one batch of Bronze rows and puts it into Silver; of copies the latest counts.
 
-    Older copies are looked for by id in the whole table, as a copy may carry another time.
-    The dates of the batch and of these copies are read, merged and replaced, so a repeated
-    batch of that ``name`` changes nothing. ``all_dates`` is kept for callers, without effect.
+    Older copies may lie on any date; the index of Bronze says on which. The dates of the
+    batch and of these copies are read, merged and replaced, so a repeated batch changes
+    nothing; no other date is read. ``batch`` has the name of its Bronze file.
     """
     spark = batch.sparkSession
     fresh, rejected = clean(batch.drop(LOAD_COL))
-    add_to_quarantine(rejected, quarantine, name)
-    fresh = fresh.persist()
-    try:
-        touched = fresh.select("event_date")
-        if table_exists(spark, silver):
-            stored = read_table(spark, silver, SILVER_DDL)
-            older = stored.join(fresh.select("event_id"), "event_id", "left_semi")
-            touched = touched.unionByName(older.select("event_date"))
-        touched, _ = materialise(touched.distinct())
+    add_to_quarantine(rejected, quarantine)
+    valid = batch.where(~any_null(CRITICAL_COLS)).select("event_id", silver_date().alias(DATE_COL))
+    copies = copies_of(spark, bronze, valid.distinct())
+    touched = valid.select(DATE_COL).unionByName(copies.select(F.col("silver_date").alias(DATE_COL)))
+    dates = date_values(touched)
+    if dates is None:
         held = read_dates_of(spark, silver, touched, SILVER_DDL)
-        merged, _ = materialise(dedup_latest(held.unionByName(fresh)))
-        replace_dates(merged, silver)
-        left = merged.select(F.col("event_date").alias("_date")).distinct()
-        same = F.col("event_date").eqNullSafe(F.col("_date"))
-        drop_dates(spark, silver, [r[0] for r in touched.join(left, same, "left_anti").collect()])
-    finally:
-        fresh.unpersist()
+    else:
+        held = read_dates(spark, silver, dates, SILVER_DDL)
+    replace_silver(dedup_latest(held.unionByName(fresh)), silver, touched if dates is None else dates)
 
 
 def stream_silver(
@@ -124,20 +132,23 @@ def stream_silver(
     silver: str,
     quarantine: str,
     checkpoint: str,
-    all_dates: bool = False,
     max_bytes: int = MAX_BYTES,
 ) -> StreamingQuery:
-    """New Bronze files to Silver and quarantine."""
+    """New Bronze files to Silver and quarantine.
+
+    Bronze written by other tools than this library is indexed first, if it has no index.
+    """
+    if not table_exists(spark, f"{bronze}/{STRAYS}"):
+        index_bronze(spark, bronze)
     rows = (
         spark.readStream.schema(BRONZE_DDL)
         .option("maxBytesPerTrigger", max_bytes)
         .parquet(bronze)
+        .select("*", F.col("_metadata.file_name").alias(FILE_COL))
     )
     return (
         rows.writeStream.foreachBatch(
-            lambda batch, n: add_to_silver(
-                batch, silver, quarantine, batch_name(batch, n), all_dates
-            )
+            lambda batch, _: add_to_silver(batch, bronze, silver, quarantine)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -158,17 +169,17 @@ def refresh_touched(
     A late event can join sessions of the next dates; these follow as far as they change.
     """
     spark = batch.sparkSession
-    dated = batch.where("event_date IS NOT NULL")
-    touched = read_dates_of(spark, silver, dated, SILVER_DDL)
-    replace_dates(daily_kpis(touched, computed_at, exact), kpis)
+    dated = batch.where("event_date IS NOT NULL").select(DATE_COL)
     dates = date_values(dated)
     if dates is not None:
-        refresh_sessions(spark, silver, sessions, dates, computed_at)
+        refresh_gold_dates(spark, silver, kpis, sessions, dates, computed_at, exact)
         return
+    touched = read_dates_of(spark, silver, dated, SILVER_DDL)
+    replace_dates(daily_kpis(touched, computed_at, exact), kpis, dated)
     first: dt.date = dated.agg(F.min("event_date")).first()[0]
     since = read_table(spark, silver, SILVER_DDL).where(F.col("event_date") >= F.lit(first))
     before = session_rows_before(spark, sessions, first)
-    replace_dates(resumable_sessions(since, before, computed_at), sessions)
+    replace_dates(resumable_sessions(since, before, computed_at), sessions, dated)
 
 
 def stream_gold(
@@ -181,14 +192,19 @@ def stream_gold(
     exact: bool = False,
     max_bytes: int = MAX_BYTES,
 ) -> StreamingQuery:
-    """New Silver files to both Gold tables."""
-    rows = (
-        spark.readStream.schema(SILVER_DDL)
-        .option("maxBytesPerTrigger", max_bytes)
-        .parquet(silver)
-    )
+    """New Silver files, and notes of emptied dates, to both Gold tables.
+
+    A file that a later batch has replaced meanwhile is passed over: its date comes again
+    with the new file or with the note that it was emptied.
+    """
+    make_folder(spark, f"{silver}/{EMPTIED}")
+    reader = spark.readStream.option("maxBytesPerTrigger", max_bytes)
+    reader = reader.option("ignoreMissingFiles", True)
+    written = reader.schema(SILVER_DDL).parquet(silver).select(DATE_COL)
+    emptied = reader.schema(NOTE_DDL).parquet(f"{silver}/{EMPTIED}")
     return (
-        rows.writeStream.foreachBatch(
+        written.unionByName(emptied)
+        .writeStream.foreachBatch(
             lambda batch, _: refresh_touched(batch, silver, kpis, sessions, computed_at, exact)
         )
         .option("checkpointLocation", checkpoint)

@@ -15,8 +15,10 @@ def con():
     return connect(SF)
 
 
-def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+def test_every_table_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

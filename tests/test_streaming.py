@@ -8,7 +8,7 @@ from runnel.operators.gold import daily_kpis
 from runnel.operators.sessions import resumable_sessions
 from runnel.operators.silver import clean
 from runnel.plans.medallion import Tables, load_bronze, refresh_silver
-from runnel.schemas import BRONZE_DDL, DAILY_KPIS_DDL, SESSIONS_DDL, SILVER_DDL
+from runnel.schemas import BRONZE_DDL, DAILY_KPIS_DDL, FILE_COL, SESSIONS_DDL, SILVER_DDL
 from runnel.sources.tables import read_table
 from runnel.streaming import flows
 from tests.helpers import BASE, multiset, raw_row, rows
@@ -33,13 +33,13 @@ def at():
     return F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz")
 
 
-def run(spark, tmp_path, folder, at, **options):
+def run(spark, tmp_path, folder, at):
     target = Tables(f"{folder}/tables")
     flows.stream_bronze(
         spark, f"{folder}/raw", target.bronze, f"{folder}/state/bronze", at
     ).awaitTermination()
     flows.stream_silver(
-        spark, target.bronze, target.silver, target.quarantine, f"{folder}/state/silver", **options
+        spark, target.bronze, target.silver, target.quarantine, f"{folder}/state/silver"
     ).awaitTermination()
     flows.stream_gold(
         spark,
@@ -72,14 +72,18 @@ def test_stream_equals_batch_after_every_arrival(spark, tmp_path, folder, at):
     assert read_table(spark, nothing_new.silver, SILVER_DDL).count() == 15
 
 
+def bronze_batch(spark, target):
+    whole = read_table(spark, target.bronze, BRONZE_DDL)
+    return whole.withColumn(FILE_COL, F.col("_metadata.file_name"))
+
+
 def test_repeated_batch_adds_nothing(spark, tmp_path, folder, at):
     write_lines(tmp_path / "raw", [json.dumps(e) for b in arrivals() for e in b])
     target = run(spark, tmp_path, folder, at)
-    bronze = read_table(spark, target.bronze, BRONZE_DDL)
-    name = read_table(spark, target.quarantine).first()["_batch"]
     counts = []
     for _ in range(2):
-        flows.add_to_silver(bronze, target.silver, target.quarantine, name)
+        batch = bronze_batch(spark, target)
+        flows.add_to_silver(batch, target.bronze, target.silver, target.quarantine)
         counts.append(
             (
                 read_table(spark, target.silver, SILVER_DDL).count(),
@@ -89,12 +93,18 @@ def test_repeated_batch_adds_nothing(spark, tmp_path, folder, at):
     assert counts == [(15, 1), (15, 1)]
 
 
-def test_copy_with_another_time_needs_all_dates(spark, tmp_path, folder, at):
-    write_lines(tmp_path / "raw", [json.dumps(event(1, 0))])
-    run(spark, tmp_path, folder, at, all_dates=True)
-    write_lines(tmp_path / "raw", [json.dumps(event(1, 3000))])
-    target = run(spark, tmp_path, folder, at, all_dates=True)
-    assert rows(read_table(spark, target.silver, SILVER_DDL), "event_id") == [("e1",)]
+def test_moved_copies_empty_their_dates(spark, tmp_path, folder, at):
+    """The only event of a date moves to another one, which goes on from its session."""
+    other = [event(7, 2880 + 5, "u2"), event(8, 2880 + 1439, "u3"), event(9, 2880 + 1445, "u3")]
+    for minutes, more in ((0, other), (1500, []), (30, [event(8, 2880 + 600, "u3")])):
+        write_lines(tmp_path / "raw", [json.dumps(e) for e in [event(1, minutes), *more]])
+        clock = F.lit(dt.datetime(2024, 2, 1) + dt.timedelta(minutes=minutes)).cast("timestamp_ntz")
+        target = run(spark, tmp_path, folder, clock)
+        held = read_table(spark, target.silver, SILVER_DDL)
+        kpis = read_table(spark, target.daily_kpis, DAILY_KPIS_DDL).drop("_computed_at")
+        assert multiset(kpis) == multiset(daily_kpis(held, exact=True).drop("_computed_at"))
+        sessions = read_table(spark, target.sessions, SESSIONS_DDL).drop("_computed_at")
+        assert multiset(sessions) == multiset(resumable_sessions(held).drop("_computed_at"))
 
 
 @pytest.mark.parametrize("most", [5000, 0])
@@ -144,11 +154,11 @@ def test_loads_and_streams_share_bronze_and_quarantine(spark, tmp_path, folder,
     run(spark, tmp_path, folder, at)
     assert rows(read_table(spark, target.silver, SILVER_DDL), "event_id") == [("e1",), ("e2",)]
     assert rows(read_table(spark, target.quarantine), "event_id") == [("bad",), ("worse",)]
-    # Another stream starts at batch 0 too.
+    # Another stream over the same files does not double their rejects.
     flows.stream_silver(
         spark, target.bronze, target.silver, target.quarantine, f"{folder}/state/other"
     ).awaitTermination()
-    assert read_table(spark, target.quarantine).count() == 4
+    assert rows(read_table(spark, target.quarantine), "event_id") == [("bad",), ("worse",)]
     # The batch flow replaces whole dates, whoever wrote them.
     refresh_silver(spark, target, [BASE.date()])
     assert rows(read_table(spark, target.quarantine), "event_id") == [("bad",), ("worse",)]

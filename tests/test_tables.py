@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from runnel.operators import layout, silver
-from runnel.operators.sessions import resumable_sessions, stale_dates
+from runnel.operators.sessions import resumable_sessions, stale_users
 from runnel.plans import medallion
 from runnel.plans.medallion import (
     Tables,
@@ -23,7 +23,7 @@ from runnel.schemas import (
     SILVER_DDL,
     column_names,
 )
-from runnel.sources import raw, tables
+from runnel.sources import keyindex, raw, tables
 from tests.helpers import BASE, multiset, raw_row, rows
 from tests.helpers import silver as silver_rows
 
@@ -332,19 +332,19 @@ def test_late_events_recompute_only_what_changes(spark, folder, monkeypatch):
     # first try breaks off after two of them.
     calls = []
 
-    def break_off(summary):
+    def break_off(*given):
         calls.append(1)
         if len(calls) == 2:
             raise RuntimeError("lost")
-        return stale_dates(summary)
+        return stale_users(*given)
 
     tables.write_table(silver_rows(spark, hole), path)
     with monkeypatch.context() as patch:
-        patch.setattr(medallion, "stale_dates", break_off)
+        patch.setattr(medallion, "stale_users", break_off)
         with pytest.raises(RuntimeError, match="lost"):
             refresh_sessions(spark, path, out, [BASE.date()], at)
     assert refresh_sessions(spark, path, out, [BASE.date()], at) == [
-        BASE.date() + i * DAY for i in (0, 2, 3)
+        BASE.date() + i * DAY for i in (0, 1, 2, 3)
     ]
     assert arrive(("x", "u3", BASE + DAY), ("y", "u3", BASE + 4 * DAY)) == [1, 4]
 
@@ -398,3 +398,72 @@ def test_upsert_keeps_columns_and_rejects_double_keys(spark, folder):
     assert rows(found, "k", "v", "more") == [(1, "x", "kept"), (2, "y", None)]
     with pytest.raises(ValueError, match="several rows"):
         tables.upsert_table(spark, path, new.unionByName(new), ["event_date", "k"])
+
+
+def files_of(df):
+    """The dates whose files a frame reads, those of the index left out."""
+    return {n.split("event_date=")[1].split("/")[0] for n in df.inputFiles() if "event_date=" in n}
+
+
+def test_incremental_run_reads_touched_dates_only(spark, tmp_path, folder):
+    """Copies on other dates are found by the index; other dates and buckets are not read."""
+    at = F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz")
+    target = Tables(f"{folder}/tables")
+    write_lines(tmp_path / "one", [json.dumps(e) for e in events(60, days=10)])
+    medallion.load_bronze(spark, str(tmp_path / "one"), target, at, "one")
+    assert keyindex.strays(spark, target.bronze).count() == 0
+    moved = dict(events(1, 3)[0], timestamp=(BASE + 7 * DAY).isoformat() + ".000Z")
+    write_lines(tmp_path / "two", [json.dumps(moved)])
+    for _ in range(2):
+        medallion.load_bronze(spark, str(tmp_path / "two"), target, at, "two")
+        dates = medallion.touched_dates(spark, target.bronze, "two")
+        assert sorted(dates) == [BASE.date() + 3 * DAY, BASE.date() + 7 * DAY]
+        assert keyindex.strays(spark, target.bronze).count() == 2
+    for asked in ([BASE.date() + 3 * DAY], [BASE.date() + 7 * DAY]):
+        rows_, own = medallion.bronze_for(spark, target.bronze, asked)
+        assert files_of(rows_) == {d.isoformat() for d in dates}
+        later = asked == [BASE.date() + 7 * DAY]
+        # The moved copy beside the six first events, and its other copy from the other date.
+        assert (own.count(), rows_.count()) == (6 + later, 7 + later)
+    mine = keyindex.keys_of_load(spark, target.bronze, "two")
+    bucket = mine.first()["bucket"]
+    looked_up = keyindex.keys_in(spark, target.bronze, [bucket])
+    plan = looked_up._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    assert looked_up.select("bucket").distinct().count() == 1
+    refresh_silver(spark, target)
+    held = tables.read_table(spark, target.silver, SILVER_DDL)
+    assert held.count() == 60
+
+
+def test_index_of_a_table_written_elsewhere(spark, tmp_path, folder):
+    at = F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz")
+    target = Tables(f"{folder}/tables")
+    odd = raw_row("odd", timestamp="2024-01-05 10:00:00")
+    twice = [dict(e, timestamp=(BASE + 9 * DAY).isoformat() + ".000Z") for e in events(2)]
+    for i, batch in enumerate(([*events(20), odd], twice)):
+        write_lines(tmp_path / str(i), [json.dumps(e) for e in batch])
+        medallion.load_bronze(spark, str(tmp_path / str(i)), target, at, str(i))
+    found = keyindex.strays(spark, target.bronze)
+    want = multiset(found)
+    assert found.count() == 5
+    keyindex.index_bronze(spark, target.bronze)
+    assert multiset(keyindex.strays(spark, target.bronze)) == want
+
+
+def test_session_refresh_reads_adjoining_dates_only(spark, folder, monkeypatch):
+    at = F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz")
+    path, out = f"{folder}/silver", f"{folder}/sessions"
+    rows_ = [(f"e{i}", f"u{i % 3}", BASE + i * DAY / 4) for i in range(40)]
+    tables.write_table(silver_rows(spark, *rows_), path)
+    refresh_sessions(spark, path, out, {r[2].date() for r in rows_}, at)
+    seen = []
+
+    def watched(spark, path, dates, schema):
+        seen.extend(dates)
+        return tables.read_dates(spark, path, dates, schema)
+
+    monkeypatch.setattr(medallion, "read_dates", watched)
+    refresh_sessions(spark, path, out, [BASE.date() + 2 * DAY], at)
+    assert {(d - BASE.date()).days for d in seen} == {1, 2, 3}
+    assert not tables.table_exists(spark, f"{out}/_pending")
