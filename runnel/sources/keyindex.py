@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from runnel.functions.columns import event_time
@@ -25,7 +25,7 @@ from runnel.schemas import BRONZE_DDL, CRITICAL_COLS, DATE_COL, LOAD_COL
 
 KEYS, STRAYS = "_keys", "_strays"
 #: Hash buckets of the ids. A stored index keeps the number that it was made with.
-BUCKETS = 64
+BUCKETS = 32
 KEY_DDL = "event_id STRING, bronze_date DATE, silver_date DATE"
 KEYS_DDL = f"{KEY_DDL}, bucket INT, {LOAD_COL} STRING"
 STRAYS_DDL = f"{KEY_DDL}, {LOAD_COL} STRING"
@@ -63,10 +63,14 @@ def read_load(spark: SparkSession, bronze: str, load: str) -> DataFrame:
 
 
 def keys_of(rows: DataFrame) -> DataFrame:
-    """The different ids and dates of the Bronze rows that can reach Silver."""
+    """The different ids and dates, with their loads, of the Bronze rows that can reach
+    Silver, sorted by bucket and id. One shuffle by bucket serves all of it."""
     valid = rows.where(~any_null(CRITICAL_COLS))
-    dated = valid.select("event_id", F.col(DATE_COL).alias("bronze_date"), silver_date().alias("silver_date"))
-    return dated.distinct().withColumn("bucket", bucket_of())
+    dated = valid.select(
+        "event_id", F.col(DATE_COL).alias("bronze_date"), silver_date().alias("silver_date"),
+        LOAD_COL, bucket_of().alias("bucket"),
+    )
+    return dated.repartition("bucket").distinct().sortWithinPartitions("bucket", "event_id")
 
 
 def keys_in(spark: SparkSession, bronze: str, buckets: Sequence[int]) -> DataFrame:
@@ -105,11 +109,12 @@ def index_load(spark: SparkSession, bronze: str, load: str) -> None:
     Older copies of its ids are looked up in the buckets that the load touches: at most
     ``BUCKETS`` numbers pass through the driver.
     """
-    fresh = keys_of(read_load(spark, bronze, load)).withColumn(LOAD_COL, F.lit(load))
-    dealt = fresh.repartition("bucket").sortWithinPartitions("bucket", "event_id")
-    _write(dealt, f"{bronze}/{KEYS}", ["bucket", LOAD_COL])
+    fresh = keys_of(read_load(spark, bronze, load))
+    seen = Observation()
+    observed = fresh.observe(seen, F.collect_set(F.col("bucket").cast("string")).alias("buckets"))
+    _write(observed, f"{bronze}/{KEYS}", ["bucket", LOAD_COL])
+    touched = sorted(map(int, seen.get["buckets"]))
     mine = keys_of_load(spark, bronze, load)
-    touched = [r[0] for r in mine.select("bucket").distinct().collect()]
     others = keys_in(spark, bronze, touched).where(F.col(LOAD_COL) != load)
     older = others.join(mine.select("bucket", "event_id"), ["bucket", "event_id"], "left_semi")
     names = ["event_id", "bronze_date", "silver_date"]
@@ -120,12 +125,7 @@ def index_load(spark: SparkSession, bronze: str, load: str) -> None:
 def index_bronze(spark: SparkSession, bronze: str) -> None:
     """Makes the index of a whole Bronze table anew, e.g. of one that other tools wrote."""
     rows = _read(spark, bronze, f"{BRONZE_DDL}, {LOAD_COL} STRING")
-    by_load = rows.where(~any_null(CRITICAL_COLS)).select(
-        "event_id", F.col(DATE_COL).alias("bronze_date"), silver_date().alias("silver_date"), LOAD_COL
-    )
-    keys = by_load.distinct().withColumn("bucket", bucket_of())
-    dealt = keys.repartition("bucket").sortWithinPartitions("bucket", "event_id")
-    dealt.write.mode("overwrite").partitionBy("bucket", LOAD_COL).parquet(f"{bronze}/{KEYS}")
+    keys_of(rows).write.mode("overwrite").partitionBy("bucket", LOAD_COL).parquet(f"{bronze}/{KEYS}")
     found = _scattered(_read(spark, f"{bronze}/{KEYS}", KEYS_DDL))
     named = found.withColumn(LOAD_COL, F.lit("all"))
     named.write.mode("overwrite").partitionBy(LOAD_COL).parquet(f"{bronze}/{STRAYS}")
