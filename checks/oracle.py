@@ -336,6 +336,14 @@ ORACLE: dict[str, str] = {
         "CAST(sum(unique_sessions) AS BIGINT) AS daily_sessions FROM kpis GROUP BY event_date",
         "kpis",
     ),
+    "daily_active_exact": logs(
+        "SELECT event_date, count(DISTINCT user_id) AS daily_active_users, "
+        "count(DISTINCT session_id) AS daily_sessions FROM silver GROUP BY event_date"
+    ),
+    "latency_tails": logs(
+        "SELECT service, count(latency_ms) AS n, true AS p95_within, true AS p99_within "
+        "FROM silver WHERE latency_ms IS NOT NULL GROUP BY service"
+    ),
     "kpi_top_endpoints": logs(
         f"SELECT endpoint, count(*) AS total_requests, {rounded('avg(latency_ms)')} "
         f"AS avg_latency_ms, {rounded(percent(ERRORS, 'count(*)'))} AS error_rate_pct "

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from checks.fixtures import COMPUTED, INGESTED, LOADS, bronze, customers, logs_dup, logs_raw, ntz
 from runnel.functions.columns import status_category
 from runnel.operators import gold, history, layout, quality, sessions, silver, upsert
+from runnel.operators.mergeable import BITMAPS_DDL, RANK_ERROR, SKETCHES_DDL
 from runnel.plans import dashboard, medallion
 from runnel.plans.sizing import HotKeys, hot_keys, scratch_dir
 from runnel.schemas import (
@@ -432,6 +433,41 @@ def kpi_daily_active(spark: SparkSession, sf: str) -> DataFrame:
     return dashboard.daily_active(gold.kpi_uniques(clean_events(spark, sf)))
 
 
+def merged_cells(spark: SparkSession, sf: str) -> medallion.Tables:
+    """The mergeable Gold tables after two runs, the second with some dates again."""
+    target = medallion.Tables(scratch_dir(spark, "tables"))
+    events = silver_table(spark, sf)
+    tables.write_table(events.where(F.col("event_date") <= F.lit(SPLIT)), target.silver)
+    medallion.refresh_mergeable(spark, target)
+    later = events.where(F.col("event_date") > F.lit(SPLIT))
+    tables.write_table(later, target.silver)
+    days = [r[0] for r in later.select("event_date").distinct().collect()]
+    medallion.refresh_mergeable(spark, target, [SPLIT, *days])
+    return target
+
+
+@query
+def daily_active_exact(spark: SparkSession, sf: str) -> DataFrame:
+    path = merged_cells(spark, sf).bitmaps
+    return dashboard.daily_active_exact(tables.read_table(spark, path, BITMAPS_DDL))
+
+
+@query
+def latency_tails(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the merged percentiles of each service lie within the stated error of rank."""
+    target = merged_cells(spark, sf)
+    tails = dashboard.latency_tails(tables.read_table(spark, target.sketches, SKETCHES_DDL))
+    values = tables.read_table(spark, target.silver, SILVER_DDL).select("service", "latency_ms")
+    met = values.where("latency_ms IS NOT NULL").join(tails, "service")
+    checks = []
+    for name, p in gold.LATENCY_PROBS.items():
+        below = F.count_if(F.col("latency_ms") < F.col(name)) / F.count(F.lit(1))
+        upto = F.count_if(F.col("latency_ms") <= F.col(name)) / F.count(F.lit(1))
+        near = (below <= p + RANK_ERROR) & (upto >= p - RANK_ERROR)
+        checks.append(near.alias(name.replace("_latency_ms", "_within")))
+    return met.groupBy("service", "n").agg(*checks)
+
+
 @query
 def kpi_top_endpoints(spark: SparkSession, sf: str) -> DataFrame:
     return dashboard.top_endpoints(clean_events(spark, sf))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runnel.functions.columns import day_name, error_sum, percent, rounded
+from runnel.operators.gold import LATENCY_PROBS
+from runnel.operators.mergeable import distinct_counts, merged_percentiles
 
 
 def error_trend(kpis: DataFrame) -> DataFrame:
@@ -48,6 +50,28 @@ def daily_active(kpis: DataFrame) -> DataFrame:
     )
 
 
+def daily_active_exact(bitmaps: DataFrame) -> DataFrame:
+    """Users and sessions per date from the stored bitmaps: one of two services counts once."""
+    counted = distinct_counts(bitmaps, ["event_date"])
+    return (
+        counted.groupBy("event_date")
+        .agg(
+            F.coalesce(F.sum(F.when(F.col("kind") == "user", F.col("n"))), F.lit(0)).alias(
+                "daily_active_users"
+            ),
+            F.coalesce(F.sum(F.when(F.col("kind") == "session", F.col("n"))), F.lit(0)).alias(
+                "daily_sessions"
+            ),
+        )
+        .orderBy("event_date")
+    )
+
+
+def latency_tails(sketches: DataFrame, by: Sequence[str] = ("service",)) -> DataFrame:
+    """Latency percentiles of whole groups of cells, from the stored sketches."""
+    return merged_percentiles(sketches, by, LATENCY_PROBS).orderBy(*by)
+
+
 def top_endpoints(silver: DataFrame, n: int = 10) -> DataFrame:
     requests = F.count(F.lit(1))
     return (

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from runnel.functions.columns import now_or
 from runnel.operators.gold import KPI_INPUTS, daily_kpis
 from runnel.operators.layout import cache_if_reused, compact
+from runnel.operators.mergeable import NUMBERS_DDL, cell_bitmaps, cell_sketches, new_numbers
 from runnel.operators.quality import observe_quality, split_nulls
 from runnel.operators.sessions import (
     resumable_sessions,
@@ -87,6 +88,18 @@ class Tables:
     def sessions(self) -> str:
         return f"{self.root}/gold/session_summary"
 
+    @property
+    def numbers(self) -> str:
+        return f"{self.root}/gold/key_numbers"
+
+    @property
+    def bitmaps(self) -> str:
+        return f"{self.root}/gold/active_bitmaps"
+
+    @property
+    def sketches(self) -> str:
+        return f"{self.root}/gold/latency_sketches"
+
 
 def load_bronze(
     spark: SparkSession,
@@ -310,6 +323,39 @@ def refresh_gold(
     )
 
 
+#: What is counted exactly over any group of cells: its kind, and its Silver column.
+COUNTED = {"user": "user_id", "session": "session_id"}
+
+
+def refresh_mergeable(
+    spark: SparkSession, tables: Tables, dates: Iterable[dt.date | None] | None = None
+) -> None:
+    """Recomputes the mergeable Gold tables from Silver, for all dates or for some.
+
+    Keys met for the first time are numbered first; a repeated run finds them numbered.
+    """
+    silver = read_table(spark, tables.silver, SILVER_DDL).where("event_date IS NOT NULL")
+    days = None
+    if dates is not None:
+        days = sorted({d for d in dates if d is not None})
+        silver = read_dates(spark, tables.silver, days, SILVER_DDL)
+    if not table_exists(spark, tables.numbers):
+        write_table(spark.createDataFrame([], NUMBERS_DDL), tables.numbers, partition_cols=())
+    parts = []
+    for kind, column in COUNTED.items():
+        known = read_table(spark, tables.numbers, NUMBERS_DDL).where(F.col("kind") == kind)
+        fresh = new_numbers(silver.select(column), known.drop("kind"))
+        write_table(fresh.withColumn("kind", F.lit(kind)), tables.numbers, partition_cols=())
+        numbers = read_table(spark, tables.numbers, NUMBERS_DDL).where(F.col("kind") == kind)
+        parts.append(cell_bitmaps(silver, column, numbers).withColumn("kind", F.lit(kind)))
+    made = [(reduce(DataFrame.unionByName, parts), tables.bitmaps), (cell_sketches(silver), tables.sketches)]
+    for df, path in made:
+        if days is None:
+            write_table(df, path, "overwrite")
+        else:
+            replace_dates(df, path, days)
+
+
 def rebuild_from_view(
     spark: SparkSession, view: str, tables: Tables, at: Column | None = None
 ) -> None:
