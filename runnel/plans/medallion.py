@@ -45,6 +45,7 @@ from runnel.sources.tables import (
     create_tables,
     date_values,
     delete_folders,
+    publish_dates,
     publish_tables,
     read_dates,
     read_dates_of,
@@ -285,22 +286,23 @@ def refresh_gold_dates(
     dates: Iterable[dt.date],
     computed_at: Column | None = None,
     exact: bool = False,
-) -> None:
+) -> list[dt.date]:
     """Recomputes both Gold tables for some dates of Silver; those without rows are emptied.
+    Gives these and the later dates whose sessions followed.
 
     The columns that the indicators need are cached meanwhile, as several aggregations read
     them.
     """
     days = sorted(set(dates))
     if not days:
-        return
+        return []
     needed = [*KPI_KEYS, *KPI_INPUTS]
     rows = cache_if_reused(read_dates(spark, silver, days, SILVER_DDL).select(*needed))
     try:
         replace_dates(daily_kpis(rows, computed_at, exact), kpis, days)
     finally:
         rows.unpersist()
-    refresh_sessions(spark, silver, sessions, days, computed_at)
+    return refresh_sessions(spark, silver, sessions, days, computed_at)
 
 
 def refresh_gold(
@@ -309,16 +311,17 @@ def refresh_gold(
     dates: Iterable[dt.date | None] | None = None,
     computed_at: Column | None = None,
     exact: bool = False,
-) -> None:
-    """Recomputes both Gold tables for all dates, or for some and what follows from them."""
+) -> list[dt.date]:
+    """Recomputes both Gold tables for all dates, or for some and what follows from them.
+    Gives the recomputed dates, if not all."""
     if dates is None:
         silver = read_table(spark, tables.silver, SILVER_DDL).where("event_date IS NOT NULL")
         write_table(daily_kpis(silver, computed_at, exact), tables.daily_kpis, "overwrite")
         whole = resumable_sessions(silver, None, computed_at)
         write_table(whole, tables.sessions, "overwrite")
-        return
+        return []
     days = [d for d in dates if d is not None]
-    refresh_gold_dates(
+    return refresh_gold_dates(
         spark, tables.silver, tables.daily_kpis, tables.sessions, days, computed_at, exact
     )
 
@@ -391,9 +394,10 @@ def run_silver(
     as_of: dt.date | None = None,
     days: int = 1,
     at: Column | None = None,
+    load: str | None = None,
 ) -> list[dt.date | None] | None:
     """The first two stages; gives the recomputed dates, None for all."""
-    load = load_bronze(spark, raw, tables, at)
+    load = load_bronze(spark, raw, tables, at, load)
     dates = None
     if as_of is not None:
         dates = touched_dates(spark, tables.bronze, load)
@@ -417,13 +421,21 @@ def run_tables(
 
     With it, the dates that the new files touch are recomputed, however old, and the
     ``days`` up to ``as_of``. With ``databases`` (of Bronze, Silver and Gold) the tables are
-    declared in the catalog too and can be read by name.
+    declared in the catalog too and can be read by name; of their partitions, those of the
+    recomputed dates are brought up to date.
     """
-    tables = Tables(root)
-    dates = run_silver(spark, raw, tables, as_of, days, at)
-    refresh_gold(spark, tables, dates, at, exact)
+    tables, load = Tables(root), uuid.uuid4().hex
+    names = create_tables(spark, root, databases) if databases else []
+    dates = run_silver(spark, raw, tables, as_of, days, at, load)
+    done = refresh_gold(spark, tables, dates, at, exact)
     if as_of is not None:
         compact_gold(spark, tables, as_of, days)
-    if databases:
-        publish_tables(spark, create_tables(spark, root, databases))
+    if names and dates is None:
+        publish_tables(spark, names)
+    elif names:
+        arrived = date_values(read_load(spark, tables.bronze, load)) or []
+        changed = [(tables.bronze, arrived, load), (tables.silver, dates, None)]
+        changed += [(p, sorted({*done, *filter(None, dates)}), None) for p in (tables.daily_kpis, tables.sessions)]
+        for name, (path, some, part) in zip(names, changed, strict=True):
+            publish_dates(spark, name, path, some, part)
     return tables

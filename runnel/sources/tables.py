@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -28,6 +29,8 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 MAX_DATES = 5_000
 #: Folder of a stored history with its load numbers; readers pass over the underscore.
 LOADS = "_loads"
+#: Folder of an upserted table with its columns as JSON.
+SCHEMA = "_columns"
 LOADS_DDL = "version BIGINT, at TIMESTAMP_NTZ"
 #: Number of the row that says up to when closed versions were dropped.
 PRUNED = -1
@@ -169,20 +172,45 @@ def write_quarantine(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def stored_schema(spark: SparkSession, path: str) -> StructType:
+    """The columns of an upserted table by its note; without one, of all files' footers."""
+    try:
+        noted = spark.read.text(f"{path}/{SCHEMA}").first()
+    except AnalysisException as error:
+        if not _absent(error):
+            raise
+        noted = None
+    if noted is None:
+        return read_table(spark, path, merge=True).schema
+    return StructType.fromJson(json.loads(noted[0]))
+
+
+def _store_schema(source: DataFrame, path: str, stored: StructType | None = None) -> None:
+    """Notes the columns of a table with those of new rows, if they are not noted yet."""
+    known = stored.fieldNames() if stored else []
+    fields = [*(stored or []), *(f for f in source.schema if f.name not in known)]
+    if len(fields) > len(known):
+        noted = source.sparkSession.createDataFrame([(StructType(fields).json(),)], "value STRING")
+        noted.coalesce(1).write.mode("overwrite").text(f"{path}/{SCHEMA}")
+
+
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str]) -> None:
     """Replaces matching rows and adds the others, rewriting only the touched dates.
 
     ``keys`` contains the date, so rows that match lie in a touched partition. Columns that
     only the target or only the source has are kept. Two source rows with one key are an
-    error.
+    error. Each row of the source is computed once, and the table's columns are read from
+    its note, not from all its files.
     """
     if not table_exists(spark, path):
         require_unique(source, keys)
         write_table(source, path, "overwrite")
+        _store_schema(source, path)
         return
     source, _ = materialise(source)
     require_unique(source, keys)
-    stored = read_table(spark, path, merge=True).schema
+    stored = stored_schema(spark, path)
+    _store_schema(source, path, stored)
     touched = read_dates_of(spark, path, source, stored)
     replace_dates(upsert(touched, source, keys), path)
 
@@ -349,6 +377,34 @@ def publish_tables(spark: SparkSession, names: Sequence[str]) -> None:
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
 
 
+def publish_dates(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    dates: Sequence[dt.date | None],
+    load: str | None = None,
+) -> None:
+    """Makes a catalog table show some dates as their folders are now, added or emptied.
+
+    The cost follows the dates given, not the partitions that the table has. ``load`` names
+    the load of a Bronze table whose dates they are.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    below = f"/{LOAD_COL}={load}" if load else ""
+    there: dict[bool, list[str]] = {True: [], False: []}
+    for value in dates:
+        folder = hadoop(f"{path}/{_folder(value)}{below}")
+        system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        day = "NULL" if value is None else f"DATE '{value.isoformat()}'"
+        part = f"{DATE_COL}={day}" + (f", {LOAD_COL}='{load}'" if load else "")
+        there[system.exists(folder)].append(f"PARTITION ({part})")
+    if there[True]:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(there[True])}")
+    if there[False]:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(there[False])}")
+    spark.catalog.refreshTable(name)
+
+
 def row_counts(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     """One row per catalog table with its row count."""
     counts = [

@@ -467,3 +467,47 @@ def test_session_refresh_reads_adjoining_dates_only(spark, folder, monkeypatch):
     refresh_sessions(spark, path, out, [BASE.date() + 2 * DAY], at)
     assert {(d - BASE.date()).days for d in seen} == {1, 2, 3}
     assert not tables.table_exists(spark, f"{out}/_pending")
+
+
+def test_catalog_follows_the_dates_of_a_run(spark, tmp_path, folder, monkeypatch):
+    """After the first run no partition list is read as a whole; an emptied date goes."""
+    at = F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz")
+    databases = ["f_bronze", "f_silver", "f_gold"]
+    first = events(12, days=3)
+    lone = raw_row("lone", timestamp=(BASE + 8 * DAY).isoformat() + ".000Z")
+    moved = dict(lone, timestamp=(BASE + 9 * DAY).isoformat() + ".000Z")
+    write_lines(tmp_path / "one", [json.dumps(e) for e in [*first, lone]])
+    write_lines(tmp_path / "two", [json.dumps(moved)])
+    later = F.lit(dt.datetime(2024, 2, 2)).cast("timestamp_ntz")
+    run_tables(spark, str(tmp_path / "one"), folder, at=at, databases=databases)
+    monkeypatch.setattr(medallion, "publish_tables", None)
+    last = BASE.date() + 9 * DAY
+    target = run_tables(spark, str(tmp_path / "two"), folder, last, at=later, databases=databases)
+    want = [BASE.date() + i * DAY for i in (0, 1, 2, 9)]
+    for name, path, ddl in [
+        ("f_silver.logs_cleaned", target.silver, SILVER_DDL),
+        ("f_gold.daily_kpis", target.daily_kpis, DAILY_KPIS_DDL),
+        ("f_gold.session_summary", target.sessions, SESSIONS_DDL),
+    ]:
+        named = spark.table(name)
+        assert rows(named.select("event_date").distinct()) == [(d,) for d in want], name
+        assert multiset(named) == multiset(tables.read_table(spark, path, ddl)), name
+    assert spark.table("f_bronze.raw_logs").count() == 14
+    for name in databases:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_upsert_reads_columns_from_their_note(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    day = "CAST('2024-01-01' AS DATE) AS event_date"
+    tables.upsert_table(spark, path, spark.range(2).selectExpr(day, "id", "'x' AS a"), ["event_date", "id"])
+    monkeypatch.setattr(tables, "read_table", None)
+    for column in ("b", "c", "b"):
+        new = spark.range(1, 3).selectExpr(day, "id", f"'y' AS {column}")
+        tables.upsert_table(spark, path, new, ["event_date", "id"])
+    monkeypatch.undo()
+    assert tables.stored_schema(spark, path).fieldNames() == ["event_date", "id", "a", "b", "c"]
+    found = spark.read.schema(tables.stored_schema(spark, path)).parquet(path)
+    assert rows(found, "id", "a", "b", "c") == [
+        (0, "x", None, None), (1, None, "y", None), (2, None, "y", None)
+    ]
