@@ -41,13 +41,13 @@ class Tokens:
 
     White space always ends a token and is dropped, so the ids of a text are those of its
     runs without spaces and line ends. Each run is encoded once while it is remembered.
-    Strings of special tokens inside a text are ordinary text.
+    Strings of special tokens hold no white space, so they get their ids as in the whole
+    text.
     """
 
     def __init__(self, path: str, most: int = WORDS_KEPT) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.encoder = Tokenizer.from_file(path)
-        self.encoder.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
         self.most = most
 
@@ -220,7 +220,6 @@ def pack(
     pieces: DataFrame,
     limits: Limits = Limits(),
     rules: Sequence[tuple[str, tuple[float, float, float]]] = (
-        ("norm", (1.0, 0.0, 0.0)),
         ("norm", (1.0, 0.25, 0.25)),
         ("dot", (1.0, 0.25, 0.25)),
     ),

@@ -11,11 +11,12 @@ get a score by their words' shapes.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -214,6 +215,10 @@ def train(rows: Sequence[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) ->
     return Scorer(weight, bias)
 
 
+def features_of(slots: bytes, values: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(slots, "<u2").astype(np.int64), np.frombuffer(values, "<f8")
+
+
 def classify(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -226,7 +231,8 @@ def classify(
     ``posterior`` is the heuristics' joint verdict, ``score`` the scorer's; ``kept`` is
     whether the score reaches ``keep``. The votes of all documents are counted; at most
     ``sample`` distinct texts (least hash) train the scorer. A null or empty text is voted
-    bad. Repeated rows each count; an empty table gives no rows.
+    bad; a very long one is looked at as a whole. Repeated rows each count; an empty table
+    gives no rows. Of texts with equal hashes one trains.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -234,15 +240,21 @@ def classify(
         docs[f"`{text_col}`"].cast("string").alias("text"),
     )
 
-    def start_votes():
+    def start_look():
         known = known_words()
-        return lambda text: (look(text, known)[0],)
 
+        def one(text):
+            votes, slots, values = look(text, known)
+            return votes, slots.astype("<u2").tobytes(), values.astype("<f8").tobytes()
+
+        return one
+
+    # The texts are looked at once; votes and features are written out together.
     voted = map_texts(
-        rows.withColumn("at", F.xxhash64("text")), "text",
-        start_votes, "votes array<int>", ["doc_id", "at"],
+        rows.withColumn("at", F.xxhash64("text")), "text", start_look,
+        "votes array<int>, slots binary, values binary", ["doc_id", "at"],
     )
-    voted = checkpoint(voted.select("row.doc_id", "row.at", "votes"))
+    voted = checkpoint(voted.select("row.doc_id", "row.at", "votes", "slots", "values"))
     counted = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()
     if not counted:
         empty = F.lit(0.0).alias
@@ -252,32 +264,26 @@ def classify(
 
     chosen = voted.select("at").distinct().orderBy("at").limit(sample)
     edge = chosen.agg(F.max("at")).first()[0]
-    some = rows.where(F.xxhash64("text") <= F.lit(edge)).dropDuplicates(["text"])
-
-    def start_sample():
-        known = known_words()
-
-        def one(text):
-            votes, slots, values = look(text, known)
-            return votes, slots.tolist(), values.tolist()
-
-        return one
-
-    fields = "votes array<int>, slots array<int>, values array<double>"
-    taken = map_texts(some.select("text"), "text", start_sample, fields, []).drop("row").collect()
-    features = [(np.array(r["slots"]), np.array(r["values"])) for r in taken]
+    some = voted.where(F.col("at") <= F.lit(edge)).dropDuplicates(["at"])
+    taken = some.select("votes", "slots", "values").collect()
+    features = [features_of(r["slots"], r["values"]) for r in taken]
     soft = found.posterior(np.array([r["votes"] for r in taken])) if taken else np.zeros(0)
     shared = spark.sparkContext.broadcast((found, train(features, soft)))
 
-    def start():
-        known = known_words()
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, scorer = shared.value
+        for batch in batches:
+            votes = np.array(batch.column(1).to_pylist(), dtype=np.int64)
+            pairs = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            scores = [scorer.score(*features_of(*pair)) for pair in pairs]
+            posterior = found.posterior(votes) if len(votes) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(posterior), pa.array(scores, pa.float64())],
+                ["doc_id", "posterior", "score"],
+            )
 
-        def one(text):
-            votes, slots, values = look(text, known)
-            return float(found.posterior(np.array([votes]))[0]), scorer.score(slots, values)
-
-        return one
-
-    scored = map_texts(rows, "text", start, "posterior double, score double", ["doc_id"])
-    return scored.select("row.doc_id", "posterior", "score", (F.col("score") >= keep).alias("kept"))
+    kind = voted.schema["doc_id"].dataType.simpleString()
+    scored = voted.select("doc_id", "votes", "slots", "values").mapInArrow(
+        score, f"doc_id {kind}, posterior double, score double"
+    )
+    return scored.withColumn("kept", F.col("score") >= keep)

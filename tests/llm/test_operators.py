@@ -352,6 +352,19 @@ def test_packing_round_trip(spark, nothing, strange):
     assert packing.pack_documents(strange, queries.TOKENIZER).where("piece = 0").count() == 10
 
 
+def test_ids_are_those_of_whole_texts():
+    """Also with strings of special tokens, other white space and letters outside ASCII."""
+    encoder = Tokenizer.from_file(queries.TOKENIZER)
+    texts = [
+        "a <|startoftext|> b", "x<|endoftext|>y <|STARTOFTEXT|>", "don't WE'LL 'standard it's 'S",
+        "tab\tand\u00a0space  two\n\nlines\r\n", "Ünïcödé ΣΑΣ İstanbul H\u0331 h\u0331 ﬁ", "日本語 🙂", "", " ",
+        "a1b22 3.14 ...!? (x) <|", "\x00 \x01", "ǅ K ſ", "e\u0301 E\u0301",
+    ]
+    want = [encoder.encode(t, add_special_tokens=False).ids for t in texts]
+    made = packing.Tokens(queries.TOKENIZER).of(texts)
+    assert [np.frombuffer(m, "<u4").tolist() for m in made] == want
+
+
 def check_places(found, most=2048):
     ordered = found.sort_values(["sequence_id", "offset"])
     groups = ordered.groupby("sequence_id").length
