@@ -365,6 +365,20 @@ def test_ids_are_those_of_whole_texts():
     assert [np.frombuffer(m, "<u4").tolist() for m in made] == want
 
 
+def test_fast_coder_gives_the_same_ids():
+    """All words of the documents, and random ones of frequent letters and signs."""
+    rng = random.Random(8)
+    words = sorted({w for t in texts_of(sf=MIDDLE).values() for w in (t or "").split()})
+    for letters, most in (("etaoinshr", 20), ("abcdefghijklmnopqrstuvwxyzABC'',.!?-0123456789\t", 14)):
+        words += ["".join(rng.choices(letters, k=rng.randrange(1, most))) for _ in range(20_000)]
+    coder = packing.Tokens(queries.TOKENIZER)
+    assert coder.fast is not None
+    made = coder.of(words)
+    plain = packing.Tokens(queries.TOKENIZER)
+    plain.fast = None
+    assert made == plain.of(words)
+
+
 def check_places(found, most=2048):
     ordered = found.sort_values(["sequence_id", "offset"])
     groups = ordered.groupby("sequence_id").length
