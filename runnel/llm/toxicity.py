@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runnel.llm.text import Counts, alnum_words, as_binary, map_texts, share, shared_value
+from runnel.llm.text import Counts, alnum_words, as_binary, map_batches, share, shared_value
 
 ORDER = 6
 DISCOUNT = 0.75
@@ -244,18 +244,23 @@ class Scorer:
         self.tables = tables
         self.known: dict[bytes, float] = {}
 
-    def features(self, text: bytes | None) -> tuple[float, ...]:
-        words = words_of(text)
-        if not words:
-            return (0.0,) * len(FEATURES)
+    def many(self, texts: Sequence[bytes | None]) -> np.ndarray:
+        """A row of features for each text. New words of all of them are weighed together,
+        as each search in the tables costs as much for a few words as for thousands."""
+        words = [words_of(t) for t in texts]
         if len(self.known) > WORDS_KEPT:
             self.known = {}
-        new = [w for w in set(words) if w not in self.known]
+        new = [w for w in set().union(*words) if w not in self.known]
         for at in range(0, len(new), 20_000):
             some = new[at : at + 20_000]
             self.known.update(zip(some, self.tables.weights(some).tolist(), strict=True))
-        get = self.known.__getitem__
-        weight = np.array([get(w) for w in words])
+        return np.array([self.features(w) for w in words]).reshape(-1, len(FEATURES))
+
+    def features(self, words: Sequence[bytes]) -> tuple[float, ...]:
+        """Of words that are known."""
+        if not words:
+            return (0.0,) * len(FEATURES)
+        weight = np.array(list(map(self.known.__getitem__, words)))
         total = np.concatenate([[0.0], weight.cumsum()])
         size = min(PASSAGE, len(words))
         passage = (total[size:] - total[:-size]).max() / size
@@ -302,9 +307,10 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> Curve:
 
 def _features_of(df: DataFrame, shared) -> DataFrame:
     def start():
-        return Scorer(shared_value(shared)).features
+        scorer = Scorer(shared_value(shared))
+        return lambda texts: list(scorer.many(texts).T)
 
-    return map_texts(
+    return map_batches(
         df, "text", start, ", ".join(f"{n} double" for n in FEATURES), ["toxic"]
     )
 
@@ -384,9 +390,6 @@ def score_texts(
         learnt = shared_value(shared)
         scorer, curve = Scorer(learnt.tables), learnt.curve
 
-        def one(text):
-            return (float(curve.score(np.array([scorer.features(text)]))[0]),)
-
-        return one
+        return lambda texts: [curve.score(scorer.many(texts))]
 
-    return map_texts(docs, text_col, start, "score double", carry)
+    return map_batches(docs, text_col, start, "score double", carry)
