@@ -329,3 +329,11 @@ def test_alignment_on_odd_input(spark):
     assert {(r["n_links"], r["n_best"], r["count_sum"]) for r in one} == {(2, 2, 8)}
     assert set(found[0]["row"].asDict()) == set(df.columns)
     assert alignment.align_corpus(df.limit(0), BYTES, PATTERN, PIECES).count() == 0
+
+
+def test_queries_without_sql_are_named():
+    """These need a model, a tokenizer or spans, and have brute-force tests or held-out labels."""
+    assert set(queries.QUERIES) - set(queries.ORACLE) == {
+        "op1_quality", "op3_urls", "op4_toxicity", "op5_simhash", "op8_html", "op9_pii",
+        "op10_packing", "op12_secrets", "op13_alignment",
+    }
