@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runnel.llm import decontaminate, packing, pii, shingles, toxicity
+from runnel.llm import decontaminate, packing, pii, simhash, toxicity
 from runnel.llm.queries import TOKENIZER, prepare, table
 
 
@@ -26,16 +26,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near copies.
 
-    Near copies share four fifths of their distinct runs of five words. Of rows that share
-    an id one stays. Of near copies without an id one stays where no document with an id is
-    a near copy.
+    Near copies have fingerprints over three-word shingles that differ in two bits or fewer;
+    a group is what such links connect. Of rows that share an id the one with the smallest
+    fingerprint stays. Null, empty and blank texts are copies of each other. A row without an
+    id stays only where no document with an id is in its group. Ids do not have to be
+    distinct, repeated rows count once, an empty table gives no rows.
     """
     prepare(spark)
-    return shingles.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents without a passage of the benchmark."""
+    """Keeps the documents without a passage of the benchmark.
+
+    Null and empty texts have no words and stay, as do all where the benchmark is empty.
+    """
     prepare(spark)
     found = decontaminate.find_passages(docs, table(spark, sf_dir, "benchmark"))
     return found.where(F.size("hits") == 0).select("row.*")
@@ -58,7 +63,10 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the tokens of all documents that are left."""
+    """Packs the tokens of all documents that are left.
+
+    A null text counts as empty, which is its end mark alone; texts over 2048 tokens are cut.
+    """
     prepare(spark)
     return packing.pack_documents(docs, TOKENIZER)
 
