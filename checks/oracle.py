@@ -431,3 +431,4 @@ ORACLE: dict[str, str] = {
 }
 
 ORACLE["stream_quarantine"] = ORACLE["dq_null_quarantine"]
+ORACLE["stream_quality"] = ORACLE["dq_summary"]

@@ -667,6 +667,22 @@ def stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_table(spark, target.silver, SILVER_DDL).drop("_source_file")
 
 
+@query
+def stream_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality counts of two arrivals, the second with copies of events of the first."""
+    src, out = scratch_dir(spark, "raw"), scratch_dir(spark, "bronze")
+    target, noted = medallion.Tables(scratch_dir(spark, "tables")), scratch_dir(spark, "quality")
+    states = [scratch_dir(spark, "state") for _ in range(2)]
+    for first in (True, False):
+        arrival = logs_dup(spark, sf).where((F.col("ingest_seq") == 1) == first)
+        arrival.drop("ingest_seq").write.mode("append").json(src)
+        flows.stream_bronze(spark, src, out, states[0], ntz(INGESTED)).awaitTermination()
+        flows.stream_silver(
+            spark, out, target.silver, target.quarantine, states[1], quality=noted
+        ).awaitTermination()
+    return flows.quality_so_far(spark, noted, target.silver)
+
+
 @query
 def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Rejects of two streams, each with a checkpoint of its own."""

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from runnel.schemas import CRITICAL_COLS
+from runnel.schemas import CRITICAL_COLS, DATE_COL, FILE_COL
 
 
 def any_null(cols: Sequence[str]) -> Column:
@@ -93,6 +93,31 @@ def dq_summary(
     )
 
 
+def quality_by_file(df: DataFrame, cols: Sequence[str] = CRITICAL_COLS) -> DataFrame:
+    """Input, valid and quarantined rows of each Bronze file among the rows."""
+    bad = any_null(cols)
+    return df.groupBy(DATE_COL, FILE_COL).agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(~bad).alias("valid_rows"),
+        F.count_if(bad).alias("quarantined_rows"),
+    )
+
+
+def quality_of_files(files: DataFrame, silver: DataFrame) -> DataFrame:
+    """The row of :func:`dq_summary` for all files noted by :func:`quality_by_file`.
+
+    A file noted several times counts once. Silver holds one row for each key, so the valid
+    rows beyond its size are the copies: no key is counted anew.
+    """
+    kinds = ["total_rows", "valid_rows", "quarantined_rows"]
+    noted = files.distinct().select(*kinds, F.col("valid_rows").alias("duplicates_removed"))
+    none = [F.lit(0).cast("bigint").alias(kind) for kind in kinds]
+    held = silver.agg(F.count(F.lit(1)).alias("_n")).select(*none, -F.col("_n"))
+    return noted.union(held).agg(
+        *[F.sum(kind).alias(kind) for kind in [*kinds, "duplicates_removed"]]
+    )
+
+
 def _uncastable(df: DataFrame, name: str, type_name: str) -> Column:
     source = F.col(f"`{name}`")
     try:

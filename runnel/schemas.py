@@ -41,6 +41,12 @@ SILVER_DDL = """
     error_message STRING, trace_id STRING, _ingested_at TIMESTAMP_NTZ, _source_file STRING
 """
 
+#: Counts of one Bronze file. Files of one load share a name, so the date belongs to the key.
+QUALITY_DDL = f"""
+    {DATE_COL} DATE, {FILE_COL} STRING, total_rows BIGINT, valid_rows BIGINT,
+    quarantined_rows BIGINT
+"""
+
 DAILY_KPIS_DDL = """
     event_date DATE NOT NULL, service STRING NOT NULL, region STRING NOT NULL,
     total_requests BIGINT, total_errors BIGINT, error_rate_pct DOUBLE, avg_latency_ms DOUBLE,

@@ -15,7 +15,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from runnel.functions.columns import now_or
 from runnel.operators.gold import daily_kpis
-from runnel.operators.quality import any_null, dedup_latest
+from runnel.operators.quality import (
+    any_null,
+    dedup_latest,
+    quality_by_file,
+    quality_of_files,
+)
 from runnel.operators.sessions import resumable_sessions
 from runnel.operators.silver import clean, to_bronze
 from runnel.plans.medallion import (
@@ -31,6 +36,7 @@ from runnel.schemas import (
     DATE_COL,
     FILE_COL,
     LOAD_COL,
+    QUALITY_DDL,
     QUARANTINE_DDL,
     SILVER_DDL,
 )
@@ -133,13 +139,21 @@ def stream_silver(
     quarantine: str,
     checkpoint: str,
     max_bytes: int = MAX_BYTES,
+    quality: str | None = None,
 ) -> StreamingQuery:
-    """New Bronze files to Silver and quarantine.
+    """New Bronze files to Silver and quarantine, their counts to ``quality`` if that is given.
 
     Bronze written by other tools than this library is indexed first, if it has no index.
     """
     if not table_exists(spark, f"{bronze}/{STRAYS}"):
         index_bronze(spark, bronze)
+
+    def add(batch: DataFrame, _: int) -> None:
+        add_to_silver(batch, bronze, silver, quarantine)
+        if quality:
+            # After a failure the batch comes again, and with it the same notes.
+            quality_by_file(batch).write.mode("append").parquet(quality)
+
     rows = (
         spark.readStream.schema(BRONZE_DDL)
         .option("maxBytesPerTrigger", max_bytes)
@@ -147,15 +161,23 @@ def stream_silver(
         .select("*", F.col("_metadata.file_name").alias(FILE_COL))
     )
     return (
-        rows.writeStream.foreachBatch(
-            lambda batch, _: add_to_silver(batch, bronze, silver, quarantine)
-        )
+        rows.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def quality_so_far(spark: SparkSession, quality: str, silver: str) -> DataFrame:
+    """Counts of all rows that ``stream_silver`` has cleaned, as ``dq_summary`` gives them.
+
+    Reads the notes of the batches and the number of rows in Silver, no events. Silver must
+    be filled from the noted files alone.
+    """
+    held = read_table(spark, silver, SILVER_DDL)
+    return quality_of_files(read_table(spark, quality, QUALITY_DDL), held)
+
+
 def refresh_touched(
     batch: DataFrame,
     silver: str,

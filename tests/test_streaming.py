@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from runnel.operators.gold import daily_kpis
+from runnel.operators.quality import dq_summary, quality_by_file
 from runnel.operators.sessions import resumable_sessions
 from runnel.operators.silver import clean
 from runnel.plans.medallion import Tables, load_bronze, refresh_silver
@@ -72,6 +73,35 @@ def test_stream_equals_batch_after_every_arrival(spark, tmp_path, folder, at):
     assert read_table(spark, nothing_new.silver, SILVER_DDL).count() == 15
 
 
+def test_quality_of_streams_equals_the_whole(spark, tmp_path, folder, at, monkeypatch):
+    """Also if a batch is repeated after its counts were noted, or a date lacks its time."""
+    target, noted = Tables(f"{folder}/tables"), f"{folder}/quality"
+    repeated = []
+
+    def twice(batch):
+        repeated.append(quality_by_file(batch))
+        return repeated[-1].union(repeated[-1])
+
+    monkeypatch.setattr(flows, "quality_by_file", twice)
+    undated = {**raw_row("when"), "timestamp": "no time"}
+    for batch in [*arrivals(), [undated, undated, raw_row(None)]]:
+        write_lines(tmp_path / "raw", [json.dumps(e) for e in batch])
+        flows.stream_bronze(
+            spark, f"{folder}/raw", target.bronze, f"{folder}/state/bronze", at
+        ).awaitTermination()
+        flows.stream_silver(
+            spark,
+            target.bronze,
+            target.silver,
+            target.quarantine,
+            f"{folder}/state/silver",
+            quality=noted,
+        ).awaitTermination()
+        whole = dq_summary(read_table(spark, target.bronze, BRONZE_DDL))
+        assert rows(flows.quality_so_far(spark, noted, target.silver)) == rows(whole)
+    assert len(repeated) == 4 and rows(whole)[0][1:] == (19, 2, 3)
+
+
 def bronze_batch(spark, target):
     whole = read_table(spark, target.bronze, BRONZE_DDL)
     return whole.withColumn(FILE_COL, F.col("_metadata.file_name"))
