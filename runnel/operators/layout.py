@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 #: Rows from which the bounds of the buckets are taken.
 SAMPLE_ROWS = 16_384
-#: Buckets of a column, and z-values in all, as powers of two.
-MOST_BITS, CELL_BITS = 8, 20
+#: Buckets of a column, and z-values in all, as powers of two. With two columns or more only
+#: the second one binds.
+MOST_BITS, CELL_BITS = 12, 20
+#: Up to so many buckets are told apart by nested conditions, more by a search in an array.
+NESTED_BITS = 8
 ROWS_PER_FILE = 5_000_000
 
 
@@ -56,6 +59,20 @@ def _bucket(x: Column, bounds: Sequence[Column], first: int = 0) -> Column:
     )
 
 
+def _searched_bucket(x: Column, bounds: Sequence[Column]) -> Column:
+    """The same number, or zero for a null, by halving steps over an array of the bounds, for many of them."""
+    if not bounds:
+        return F.lit(0)
+    array = F.array(*bounds)
+    steps = F.array(*[F.lit(2**i) for i in reversed(range(len(bounds).bit_length()))])
+
+    def step_on(at: Column, step: Column) -> Column:
+        # A place beyond the bounds gives null, so the step is not taken.
+        return F.when(F.get(array, at + step - 1) <= x, at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), step_on)
+
+
 def bucket_bits(files: int, columns: int) -> int:
     """Bits for each column: four buckets more along each than the files need."""
     needed = math.ceil(math.log2(max(files, 2)) / columns) + 2
@@ -65,15 +82,18 @@ def bucket_bits(files: int, columns: int) -> int:
 def z_value(df: DataFrame, cols: Sequence[str], bits: int) -> Column:
     """Interleaved bits of the columns' buckets; a null lies in the first bucket.
 
-    The buckets' bounds are whole values, taken from ``SAMPLE_ROWS`` rows chosen by hash.
+    The buckets' bounds are whole values, taken from ``SAMPLE_ROWS`` rows chosen by hash of
+    these columns and the row's place; no other column is read.
     """
-    chosen = df.select(*cols, F.xxhash64(*df.columns).alias("_at")).orderBy("_at")
+    drawn = F.xxhash64(*cols, F.monotonically_increasing_id()).alias("_at")
+    chosen = df.select(*cols, drawn).orderBy("_at")
     sample = chosen.limit(SAMPLE_ROWS).collect()
     z = F.lit(0).cast("bigint")
     for place, c in enumerate(cols):
         kind = df.schema[c].dataType
         cuts = [F.lit(v).cast(kind) for v in _bounds([r[c] for r in sample], 2**bits)]
-        bucket = F.coalesce(_bucket(F.col(c), cuts), F.lit(0)).cast("bigint")
+        number = (_searched_bucket if bits > NESTED_BITS else _bucket)(F.col(c), cuts)
+        bucket = F.when(F.col(c).isNull(), 0).otherwise(number).cast("bigint")
         for bit in range(bits):
             one = F.shiftright(bucket, bit).bitwiseAND(F.lit(1).cast("bigint"))
             z = z + F.shiftleft(one, bit * len(cols) + place)

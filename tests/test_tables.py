@@ -358,6 +358,30 @@ def test_clustering_withstands_one_odd_value(spark):
     assert df.select(z.alias("z")).distinct().count() >= 60
 
 
+@pytest.mark.parametrize("count", [0, 1, 2, 7, 8, 300])
+def test_both_searches_find_the_same_bucket(spark, count):
+    data = [(None,), (float("nan"),), *((i / 2,) for i in range(-3, 2 * count + 3))]
+    df = spark.createDataFrame(data, "x double")
+    bounds = [F.lit(float(i)) for i in range(count)]
+    x = F.col("x")
+    nested = F.when(x.isNull(), 0).otherwise(layout._bucket(x, bounds))
+    found = df.select("x", layout._searched_bucket(x, bounds).alias("a"), nested.alias("b"))
+    assert found.where("NOT a <=> b").count() == 0
+    want = F.when(x.isNull(), 0).when(F.isnan(x), count)
+    want = want.otherwise(F.least(F.greatest(F.floor(x) + 1, F.lit(0)), F.lit(count)))
+    assert found.where(F.col("a") != want).count() == 0
+
+
+def test_clustering_has_cells_for_very_many_files(spark):
+    bits = layout.bucket_bits(200_000, 2)
+    assert 2 ** (2 * bits) >= 4 * 200_000
+    df = spark.range(200_000).selectExpr("xxhash64(id) AS a", "CAST(xxhash64(id, 1) AS STRING) AS b")
+    cells = df.select(layout.z_value(df, ["a", "b"], bits).alias("z"))
+    assert cells.distinct().count() > 100_000
+    odd = spark.createDataFrame([(None, "x"), (None, None), (3, None)], "a long, b string")
+    assert odd.select(layout.z_value(odd, ["a", "b"], bits)).count() == 3
+
+
 def test_incremental_runs_lose_and_double_nothing(spark, tmp_path, folder):
     at = F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz")
     later = F.lit(dt.datetime(2024, 2, 2)).cast("timestamp_ntz")
