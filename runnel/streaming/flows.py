@@ -106,8 +106,10 @@ def add_to_quarantine(rejected: DataFrame, quarantine: str) -> None:
         held = read_table(spark, quarantine, QUARANTINE_DDL)
     else:
         held = spark.createDataFrame([], QUARANTINE_DDL)
-    files = rejected.select(FILE_COL).distinct()
-    others = held.join(files, FILE_COL, "left_anti")
+    # Files of one load share a name, and a batch may end between its dates.
+    files = rejected.select(F.col(DATE_COL).alias("_date"), F.col(FILE_COL).alias("_file"))
+    same = F.col(DATE_COL).eqNullSafe(F.col("_date")) & (F.col(FILE_COL) == F.col("_file"))
+    others = held.join(files.distinct(), same, "left_anti")
     replace_dates(others.unionByName(rejected, allowMissingColumns=True), quarantine)
 
 

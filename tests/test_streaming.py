@@ -9,7 +9,15 @@ from runnel.operators.quality import dq_summary, quality_by_file
 from runnel.operators.sessions import resumable_sessions
 from runnel.operators.silver import clean
 from runnel.plans.medallion import Tables, load_bronze, refresh_silver
-from runnel.schemas import BRONZE_DDL, DAILY_KPIS_DDL, FILE_COL, SESSIONS_DDL, SILVER_DDL
+from runnel.schemas import (
+    BRONZE_DDL,
+    DAILY_KPIS_DDL,
+    DATE_COL,
+    FILE_COL,
+    QUARANTINE_DDL,
+    SESSIONS_DDL,
+    SILVER_DDL,
+)
 from runnel.sources.tables import read_table
 from runnel.streaming import flows
 from tests.helpers import BASE, multiset, raw_row, rows
@@ -102,6 +110,22 @@ def test_quality_of_streams_equals_the_whole(spark, tmp_path, folder, at, monkey
     assert len(repeated) == 4 and rows(whole)[0][1:] == (19, 2, 3)
 
 
+@pytest.mark.parametrize("most", [0, 5_000])
+def test_rejects_of_one_load_on_two_dates(spark, folder, monkeypatch, most):
+    """Files of one load share a name; its dates may come in different batches."""
+    monkeypatch.setattr("runnel.sources.tables.MAX_DATES", most)
+    dates = [dt.date(2024, 1, 1), dt.date(2024, 1, 2), None, dt.date(2024, 1, 2)]
+    for date in dates:
+        row = spark.createDataFrame([(date, "part-0")], f"{DATE_COL} date, {FILE_COL} string")
+        empty = spark.createDataFrame([], QUARANTINE_DDL)
+        rejected = empty.unionByName(row, allowMissingColumns=True)
+        flows.add_to_quarantine(rejected, f"{folder}/quarantine")
+    held = read_table(spark, f"{folder}/quarantine", QUARANTINE_DDL)
+    assert multiset(held.select(DATE_COL)) == multiset(
+        spark.createDataFrame([(d,) for d in dates[:3]], f"{DATE_COL} date")
+    )
+
+
 def bronze_batch(spark, target):
     whole = read_table(spark, target.bronze, BRONZE_DDL)
     return whole.withColumn(FILE_COL, F.col("_metadata.file_name"))
