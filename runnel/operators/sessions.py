@@ -102,9 +102,10 @@ def _branches(
         return [_by_user(rows, user_col, order, timeout_mins)]
     if hot.every:
         return [_by_slice(rows, user_col, timeout_mins)]
+    few, many = hot.split(rows, user_col)
     return [
-        _by_user(rows.where(~hot.test(user_col)), user_col, order, timeout_mins),
-        _by_slice(rows.where(hot.test(user_col)), user_col, timeout_mins),
+        _by_user(few, user_col, order, timeout_mins),
+        _by_slice(many, user_col, timeout_mins),
     ]
 
 
@@ -183,8 +184,8 @@ def session_gaps(
     elif hot.every:
         linked = by_instant(df)
     else:
-        is_hot = hot.test(user_col)
-        linked = by_user(df.where(~is_hot)).unionByName(by_instant(df.where(is_hot)))
+        few, many = hot.split(df, user_col)
+        linked = by_user(few).unionByName(by_instant(many))
     gap = minutes_between(F.col("prev_ts"), F.col(ts_col))
     return linked.withColumn("gap_mins", gap).withColumn(
         "is_new_session", F.col("prev_ts").isNull() | (F.col("gap_mins") > timeout_mins)

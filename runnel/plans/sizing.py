@@ -43,20 +43,30 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys with more than ``min_rows`` rows.
+    """Keys with more than ``min_rows`` rows; at most ``rows / min_rows`` keys can be hot.
 
-    At most ``rows / min_rows`` keys can be hot. Their list is used as a literal up to
-    ``MAX_HOT_KEYS``; beyond that every key counts as hot.
+    A short list lies in ``values`` as literals; beyond ``literals`` they lie in
+    ``table``, a checkpointed frame with the one column ``_hot``. With ``every``, all keys
+    count as hot.
     """
 
     values: list
-    every: bool
+    every: bool = False
+    table: DataFrame | None = None
 
     @property
     def none(self) -> bool:
-        return not self.values and not self.every
+        return not self.values and not self.every and self.table is None
 
-    def test(self, key: str) -> Column:
+    def split(self, df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+        """The rows of the other keys, and those of the hot ones; null can be a hot key."""
+        if self.table is not None:
+            same = F.col(key).eqNullSafe(F.col("_hot"))
+            return df.join(self.table, same, "left_anti"), df.join(self.table, same, "left_semi")
+        hot = self._test(key)
+        return df.where(~hot), df.where(hot)
+
+    def _test(self, key: str) -> Column:
         if self.every:
             return F.lit(True)
         named = F.col(key).isin([v for v in self.values if v is not None])
@@ -64,10 +74,17 @@ class HotKeys:
         return F.when(F.col(key).isNull(), on_null).otherwise(named)
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> HotKeys:
-    """Finds hot keys by one pre-aggregated count over the key column alone."""
+def hot_keys(
+    df: DataFrame, key: str, min_rows: int = HOT_ROWS, literals: int = MAX_HOT_KEYS
+) -> HotKeys:
+    """Finds hot keys by one pre-aggregated count over the key column alone.
+
+    More than ``literals`` keys are counted once more into a table, which
+    is broadcast if it was measured to be small and else joined by shuffle.
+    """
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    found = counted.where(F.col("_n") > min_rows).select(key).limit(MAX_HOT_KEYS + 1).collect()
-    if len(found) > MAX_HOT_KEYS:
-        return HotKeys([], True)
-    return HotKeys([r[0] for r in found], False)
+    hot = counted.where(F.col("_n") > min_rows).select(F.col(key).alias("_hot"))
+    found = hot.limit(literals + 1).collect()
+    if len(found) > literals:
+        return HotKeys([], table=checked_broadcast(hot))
+    return HotKeys([r[0] for r in found])

@@ -128,12 +128,42 @@ def test_rows_without_time_or_user_stay(spark, hot):
     assert sessions.idle_sessions(df, hot=hot).count() == 3
 
 
-def test_hot_keys_include_null_and_give_up_beyond_the_limit(spark, monkeypatch):
+def test_hot_keys_include_null_and_become_a_table_beyond_the_limit(spark):
     df = silver(spark, *[(f"e{i}", None if i % 2 else "u", at(i)) for i in range(10)])
     assert set(hot_keys(df, "user_id", 4).values) == {None, "u"}
     assert hot_keys(df, "user_id", 5).none
-    monkeypatch.setattr("runnel.plans.sizing.MAX_HOT_KEYS", 1)
-    assert hot_keys(df, "user_id", 4).every
+    found = hot_keys(df, "user_id", 4, literals=1)
+    assert not found.every and not found.none
+    assert rows(found.table) == sorted([(None,), ("u",)], key=str)
+    few, many = found.split(df.unionByName(silver(spark, ("x", "cold", at(0)))), "user_id")
+    assert rows(few, "event_id") == [("x",)]
+    assert many.count() == 10
+
+
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_more_hot_users_than_literals(spark, monkeypatch, computed, most):
+    """Hot users are split off by a broadcast or a shuffle join; the others keep the windows."""
+    monkeypatch.setattr("runnel.plans.sizing.checked_broadcast.__defaults__", (most,))
+    users = ("u1", "u2", "u3", "u4", "u5")
+    events = random_events(7, 400, users)
+    cold = [(f"z{i:02d}", f"cold{i % 9}", at(i * 900)) for i in range(40)]
+    df = silver(spark, *events, *cold)
+    found = hot_keys(df, "user_id", 20, literals=2)
+    assert rows(found.table) == [(u,) for u in users]
+    want = brute_force(events + cold)
+    numbered = sessions.sessionize(df, hot=found)
+    assert {r["event_id"]: r["session_num"] for r in numbered.collect()} == {
+        k: v[0] for k, v in want.items()
+    }
+    gaps = sessions.session_gaps(df, hot=found)
+    assert {r["event_id"]: r["prev_ts"] for r in gaps.collect()} == {
+        k: v[1] for k, v in want.items()
+    }
+    summary = sessions.idle_sessions(df, computed, hot=found)
+    assert multiset(summary) == multiset(sessions.idle_sessions(df, computed, hot=NONE_HOT))
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+
 
 
 def test_summary_over_midnight_has_a_row_per_date(spark):
