@@ -69,9 +69,19 @@ SELECT c_custkey,
 FROM {customer} WHERE c_custkey % 25 <> 24
 """
 
+#: A snapshot that comes late; in part as the first, in part as the second one.
+CUST_LATE = """
+SELECT c_custkey,
+  CASE WHEN c_custkey % 7 = 3 THEN NULL WHEN c_custkey % 6 = 5 THEN 'MOVED'
+       ELSE c_mktsegment END AS c_mktsegment, c_acctbal
+FROM {customer} WHERE c_custkey % 30 <> 17
+"""
+
 INGESTED = "2024-02-01 00:00:00"
 COMPUTED = "2024-02-02 00:00:00"
 LOADS = ["2024-01-01 00:00:00", "2024-02-01 00:00:00"]
+#: Times of a third load, with the first snapshot again, and of two that come late.
+THIRD, LATE = "2024-03-01 00:00:00", ["2024-02-15 00:00:00", "2024-01-15 00:00:00"]
 
 
 def ntz(text: str):
@@ -100,3 +110,7 @@ def logs_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     table = _table(spark, sf_dir, "customer")
     return spark.sql(CUST_V1, customer=table), spark.sql(CUST_V2, customer=table)
+
+
+def late_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(CUST_LATE, customer=_table(spark, sf_dir, "customer"))

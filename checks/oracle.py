@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from checks.fixtures import (
     COMPUTED,
+    CUST_LATE,
     CUST_V1,
     CUST_V2,
     INGESTED,
+    LATE,
     LOADS,
     LOGS_DUP,
     LOGS_RAW,
     RAW_TIME,
+    THIRD,
 )
 
 
@@ -166,6 +169,28 @@ CTES = {
     "applied": "SELECT * FROM expired UNION ALL BY NAME SELECT * FROM new_rows",
 }
 
+# All five snapshots in the order of their times; a version starts where a value changes.
+CTES["cust_late"] = CUST_LATE.format(customer="customer")
+CTES["seen"] = " UNION ALL ".join(
+    f"SELECT *, TIMESTAMP '{at}' AS loaded FROM {name}"
+    for name, at in [
+        ("cust_v1", LOADS[0]), ("cust_v2", LOADS[1]), ("cust_v1", THIRD),
+        ("cust_late", LATE[0]), ("cust_late", LATE[1]),
+    ]
+)
+CTES["turns"] = """
+SELECT *, lag(loaded) OVER line IS NULL OR lag(c_mktsegment) OVER line IS DISTINCT FROM c_mktsegment
+  OR lag(c_acctbal) OVER line IS DISTINCT FROM c_acctbal AS turned
+FROM seen WINDOW line AS (PARTITION BY c_custkey ORDER BY loaded)
+"""
+CTES["chained"] = f"""
+SELECT c_custkey, c_mktsegment, c_acctbal, loaded AS effective_start_date,
+  lead(loaded) OVER line AS effective_end_date, lead(loaded) OVER line IS NULL AS is_current,
+  {CHECKSUM} AS _checksum
+FROM turns WHERE turned WINDOW line AS (PARTITION BY c_custkey ORDER BY loaded)
+"""
+LATE_NAMES = ["cust_v1", "cust_v2", "cust_late", "seen", "turns", "chained"]
+
 LOG_NAMES = ["logs_raw", "silver_sql", "silver"]
 SESSION_NAMES = [*LOG_NAMES, "gaps", "numbered", "sessions"]
 HISTORY_NAMES = ["cust_v1", "cust_v2", "h", "s2", "expired", "new_rows", "applied"]
@@ -305,6 +330,7 @@ ORACLE: dict[str, str] = {
     "sessions_idle_skewed": logs(
         "SELECT * FROM sessions", "skewed", "gaps", "numbered", "sessions", **SKEWED_GAPS
     ),
+    "sessions_many_hot": sql(SESSION_NAMES, "SELECT * FROM sessions"),
     "sessions_client": sql(
         ["logs_raw", "silver_sql"],
         "SELECT concat(user_id, '_', session_id) AS derived_session_id, * FROM ("
@@ -409,6 +435,7 @@ ORACLE: dict[str, str] = {
     "scd2_version": past(
         "SELECT c_custkey, c_mktsegment, c_acctbal FROM applied WHERE is_current"
     ),
+    "scd2_late_load": sql(LATE_NAMES, "SELECT * FROM chained"),
     "scd2_current": past("SELECT * FROM applied WHERE is_current"),
     "history_as_of": past(
         "SELECT * FROM applied WHERE effective_start_date <= TIMESTAMP '2024-01-15 12:00:00' AND "

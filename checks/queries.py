@@ -11,7 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixtures import COMPUTED, INGESTED, LOADS, bronze, customers, logs_dup, logs_raw, ntz
+from checks.fixtures import (
+    COMPUTED,
+    INGESTED,
+    LATE,
+    LOADS,
+    THIRD,
+    bronze,
+    customers,
+    late_customers,
+    logs_dup,
+    logs_raw,
+    ntz,
+)
 from runnel.functions.columns import status_category
 from runnel.operators import gold, history, layout, quality, sessions, silver, upsert
 from runnel.operators.mergeable import BITMAPS_DDL, RANK_ERROR, SKETCHES_DDL
@@ -390,6 +402,15 @@ def sessions_idle_skewed(spark: SparkSession, sf: str) -> DataFrame:
     return sessions.idle_sessions(events, ntz(COMPUTED), hot=skewed_users(spark, sf))
 
 
+@query
+def sessions_many_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """More hot users than a list of literals may hold; they are split off by a join."""
+    events = clean_events(spark, sf)
+    users = events.agg(F.count(F.lit(1)) / F.count_distinct("user_id")).first()[0]
+    hot = hot_keys(events, "user_id", int(users), literals=2)
+    return sessions.idle_sessions(events, ntz(COMPUTED), hot=hot)
+
+
 @query
 def sessions_client(spark: SparkSession, sf: str) -> DataFrame:
     events = silver.to_silver_sql(logs_raw(spark, sf), ntz(INGESTED))
@@ -601,6 +622,19 @@ def scd2_version(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_version(spark, path, 1).select(KEY, *COMPARED)
 
 
+@query
+def scd2_late_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads in order, then two whose times lie between them."""
+    path = scratch_dir(spark, "history")
+    first, second = customers(spark, sf)
+    for snapshot, at in zip((first, second, first), (*LOADS, THIRD), strict=True):
+        tables.upsert_history(spark, path, snapshot, KEY, COMPARED, ntz(at))
+    for at in LATE:
+        late = late_customers(spark, sf)
+        tables.splice_history(spark, path, late, KEY, COMPARED, ntz(at))
+    return tables.read_history(spark, path)
+
+
 @query
 def scd2_current(spark: SparkSession, sf: str) -> DataFrame:
     return history.current_rows(applied(spark, sf))

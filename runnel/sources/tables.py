@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from runnel.operators.history import history_as_of, scd2_apply, scd2_stage
+from runnel.operators.history import history_as_of, scd2_apply, scd2_splice, scd2_stage
 from runnel.operators.layout import compact, repartition_by_date
 from runnel.operators.upsert import require_unique, upsert
 from runnel.plans.sizing import materialise
@@ -32,6 +32,8 @@ LOADS = "_loads"
 #: Folder of an upserted table with its columns as JSON.
 SCHEMA = "_columns"
 LOADS_DDL = "version BIGINT, at TIMESTAMP_NTZ"
+#: Folder of a stored history with the keys that loads did not have.
+MISSED = "_missed"
 #: Number of the row that says up to when closed versions were dropped.
 PRUNED = -1
 
@@ -254,12 +256,11 @@ def upsert_history(
     a run that broke off can be repeated with the same ``at``. ``at`` must not lie before an
     earlier load, nor name another snapshot's load; keys must be unique in the snapshot.
     Loads are numbered from 0, for :func:`read_version`; the numbers stay when versions are
-    dropped.
+    dropped. Keys that the snapshot lacks are noted for :func:`splice_history`, which takes
+    loads that come late.
     """
     require_unique(new, [key])
-    load = F.when(F.col("is_current"), "current").otherwise(
-        F.date_format("effective_end_date", "yyyyMMddHHmmssSSSSSS")
-    )
+    load = _version_folder()
     if not table_exists(spark, _open_versions(path)):
         first = scd2_stage(new, compare_cols, at).withColumn(LOAD_COL, load)
         write_table(first, path, "overwrite", [LOAD_COL])
@@ -267,18 +268,99 @@ def upsert_history(
         return
     opened = spark.read.parquet(_open_versions(path))
     applied, _ = materialise(
-        scd2_apply(opened, new, key, compare_cols, at).withColumn(LOAD_COL, load)
+        scd2_apply(opened, new, key, compare_cols, at, "_given").withColumn(LOAD_COL, load)
     )
     last = opened.select(
         F.max(F.col("effective_start_date") > at), F.max(F.col("effective_start_date") == at)
     ).first()
     if last[0] or (last[1] and not applied.where("NOT is_current").isEmpty()):
         raise ValueError("a load must be later than every load before it")
+    _note_missed(applied.where("is_current AND NOT _given").select(key, at.alias("at")), path, at)
+    applied = applied.drop("_given")
     for part in (applied.where("NOT is_current"), applied.where("is_current")):
         write_table(part, path, "overwrite", [LOAD_COL], dynamic=True)
     _number_load(spark, path, at)
 
 
+def _stamp(moment: Column | str) -> Column:
+    return F.date_format(moment, "yyyyMMddHHmmssSSSSSS")
+
+
+def _version_folder() -> Column:
+    """Where a version lies: with the open ones, or with those that ended at the same time."""
+    return F.when(F.col("is_current"), "current").otherwise(_stamp("effective_end_date"))
+
+
+def _note_missed(keys: DataFrame, path: str, at: Column) -> None:
+    named = keys.withColumn(LOAD_COL, _stamp(at))
+    write_table(named, f"{path}/{MISSED}", "overwrite", [LOAD_COL], dynamic=True)
+
+
+def _missed(spark: SparkSession, path: str, key: str, kind: str) -> DataFrame:
+    try:
+        return spark.read.schema(f"`{key}` {kind}, at TIMESTAMP_NTZ, {LOAD_COL} STRING").parquet(
+            f"{path}/{MISSED}"
+        )
+    except AnalysisException as error:
+        if _absent(error):
+            return spark.createDataFrame([], f"`{key}` {kind}, at TIMESTAMP_NTZ, {LOAD_COL} STRING")
+        raise
+
+
+def splice_history(
+    spark: SparkSession,
+    path: str,
+    new: DataFrame,
+    key: str,
+    compare_cols: Sequence[str],
+    at: Column,
+) -> None:
+    """Loads a snapshot of an earlier time between those of a stored history.
+
+    The history is then as if all had been loaded in order. Only versions that end after
+    ``at`` are read, and only folders in which a version changed are written. Which loads
+    had a key is known from the notes of :func:`upsert_history`; a history stored without
+    notes counts as made of whole snapshots. The load takes the next number. Repeating it
+    changes nothing; another snapshot for the time of a known load is an error, as is a time
+    of which versions have been dropped.
+    """
+    require_unique(new, [key])
+    loads = _loads(spark, path)
+    limit = loads.where(F.col("version") == PRUNED).agg(F.max("at")).scalar()
+    made = loads.where(F.col("version") >= 0)
+    if not loads.where(at < limit).isEmpty():
+        raise ValueError(f"versions of that time of {path} have been dropped")
+    later = made.where(F.col("at") > at).agg(F.array_sort(F.collect_list("at"))).scalar()
+    missed = _missed(spark, path, key, new.schema[key].dataType.simpleString())
+    stored = read_table(spark, path).where(F.col(LOAD_COL) > _stamp(at))
+    spliced = scd2_splice(
+        stored.drop(LOAD_COL), new, key, compare_cols, at, later, missed.select(key, "at")
+    )
+    spliced, _ = materialise(spliced.withColumn(LOAD_COL, _version_folder()))
+    moved = spliced.where("_moved")
+    if not made.where(F.col("at") == at).isEmpty():
+        if not moved.isEmpty():
+            raise ValueError("another snapshot was loaded at that time")
+        return
+    if missed.where(F.col(LOAD_COL) == _stamp(at)).isEmpty():
+        # Not in this snapshot; and keys that it begins, not in the loads up to their next version.
+        without = spliced.where(~F.col("_given") & (F.col("_since") <= at)).select(key, at.alias("at"))
+        begun = moved.where((F.col("_since") > at) | F.col("_since").isNull())
+        between = F.filter("_later", lambda x: F.col("_since").isNull() | (x < F.col("_since")))
+        begun = begun.withColumn("_later", later).select(key, F.explode(between).alias("at"))
+        _note_missed(without.unionByName(begun), path, at)
+    old = F.array(F.col(LOAD_COL), F.col("_was"))
+    before = stored.select(F.col(key).alias("_k"), F.col("effective_start_date").alias("_s"), F.col(LOAD_COL).alias("_was"))
+    left = moved.join(before, (F.col(key) == F.col("_k")) & (F.col("_since") == F.col("_s")), "left")
+    touched = [r[0] for r in left.select(F.explode(old).alias("f")).distinct().where("f IS NOT NULL").collect()]
+    if touched:
+        rows = spliced.where(F.col(LOAD_COL).isin(touched)).drop("_given", "_since", "_moved")
+        written = [r[0] for r in rows.select(LOAD_COL).distinct().collect()]
+        write_table(rows, path, "overwrite", [LOAD_COL], dynamic=True)
+        delete_folders(spark, [f"{path}/{LOAD_COL}={f}" for f in touched if f not in written])
+    _number_load(spark, path, at)
+
+
 def _loads(spark: SparkSession, path: str) -> DataFrame:
     """One row for each load: a short table, as loads are made one after the other."""
     try:

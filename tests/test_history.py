@@ -106,6 +106,55 @@ def test_stored_history_equals_the_frames(spark, folder):
         assert multiset(tables.read_history(spark, f"{folder}/h")) == multiset(past)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_late_loads_give_the_history_of_loads_in_order(spark, folder, seed):
+    """Snapshots lack keys at random, so a key's next load is not always the next one."""
+    rng = random.Random(seed)
+    snapshots = {
+        day: load(
+            spark,
+            [(k, rng.choice(["x", "y", None]), 1.0) for k in rng.sample(range(24), 12)],
+        )
+        for day in range(1, 7)
+    }
+    late = rng.sample(range(1, 7), 3)
+    timely = [day for day in snapshots if day not in late]
+    for days, path in ((list(snapshots), "ordered"), (timely, "h")):
+        for day in days:
+            tables.upsert_history(spark, f"{folder}/{path}", snapshots[day], "k", COLS, at(day))
+    for _ in range(2):  # repeated late loads change nothing
+        for day in late:
+            tables.splice_history(spark, f"{folder}/h", snapshots[day], "k", COLS, at(day))
+    want = multiset(tables.read_history(spark, f"{folder}/ordered"))
+    assert multiset(tables.read_history(spark, f"{folder}/h")) == want
+    numbers = [*timely, *late]
+    for n, day in enumerate(numbers):
+        then = tables.read_version(spark, f"{folder}/h", n)
+        assert multiset(then) == multiset(tables.read_version(spark, f"{folder}/ordered", day - 1))
+    # The table goes on as usual.
+    for path in ("ordered", "h"):
+        tables.upsert_history(spark, f"{folder}/{path}", snapshots[late[0]], "k", COLS, at(9))
+    want = multiset(tables.read_history(spark, f"{folder}/ordered"))
+    assert multiset(tables.read_history(spark, f"{folder}/h")) == want
+
+
+def test_late_load_limits(spark, folder):
+    path = f"{folder}/h"
+    for day, value in ((1, "a"), (3, "b"), (20, "c")):
+        tables.upsert_history(spark, path, load(spark, [(1, value, 1.0)]), "k", COLS, at(day))
+    with pytest.raises(ValueError, match="another snapshot"):
+        tables.splice_history(spark, path, load(spark, [(1, "z", 1.0)]), "k", COLS, at(3))
+    with pytest.raises(ValueError, match="several rows"):
+        twice = load(spark, [(1, "x", 1.0), (1, "y", 1.0)])
+        tables.splice_history(spark, path, twice, "k", COLS, at(2))
+    before = multiset(tables.read_history(spark, path))
+    tables.splice_history(spark, path, load(spark, []), "k", COLS, at(2))
+    assert multiset(tables.read_history(spark, path)) == before
+    tables.prune_history(spark, path, at(21), hours=7 * 24)
+    with pytest.raises(ValueError, match="dropped"):
+        tables.splice_history(spark, path, load(spark, [(1, "z", 1.0)]), "k", COLS, at(2))
+
+
 def test_prune_keeps_current_and_recently_closed(spark):
     past = history.scd2_stage(load(spark, [(1, "x", 1.0), (2, "x", 1.0)]), COLS, at(1))
     past = history.scd2_apply(past, load(spark, [(1, "y", 1.0)]), "k", COLS, at(2))
