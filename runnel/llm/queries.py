@@ -227,18 +227,31 @@ counted AS (
   FROM docs LEFT JOIN dups USING (r) LEFT JOIN repeats USING (r)),
 judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
   FROM counted),
-hosts AS (SELECT source, count(*) AS n, sum(CAST(base_failed AS BIGINT)) AS f FROM judged
-  WHERE source IS NOT NULL GROUP BY source),
-over AS (SELECT avg(f / n) AS mean, avg((f / n) * (f / n)) AS square, avg(1 / n) AS inverse
-  FROM hosts),
-spread AS (SELECT mean, square - mean * mean - mean * (1 - mean) * inverse AS between_hosts
+failures AS (
+  SELECT source, unnest([
+    {{'rule': 'few_words', 'fails': n_words < 10}},
+    {{'rule': 'repeats', 'fails': 100 * n_repeat_words > 20 * n_words}},
+    {{'rule': 'symbols', 'fails': 100 * n_symbols > 10 * n_words}},
+    {{'rule': 'lines', 'fails': 100 * n_dup_lines > 5 * n_words}}], recursive := true)
+  FROM judged WHERE source IS NOT NULL),
+hosts AS (SELECT source, rule, count(*) AS n, sum(CAST(fails AS BIGINT)) AS f FROM failures
+  GROUP BY source, rule),
+over AS (SELECT rule, avg(f / n) AS mean, avg((f / n) * (f / n)) AS square, avg(1 / n) AS inverse
+  FROM hosts GROUP BY rule),
+spread AS (
+  SELECT rule, mean, square - mean * mean - mean * (1 - mean) * inverse AS between_hosts
   FROM over),
-prior AS (SELECT mean, CASE WHEN between_hosts > 0
+prior AS (SELECT rule, mean, CASE WHEN between_hosts > 0
   THEN greatest(mean * (1 - mean) / between_hosts - 1, 0) END AS weight FROM spread),
-rates AS (SELECT source, CASE WHEN weight IS NULL THEN mean
-  ELSE (f + mean * weight) / (n + weight) END AS rate FROM hosts, prior)
+bounds AS (SELECT *, CASE WHEN weight IS NULL THEN {rules.HOST_RATES[1]} ELSE
+  least(greatest(mean + {rules.TAIL} * sqrt(mean * (1 - mean) / (weight + 1)),
+    {rules.HOST_RATES[0]}), {rules.HOST_RATES[1]}) END AS most FROM prior),
+rates AS (
+  SELECT source, bool_or(CASE WHEN weight IS NULL THEN mean
+    ELSE (f + mean * weight) / (n + weight) END > most) AS rejected
+  FROM hosts JOIN bounds USING (rule) GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT coalesce(rate > {rules.HOST_RATE}, false) AS kept
+  NOT base_failed AND NOT coalesce(rejected, false) AS kept
 FROM judged LEFT JOIN rates USING (source)""",
     "op7_substrings": f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),

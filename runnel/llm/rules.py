@@ -1,13 +1,14 @@
 """Quality rules for documents, and for hosts by shrunken failure rates.
 
-Each document is judged by counts over its whole text. The failures of a host's documents
-are added up; the host's rate is shrunk towards the rate of all hosts by a beta prior whose
-parameters are fitted to the hosts themselves. Documents of a host with too high a rate are
-rejected with it.
+Each document is judged by counts over its whole text. For each rule by itself, the failures
+of a host's documents are added up; the host's rate is shrunk towards the rate of all hosts by
+a beta prior whose parameters are fitted to the hosts themselves. Documents of a host whose
+rate lies above the prior's upper tail are rejected with it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -20,8 +21,11 @@ SYMBOLS = b"#*$%&|<>"
 REPEAT_WINDOW = 5
 LEAST_WORDS = 10
 REPEAT_PERCENT = 20
-#: A host is rejected if its shrunken failure rate is above this.
-HOST_RATE = 0.5
+SYMBOL_PERCENT = 10
+LINES_PERCENT = 5
+#: The upper tail of a prior begins so many standard deviations above its mean; a host's limit
+#: is that place, but at least the first and at most the second of these rates.
+TAIL, HOST_RATES = 3.0, (0.25, 0.5)
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -68,33 +72,70 @@ def counts_of(text: bytes | None) -> tuple[int, int, int, int, int]:
     )
 
 
+def failures() -> dict[str, Column]:
+    """The rules whose failures hosts answer for. A document itself fails by the first two."""
+    words = F.col("n_words")
+    return {
+        "few_words": words < LEAST_WORDS,
+        "repeats": 100 * F.col("n_repeat_words") > REPEAT_PERCENT * words,
+        "symbols": 100 * F.col("n_symbols") > SYMBOL_PERCENT * words,
+        "lines": 100 * F.col("n_dup_lines") > LINES_PERCENT * words,
+    }
+
+
 def failed() -> Column:
-    repeated = 100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")
-    return (F.col("n_words") < LEAST_WORDS) | repeated
+    rules = failures()
+    return rules["few_words"] | rules["repeats"]
 
 
-def host_rates(judged: DataFrame, host: str, failure: str) -> DataFrame:
-    """``host, n, n_failed, rate``: each host's failure rate under an empirical beta prior.
+def host_verdicts(
+    judged: DataFrame,
+    host: str,
+    rules: dict[str, Column],
+    tail: float = TAIL,
+    bounds: tuple[float, float] = HOST_RATES,
+) -> DataFrame:
+    """``host, n, rates, rejected_by``: failure rates under empirical beta priors.
 
-    Where the hosts differ no more than by chance, all get the common rate. Rows without a
-    host count for none. Three numbers over all hosts come to the driver.
+    Each rule has a prior of its own. Where the hosts differ no more than by chance, all get
+    the common rate. A host is rejected by the rules whose limit its rate exceeds. Rows
+    without a host count for none. Three numbers for each rule come to the driver.
     """
     hosts = (
         judged.where(F.col(host).isNotNull())
         .groupBy(F.col(host).alias("host"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(failure).cast("long")).alias("n_failed"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.sum(fails.cast("long")).alias(f"n_{rule}") for rule, fails in rules.items()],
+        )
     )
-    rate = F.col("n_failed") / F.col("n")
-    over = hosts.agg(
-        F.avg(rate).alias("mean"),
-        F.avg(rate * rate).alias("square"),
-        F.avg(1 / F.col("n")).alias("inverse"),
-    ).first()
-    mean, weight = beta_prior(over["mean"], over["square"], over["inverse"])
-    shrunk = F.lit(mean) if weight is None else (
-        (F.col("n_failed") + F.lit(mean * weight)) / (F.col("n") + F.lit(weight))
-    )
-    return hosts.select("host", "n", "n_failed", shrunk.alias("rate"))
+    rate = {rule: F.col(f"n_{rule}") / F.col("n") for rule in rules}
+    moments = [F.avg(1 / F.col("n")).alias("inverse")]
+    for rule, x in rate.items():
+        moments += [F.avg(x).alias(f"mean_{rule}"), F.avg(x * x).alias(f"square_{rule}")]
+    over = hosts.agg(*moments).first()
+    shrunk, above = [], []
+    for rule in rules:
+        mean, weight = beta_prior(over[f"mean_{rule}"], over[f"square_{rule}"], over["inverse"])
+        value = F.lit(mean) if weight is None else (
+            (F.col(f"n_{rule}") + F.lit(mean * weight)) / (F.col("n") + F.lit(weight))
+        )
+        shrunk.append(value.cast("double").alias(rule))
+        above.append(F.when(value > rate_limit(mean, weight, tail, bounds), rule))
+    return hosts.select(
+        "host", "n", F.struct(*shrunk).alias("rates"),
+        F.array_compact(F.array(*above)).alias("rejected_by"),
+    )
+
+
+def rate_limit(
+    mean: float | None, weight: float | None, tail: float, bounds: tuple[float, float]
+) -> float:
+    """Where the upper tail of a beta prior begins, within bounds."""
+    if mean is None or weight is None:
+        return bounds[1]
+    far = mean + tail * math.sqrt(mean * (1 - mean) / (weight + 1))
+    return min(max(far, bounds[0]), bounds[1])
 
 
 def beta_prior(
@@ -116,14 +157,17 @@ def judge_hosts(
     docs: DataFrame,
     host_col: str = "source",
     text_col: str = "text",
-    host_rate: float = HOST_RATE,
+    bounds: tuple[float, float] = HOST_RATES,
     carry: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
-    """``row, host``, the counts, ``base_failed``, ``rate`` (the host's) and ``kept``.
-
-    ``row`` holds the columns ``carry``, which are written out once with the counts. A null or empty text has no words and so fails. A
-    document without a host is judged by itself. Repeated rows count each; an empty table
-    gives no rows. The join with the hosts' rates moves the counts, not the texts.
+    """``row, host``, the counts, ``base_failed``, the host's ``rates`` and ``rejected_by``
+    (the rules that reject it), and ``kept``.
+
+    ``row`` holds the columns ``carry``, which are written out once with the counts, so extra
+    columns cannot clash. A null or empty text has no words and so fails; texts of any length
+    are counted whole. A document without a host is judged by itself. A rate that equals the
+    limit is not above it. Repeated rows count each; an empty table gives no rows. The join
+    with the hosts' verdicts moves the counts, not the texts.
     """
     names = list(dict.fromkeys(carry))
     row = F.struct(*[docs[f"`{c}`"] for c in names])
@@ -138,8 +182,8 @@ def judge_hosts(
         failed().alias("base_failed"),
     )
     judged = checkpoint(judged)
-    rates = host_rates(judged, "host", "base_failed").select(F.col("host").alias("_h"), "rate")
-    joined = judged.join(rates, F.col("host") == F.col("_h"), "left").drop("_h")
-    return joined.withColumn(
-        "kept", ~F.col("base_failed") & ~F.coalesce(F.col("rate") > host_rate, F.lit(False))
-    )
+    verdicts = host_verdicts(judged, "host", failures(), bounds=bounds)
+    verdicts = verdicts.select(F.col("host").alias("_h"), "rates", "rejected_by")
+    joined = judged.join(verdicts, F.col("host") == F.col("_h"), "left").drop("_h")
+    bad_host = F.coalesce(F.size("rejected_by") > 0, F.lit(False))
+    return joined.withColumn("kept", ~F.col("base_failed") & ~bad_host)

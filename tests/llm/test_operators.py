@@ -205,6 +205,34 @@ def test_bad_host_is_rejected(spark):
     assert kept == set(range(60))
 
 
+def test_host_is_rejected_by_the_rule_that_it_fails(spark):
+    """No document of these hosts fails by itself; a third of some hosts' fail one rule."""
+    good = " ".join(f"w{i}" for i in range(30))
+    bad = {
+        "signs": good + " ## ||" * 2,
+        "lines": "\n".join([good, *["same line"] * 4]),
+    }
+    rows = []
+    for h in range(40):
+        for i in range(60):
+            name = "signs" if h == 7 else "lines" if h == 8 else None
+            text = bad[name] if name and i % 3 else bad["signs"] if h < 7 and i == 0 else good
+            rows.append((h * 100 + i, text, f"host{h}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = rules.judge_hosts(docs).select("host", "rejected_by", "base_failed", "kept").distinct()
+    assert {r["host"]: r["rejected_by"] for r in found.collect() if not r["kept"]} == {
+        "host7": ["symbols"], "host8": ["lines"],
+    }
+    assert found.where("base_failed").isEmpty()
+
+
+def test_limit_of_a_rate_follows_the_prior():
+    assert rules.rate_limit(None, None, 3, (0.25, 0.5)) == 0.5
+    assert rules.rate_limit(0.01, 99, 3, (0.25, 0.5)) == 0.25
+    assert rules.rate_limit(0.2, 63, 3, (0.25, 0.5)) == pytest.approx(0.35)
+    assert rules.rate_limit(0.2, 0, 3, (0.25, 0.5)) == 0.5
+
+
 def brute_repeats(texts, window=13):
     words = {i: re.findall(r"[^\x20\x09-\x0D]+", t or "") for i, t in texts.items()}
     first = {}
