@@ -210,7 +210,7 @@ def test_host_is_rejected_by_the_rule_that_it_fails(spark):
     good = " ".join(f"w{i}" for i in range(30))
     bad = {
         "signs": good + " ## ||" * 2,
-        "lines": "\n".join([good, *["same line"] * 4]),
+        "lines": "\n".join([good, *["again"] * 4]),
     }
     rows = []
     for h in range(40):
