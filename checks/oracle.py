@@ -450,6 +450,11 @@ ORACLE: dict[str, str] = {
         "effective_end_date >= TIMESTAMP '2024-02-20 00:00:00' - INTERVAL 168 HOUR"
     ),
     "compact_zorder": logs("SELECT * FROM silver"),
+    "compact_hilbert": logs("SELECT * FROM silver"),
+    "events_of_users": logs(
+        "SELECT * FROM silver WHERE user_id IN "
+        "(SELECT DISTINCT user_id FROM silver ORDER BY user_id LIMIT 3)"
+    ),
     "silver_by_date": logs("SELECT event_date, count(*) AS cnt FROM silver GROUP BY event_date"),
     "stream_bronze": sql(["logs_raw"], f"SELECT {RAW_LIST}, {DATED} AS event_date FROM logs_raw"),
     "stream_silver": sql(["logs_raw", "silver_sql"], "SELECT * FROM silver_sql"),

@@ -663,6 +663,30 @@ def compact_zorder(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_table(spark, target, SILVER_DDL)
 
 
+def clustered(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver along a Hilbert curve, with Bloom filters for users and events."""
+    source, target = scratch_dir(spark, "silver"), scratch_dir(spark, "clustered")
+    tables.write_table(clean_events(spark, sf), source)
+    tables.compact_table(
+        spark, source, target, ["event_date", "user_id"], files=6, curve="hilbert",
+        lookup_cols=["event_id", "user_id"],
+    )
+    return tables.read_table(spark, target, SILVER_DDL)
+
+
+@query
+def compact_hilbert(spark: SparkSession, sf: str) -> DataFrame:
+    return clustered(spark, sf)
+
+
+@query
+def events_of_users(spark: SparkSession, sf: str) -> DataFrame:
+    """All events of the first three users, by a filter that the Bloom filters serve."""
+    events = clustered(spark, sf)
+    first = events.select("user_id").distinct().orderBy("user_id").limit(3).collect()
+    return events.where(F.col("user_id").isin([r[0] for r in first]))
+
+
 @query
 def silver_by_date(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per date of a rebalanced Silver."""

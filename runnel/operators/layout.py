@@ -79,8 +79,8 @@ def bucket_bits(files: int, columns: int) -> int:
     return min(needed, MOST_BITS, CELL_BITS // columns)
 
 
-def z_value(df: DataFrame, cols: Sequence[str], bits: int) -> Column:
-    """Interleaved bits of the columns' buckets; a null lies in the first bucket.
+def _buckets(df: DataFrame, cols: Sequence[str], bits: int) -> list[Column]:
+    """The bucket of each column, of ``2 ** bits`` with about equal shares; nulls in the first.
 
     The buckets' bounds are whole values, taken from ``SAMPLE_ROWS`` rows chosen by hash of
     these columns and the row's place; no other column is read.
@@ -88,22 +88,64 @@ def z_value(df: DataFrame, cols: Sequence[str], bits: int) -> Column:
     drawn = F.xxhash64(*cols, F.monotonically_increasing_id()).alias("_at")
     chosen = df.select(*cols, drawn).orderBy("_at")
     sample = chosen.limit(SAMPLE_ROWS).collect()
-    z = F.lit(0).cast("bigint")
-    for place, c in enumerate(cols):
+    out = []
+    for c in cols:
         kind = df.schema[c].dataType
         cuts = [F.lit(v).cast(kind) for v in _bounds([r[c] for r in sample], 2**bits)]
         number = (_searched_bucket if bits > NESTED_BITS else _bucket)(F.col(c), cuts)
-        bucket = F.when(F.col(c).isNull(), 0).otherwise(number).cast("bigint")
+        out.append(F.when(F.col(c).isNull(), 0).otherwise(number).cast("bigint"))
+    return out
+
+
+def z_value(df: DataFrame, cols: Sequence[str], bits: int) -> Column:
+    """Interleaved bits of the columns' buckets."""
+    z = F.lit(0).cast("bigint")
+    for place, bucket in enumerate(_buckets(df, cols, bits)):
         for bit in range(bits):
             one = F.shiftright(bucket, bit).bitwiseAND(F.lit(1).cast("bigint"))
             z = z + F.shiftleft(one, bit * len(cols) + place)
     return z
 
 
+def hilbert_place(x: Column, y: Column, bits: int) -> Column:
+    """How far along a Hilbert curve of ``4 ** bits`` cells the cell ``(x, y)`` lies.
+
+    From the largest squares to the smallest: the number of the quarter counts, and the cell
+    is turned into that quarter's own direction.
+    """
+    top = 2**bits - 1
+    halves = F.array(*[F.lit(2**i).cast("bigint") for i in reversed(range(bits))])
+    begin = F.struct(F.lit(0).cast("bigint").alias("d"), x.alias("x"), y.alias("y"))
+
+    def enter(at: Column, half: Column) -> Column:
+        right, upper = at["x"].bitwiseAND(half) > 0, at["y"].bitwiseAND(half) > 0
+        quarter = F.when(right, F.when(upper, 2).otherwise(3)).otherwise(F.when(upper, 1).otherwise(0))
+        flipped = right & ~upper
+        across = F.when(flipped, F.lit(top) - at["x"]).otherwise(at["x"])
+        along = F.when(flipped, F.lit(top) - at["y"]).otherwise(at["y"])
+        return F.struct(
+            (at["d"] + half * half * quarter).alias("d"),
+            F.when(upper, across).otherwise(along).alias("x"),
+            F.when(upper, along).otherwise(across).alias("y"),
+        )
+
+    return F.aggregate(halves, begin, enter, lambda at: at["d"])
+
+
+def hilbert_value(df: DataFrame, cols: Sequence[str], bits: int) -> Column:
+    """The place of the buckets of two columns on a Hilbert curve."""
+    if len(cols) != 2:
+        raise ValueError("a Hilbert curve takes two columns")
+    return hilbert_place(*_buckets(df, cols, bits), bits)
+
+
+CURVES = {"z": z_value, "hilbert": hilbert_value}
+
+
 def _file_cells(keyed: DataFrame, files: int) -> DataFrame:
-    """For each z-value its first file and how many files it fills, by exact counts.
+    """For each place on the curve its first file and how many it fills, by exact counts.
 
-    There are at most ``2 ** CELL_BITS`` z-values, so their running sum is one small task.
+    There are at most ``2 ** CELL_BITS`` places, so their running sum is one small task.
     """
     counted = keyed.groupBy("_z").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy("_z").rowsBetween(Window.unboundedPreceding, -1)
@@ -122,18 +164,23 @@ def _file_cells(keyed: DataFrame, files: int) -> DataFrame:
 
 
 def compact(
-    df: DataFrame, cols: Sequence[str] | None = None, files: int | None = None
+    df: DataFrame,
+    cols: Sequence[str] | None = None,
+    files: int | None = None,
+    curve: str = "z",
 ) -> DataFrame:
     """The same rows in fewer, larger partitions, clustered along ``cols`` if given.
 
-    Files are cut on exact counts of z-values. Rows that agree in every clustering column
+    ``curve`` orders the cells. Along ``hilbert``, for two columns, neighbours on the curve
+    are neighbours in the plane, so files that are not whole squares are narrower than by
+    ``z``. Files are cut on exact counts of places on the curve. Rows that agree in every clustering column
     are spread by their hash over as many files as they fill.
     """
     if not cols:
         return df.repartition(files) if files else df.hint("rebalance")
     if files is None:
         files = max(1, math.ceil(df.count() / ROWS_PER_FILE))
-    keyed = df.withColumn("_z", z_value(df, cols, bucket_bits(files, len(cols))))
+    keyed = df.withColumn("_z", CURVES[curve](df, cols, bucket_bits(files, len(cols))))
     placed = keyed.join(F.broadcast(_file_cells(keyed, files)), "_z")
     spread = F.pmod(F.xxhash64(*df.columns), F.col("_span")).cast("int")
     number = F.least(F.col("_first") + spread, F.lit(files - 1))

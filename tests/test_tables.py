@@ -249,6 +249,53 @@ def test_clustering_narrows_both_columns(spark):
     assert max(r["d"] for r in spans) <= 32 and max(r["u"] for r in spans) <= 32
 
 
+def test_hilbert_places_are_neighbours(spark):
+    bits = 4
+    grid = spark.range(256).selectExpr("id % 16 AS x", "id DIV 16 AS y")
+    found = grid.select("x", "y", layout.hilbert_place(F.col("x"), F.col("y"), bits).alias("d"))
+    line = [(r["x"], r["y"]) for r in found.orderBy("d").collect()]
+    assert sorted(r["d"] for r in found.collect()) == list(range(256))
+    assert line[0] == (0, 0)
+    assert all(abs(a - c) + abs(b - d) == 1 for (a, b), (c, d) in zip(line, line[1:]))
+    with pytest.raises(ValueError, match="two columns"):
+        layout.compact(grid, ["x"], 2, "hilbert")
+
+
+def test_hilbert_files_are_touched_less_often(spark):
+    grid = spark.range(64 * 64 * 4).selectExpr("id % 64 AS x", "id DIV 64 % 64 AS y", "id")
+    touched = {}
+    for curve in ("z", "hilbert"):
+        out = layout.compact(grid, ["x", "y"], 24, curve)
+        assert out.count() == grid.count()
+        ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("x", "y") for f in (F.min, F.max)]
+        boxes = out.groupBy(F.spark_partition_id()).agg(*ends).collect()
+        touched[curve] = sum(
+            r["min_x"] < x + 8 and x <= r["max_x"] and r["min_y"] < y + 8 and y <= r["max_y"]
+            for r in boxes for x in range(0, 57, 3) for y in range(0, 57, 3)
+        )
+    assert touched["hilbert"] < touched["z"]
+
+
+def test_point_reads_pass_over_row_groups(spark, folder):
+    # Too many values for a dictionary, and unordered, so that only the Bloom filter can tell.
+    ids = spark.range(60_000).select(F.sha2(F.col("id").cast("string"), 256).alias("event_id"), "id")
+    tables.write_table(ids, f"{folder}/ids", "overwrite", ())
+
+    def scanned(path, value):
+        found = spark.read.parquet(path).where(F.col("event_id") == value)
+        n = len(found.collect())
+        leaf = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return n, leaf.metrics().apply("numOutputRows").value()
+
+    for name, cols in (("plain", ()), ("looked", ("event_id",))):
+        tables.compact_table(spark, f"{folder}/ids", f"{folder}/{name}", files=2, lookup_cols=cols)
+    there = ids.first()[0]
+    assert scanned(f"{folder}/plain", "7" * 64)[1] > 0
+    assert scanned(f"{folder}/looked", "7" * 64) == (0, 0)
+    found, rows_read = scanned(f"{folder}/looked", there)
+    assert found == 1 and 0 < rows_read < scanned(f"{folder}/plain", there)[1]
+
+
 def test_clustering_spreads_rows_that_agree(spark):
     df = spark.range(20_000).selectExpr("'one' AS user_id", "DATE '2024-01-01' AS event_date", "id")
     out = layout.compact(df, ["event_date", "user_id"], 8)
