@@ -240,9 +240,18 @@ ORACLE: dict[str, str] = {
     "silver_clean": logs("SELECT * FROM silver"),
     "bronze_unknown_fields": sql(
         ["logs_raw"],
-        "SELECT 'canary' AS \"column\", count(*) AS non_null FROM logs_raw "
+        "SELECT 'canary' AS \"column\", 'STRING' AS kind, count(*) AS non_null FROM logs_raw "
         "WHERE CAST(substring(event_id, 5) AS BIGINT) % 5 = 0 "
-        "UNION ALL SELECT 'shard', count(*) FROM logs_raw",
+        "UNION ALL SELECT 'shard', 'OBJECT<n: BIGINT>', count(*) FROM logs_raw "
+        "UNION ALL SELECT 'level', 'VARIANT', count(*) FROM logs_raw",
+    ),
+    "bronze_promoted_fields": sql(
+        ["logs_raw"],
+        "SELECT event_id, n AS shard, CASE WHEN n % 4 <> 1 THEN n END AS level, "
+        "CASE WHEN n % 5 = 0 AND n % 4 = 1 THEN '{\"canary\":\"x\",\"level\":\"high\"}' "
+        "WHEN n % 5 = 0 THEN '{\"canary\":\"x\"}' "
+        "WHEN n % 4 = 1 THEN '{\"level\":\"high\"}' END AS _unknown_fields "
+        "FROM (SELECT event_id, CAST(substring(event_id, 5) AS BIGINT) AS n FROM logs_raw)",
     ),
     "upsert_evolving": logs(
         "SELECT *, CASE WHEN event_date < DATE '2024-01-19' THEN 'old' END AS note FROM kpis",

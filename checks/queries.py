@@ -174,14 +174,32 @@ def append_evolving(spark: SparkSession, sf: str) -> DataFrame:
     return upsert.append_evolving(old, new)
 
 
-@query
-def bronze_unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts of the fields of raw events that the data model lacks."""
+def wider_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw events read again from files with a text, an object and a mixed field more."""
     path = scratch_dir(spark, "raw")
     number = F.substring("event_id", 5, 20).cast("bigint")
-    extra = {"canary": F.when(number % 5 == 0, F.lit("x")), "shard": F.struct(number.alias("n"))}
+    text = F.when(number % 4 == 1, F.lit('"high"')).otherwise(number.cast("string"))
+    extra = {
+        "canary": F.when(number % 5 == 0, F.lit("x")),
+        "shard": F.struct(number.alias("n")),
+        "level": F.parse_json(text),
+    }
     logs_raw(spark, sf).withColumns(extra).write.json(path)
-    return raw.unknown_fields(raw.read_raw_lines(spark, path))
+    return raw.read_raw_lines(spark, path)
+
+
+@query
+def bronze_unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Types and counts of the fields of raw events that the data model lacks."""
+    return raw.unknown_fields(wider_events(spark, sf))
+
+
+@query
+def bronze_promoted_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Two of these fields as columns; values that do not fit stay unknown."""
+    kinds = {"shard": "struct<n: bigint>", "level": "bigint"}
+    events = raw.promote_fields(wider_events(spark, sf), kinds)
+    return events.select("event_id", F.col("shard.n").alias("shard"), "level", "_unknown_fields")
 
 
 @query

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from runnel.schemas import CORRUPT_COL, RAW_DDL, UNKNOWN_COL, column_names
 
 READ_DDL = f"{RAW_DDL}, {CORRUPT_COL} STRING"
+#: An object of fields that each keep their own type.
+TYPED, TEXTS = "map<string,variant>", "map<string,string>"
+#: Types that hold whole numbers; a fraction does not fit them.
+WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
 def read_raw_logs(spark: SparkSession, path: str, ddl: str = READ_DDL) -> DataFrame:
@@ -26,20 +30,25 @@ def read_raw_logs(spark: SparkSession, path: str, ddl: str = READ_DDL) -> DataFr
 def parse_raw_lines(lines: DataFrame, ddl: str = READ_DDL) -> DataFrame:
     """The events of text lines (column ``value``), also with fields that ``ddl`` lacks.
 
-    Those are kept as one JSON object in ``_unknown_fields``; null if there are none. Other
-    columns of ``lines`` stay behind them. Blank lines are passed over.
+    Those are kept as one JSON object in ``_unknown_fields``, each with its own type; null if
+    there are none. (Where an object inside repeats a key, the values are kept as texts.)
+    Other columns of ``lines`` stay behind them. Blank lines are passed over.
     """
     line = F.col("value")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
-    fields = F.from_json(line, "map<string,string>", {"mode": "PERMISSIVE"})
-    unknown = F.map_filter(fields, lambda name, _: ~name.isin(column_names(ddl)))
+    known = column_names(ddl)
+
+    def unknown(kind: str) -> Column:
+        fields = F.from_json(line, kind, {"mode": "PERMISSIVE"})
+        return F.to_json(F.map_filter(fields, lambda name, _: ~name.isin(known)))
+
     others = [c for c in lines.columns if c != "value"]
     event = F.from_json(line, ddl.replace(" NOT NULL", ""), options)
     return (
         lines.where(F.trim(line) != "")
         .select(
             event.alias("event"),
-            F.when(F.size(unknown) > 0, F.to_json(unknown)).alias(UNKNOWN_COL),
+            F.nullif(F.coalesce(unknown(TYPED), unknown(TEXTS)), F.lit("{}")).alias(UNKNOWN_COL),
             *others,
         )
         .select("event.*", UNKNOWN_COL, *others)
@@ -53,10 +62,52 @@ def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def unknown_fields(events: DataFrame) -> DataFrame:
-    """``column, non_null``: the unknown fields, and how many events have a value in them."""
-    named = F.from_json(UNKNOWN_COL, "map<string,string>")
-    found = events.where(F.col(UNKNOWN_COL).isNotNull()).select(F.explode(named).alias("column", "value"))
-    return found.groupBy("column").agg(F.count("value").alias("non_null"))
+    """``column, kind, non_null``: the unknown fields, the type that holds all their values,
+    and how many events have a value in them.
+
+    Nested types are written out, as ``OBJECT<n: BIGINT>``; a field with values of several
+    kinds is a ``VARIANT``, one with nulls alone is ``VOID``.
+    """
+    found = events.where(F.col(UNKNOWN_COL).isNotNull()).select(
+        F.explode(F.from_json(UNKNOWN_COL, TYPED)).alias("column", "value")
+    )
+    return found.groupBy("column").agg(
+        F.schema_of_variant_agg("value").alias("kind"),
+        F.count_if(~F.is_variant_null("value")).alias("non_null"),
+    )
+
+
+def _shown(value: Column, typed: Column, kind: str) -> Column:
+    """Whether ``typed`` holds all of the variant ``value``."""
+    if kind in WHOLE:
+        return F.try_variant_get(value, "$", "decimal(38,9)") == typed
+    if "<" in kind:
+        return F.to_json(value) == F.to_json(typed)
+    return typed.isNotNull()
+
+
+def promote_fields(events: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """Events with a column for each of the named unknown fields, of the given type.
+
+    What the column shows leaves ``_unknown_fields``. A value that does not fit stays there
+    and the column is null: text for a number, a fraction for a whole number, a nested value
+    that the type would cut or change. A field that an event lacks is null.
+    """
+    fields = F.from_json(UNKNOWN_COL, TYPED)
+    kinds = {name: kind.strip().lower() if "<" not in kind else kind for name, kind in kinds.items()}
+    taken = sorted(set(kinds) & set(events.columns))
+    if taken:
+        raise ValueError(f"columns of that name are there: {taken}")
+    made, moved = {}, F.array().cast("array<string>")
+    for name, kind in kinds.items():
+        value = F.try_element_at(fields, F.lit(name))
+        typed = F.try_variant_get(value, "$", kind)
+        fits = F.coalesce(_shown(value, typed, kind), F.lit(False))
+        made[name] = F.when(fits, typed)
+        gone = fits | F.coalesce(F.is_variant_null(value), F.lit(False))
+        moved = F.concat(moved, F.when(gone, F.array(F.lit(name))).otherwise(F.array().cast("array<string>")))
+    rest = F.to_json(F.map_filter(fields, lambda name, _: ~F.array_contains(moved, name)))
+    return events.withColumns({**made, UNKNOWN_COL: F.nullif(rest, F.lit("{}"))})
 
 
 def register_raw_logs(spark: SparkSession, path: str, view: str) -> None:

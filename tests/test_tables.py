@@ -71,12 +71,61 @@ def test_unknown_fields_are_kept_and_counted(spark, tmp_path, folder):
     medallion.load_bronze(spark, str(tmp_path / "raw"), target)
     bronze = tables.read_table(spark, target.bronze, BRONZE_DDL)
     kept = {r["event_id"]: json.loads(r["_unknown_fields"] or "{}") for r in bronze.collect()}
-    assert kept["plain"] == {} and kept["a"] == {"zone": "z1", "tags": '{"k":[1,2]}'}
+    assert kept["plain"] == {} and kept["a"] == {"zone": "z1", "tags": {"k": [1, 2]}}
+    want = [("zone", "STRING", 1), ("tags", "OBJECT<k: ARRAY<BIGINT>>", 1)]
     assert multiset(raw.unknown_fields(bronze)) == multiset(
-        spark.createDataFrame([("zone", 1), ("tags", 1)], "column string, non_null long")
+        spark.createDataFrame(want, "column string, kind string, non_null long")
     )
 
 
+def parsed(spark, *lines):
+    return raw.parse_raw_lines(spark.createDataFrame([(v,) for v in lines], "value string"))
+
+
+def test_types_of_unknown_fields(spark):
+    lines = [
+        '{"event_id":"a","n":1,"mixed":1,"o":{"p":[1],"q":"s"},"none":null,"it\'s":true}',
+        '{"event_id":"b","n":2.5,"mixed":"t","o":{"p":[1.5]}}',
+        '{"event_id":"c","twice":{"k":1,"k":2},"n":3}',
+        "{broken",
+    ]
+    bronze = parsed(spark, *lines)
+    found = {r["column"]: (r["kind"], r["non_null"]) for r in raw.unknown_fields(bronze).collect()}
+    assert found == {
+        "n": ("VARIANT", 3), "mixed": ("VARIANT", 2), "none": ("VOID", 0), "it's": ("BOOLEAN", 1),
+        "o": ("OBJECT<p: ARRAY<DECIMAL(21,1)>, q: STRING>", 2), "twice": ("STRING", 1),
+    }
+    kept = {r["event_id"]: r["_unknown_fields"] for r in bronze.collect()}
+    assert json.loads(kept["c"]) == {"twice": '{"k":1,"k":2}', "n": "3"} and kept[None] is None
+    assert raw.unknown_fields(parsed(spark)).count() == 0
+
+
+def test_promoted_fields_lose_nothing(spark):
+    bronze = parsed(
+        spark,
+        '{"event_id":"a","n":7,"s":"x","o":{"p":1},"rest":[1]}',
+        '{"event_id":"b","n":2.5,"s":5,"o":{"p":1,"q":2}}',
+        '{"event_id":"c","n":"no","s":null,"o":{}}',
+        '{"event_id":"d"}',
+        '{"event_id":"e","n":123456789012345678901234567890}',
+    )
+    kinds = {"n": "BIGINT", "s": "string", "o": "struct<p: int>"}
+    out = raw.promote_fields(bronze, kinds)
+    got = {r["event_id"]: (r["n"], r["s"], r["o"] and r["o"]["p"]) for r in out.collect()}
+    left = {r["event_id"]: json.loads(r["_unknown_fields"] or "{}") for r in out.collect()}
+    assert got == {
+        "a": (7, "x", 1), "b": (None, "5", None), "c": (None, None, None),
+        "d": (None, None, None), "e": (None, None, None),
+    }
+    assert left == {
+        "a": {"rest": [1]}, "b": {"n": 2.5, "o": {"p": 1, "q": 2}}, "c": {"n": "no"}, "d": {},
+        "e": {"n": 123456789012345678901234567890},
+    }
+    assert dict(out.dtypes)["n"] == "bigint" and out.columns[-3:] == ["n", "s", "o"]
+    with pytest.raises(ValueError, match="event_id"):
+        raw.promote_fields(bronze, {"event_id": "string"})
+
+
 def test_repeated_load_replaces_itself(spark, tmp_path, folder):
     write_lines(tmp_path / "raw", [json.dumps(e) for e in events(6)])
     target = Tables(f"{folder}/tables")
