@@ -466,6 +466,13 @@ ORACLE: dict[str, str] = {
     ),
     "silver_by_date": logs("SELECT event_date, count(*) AS cnt FROM silver GROUP BY event_date"),
     "stream_bronze": sql(["logs_raw"], f"SELECT {RAW_LIST}, {DATED} AS event_date FROM logs_raw"),
+    "bronze_upkeep": sql(["logs_raw"], f"SELECT {RAW_LIST}, {DATED} AS event_date FROM logs_raw"),
+    "silver_after_upkeep": sql(["logs_raw", "silver_sql"], "SELECT * FROM silver_sql"),
+    "files_after_upkeep": sql(
+        ["logs_raw"],
+        "SELECT event_date, CAST(1 AS BIGINT) AS files, count(*) AS cnt "
+        f"FROM (SELECT {DATED} AS event_date FROM logs_raw) GROUP BY event_date",
+    ),
     "stream_silver": sql(["logs_raw", "silver_sql"], "SELECT * FROM silver_sql"),
     "stream_gold": logs("SELECT * FROM kpis", "kpis"),
     "stream_sessions": sql([*LOG_NAMES, "gaps", "numbered", "origins"], summary("origins")),

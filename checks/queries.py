@@ -40,7 +40,7 @@ from runnel.schemas import (
     column_names,
     struct,
 )
-from runnel.sources import raw, tables
+from runnel.sources import raw, tables, upkeep
 from runnel.streaming import flows
 
 AS_OF = dt.date(2024, 1, 30)
@@ -743,6 +743,53 @@ def stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_table(spark, target.silver, SILVER_DDL).drop("_source_file")
 
 
+def many_loads(
+    spark: SparkSession, sf: str, upkeep_after: tuple[int, ...], follow: bool = False
+) -> medallion.Tables:
+    """Six loads by stream, after some of which the small files of Bronze are merged; with
+    ``follow`` a stream to Silver after every second one."""
+    target, src = medallion.Tables(scratch_dir(spark, "tables")), scratch_dir(spark, "raw")
+    states = [scratch_dir(spark, "state") for _ in range(2)]
+    number = F.substring("event_id", 5, 20).cast("bigint")
+    for part in range(6):
+        logs_raw(spark, sf).where(number % 6 == part).write.mode("append").json(src)
+        flows.stream_bronze(spark, src, target.bronze, states[0], ntz(INGESTED)).awaitTermination()
+        if part in upkeep_after:
+            upkeep.merge_loads(spark, target.bronze)
+        if follow and part % 2:
+            flows.stream_silver(
+                spark, target.bronze, target.silver, target.quarantine, states[1]
+            ).awaitTermination()
+    return target
+
+
+@query
+def bronze_upkeep(spark: SparkSession, sf: str) -> DataFrame:
+    target = many_loads(spark, sf, (2, 5))
+    rows = tables.read_table(spark, target.bronze, BRONZE_DDL)
+    return rows.select(*column_names(RAW_DDL), "_ingested_at", "event_date")
+
+
+@query
+def silver_after_upkeep(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver of a stream that meets merged files before and after it took their rows."""
+    target = many_loads(spark, sf, (2, 3), follow=True)
+    return tables.read_table(spark, target.silver, SILVER_DDL).drop("_source_file")
+
+
+@query
+def files_after_upkeep(spark: SparkSession, sf: str) -> DataFrame:
+    """Files and rows of each date of Bronze."""
+    target = many_loads(spark, sf, (2, 5))
+    files = upkeep.stored_files(spark, target.bronze).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("files")
+    )
+    rows = tables.read_table(spark, target.bronze, BRONZE_DDL).groupBy(F.col("event_date").alias("day"))
+    counted = rows.agg(F.count(F.lit(1)).alias("cnt"))
+    both = files.join(counted, F.col("event_date").eqNullSafe(F.col("day")))
+    return both.select("event_date", "files", "cnt")
+
+
 @query
 def stream_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Quality counts of two arrivals, the second with copies of events of the first."""

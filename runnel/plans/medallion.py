@@ -29,14 +29,14 @@ from runnel.operators.silver import (
 )
 from runnel.plans.sizing import materialise
 from runnel.schemas import (
-    BRONZE_DDL,
     CRITICAL_COLS,
     DAILY_KPIS_DDL,
     DATE_COL,
-    FILE_COL,
     KPI_KEYS,
+    LOAD_COL,
     SESSIONS_DDL,
     SILVER_DDL,
+    STORED_DDL,
 )
 from runnel.sources.keyindex import copies_of, keys_of_load, read_load, silver_date, strays
 from runnel.sources.raw import read_raw_lines
@@ -45,6 +45,7 @@ from runnel.sources.tables import (
     create_tables,
     date_values,
     delete_folders,
+    first_file,
     publish_dates,
     publish_tables,
     read_dates,
@@ -160,10 +161,10 @@ def bronze_for(
     named = spark.createDataFrame([(d,) for d in dates], NOTE_DDL)
     found = date_values(elsewhere)
     if found is None:
-        rows = read_dates_of(spark, bronze, named.unionByName(elsewhere), BRONZE_DDL)
+        rows = read_dates_of(spark, bronze, named.unionByName(elsewhere), STORED_DDL)
     else:
-        rows = read_dates(spark, bronze, [*dates, *found], BRONZE_DDL)
-    rows = rows.withColumn(FILE_COL, F.col("_metadata.file_name"))
+        rows = read_dates(spark, bronze, [*dates, *found], STORED_DDL)
+    rows = first_file(rows).drop(LOAD_COL)
     here = _in_dates(silver_date(), dates)
     copies = rows.where(~here).join(ids, "event_id", "left_semi")
     return rows.where(here).unionByName(copies), rows.where(_in_dates(F.col(DATE_COL), dates))
@@ -195,8 +196,8 @@ def refresh_silver(
     read, written = Observation(), Observation()
     kept = F.count(F.lit(1)).alias("kept")
     if dates is None:
-        bronze = read_table(spark, tables.bronze, BRONZE_DDL)
-        named = bronze.withColumn(FILE_COL, F.col("_metadata.file_name"))
+        bronze = read_table(spark, tables.bronze, STORED_DDL)
+        named = first_file(bronze)
         write_table(split_nulls(named, CRITICAL_COLS)[1], tables.quarantine, "overwrite")
         silver, _ = clean(observe_quality(bronze, read))
         write_table(silver.observe(written, kept), tables.silver, "overwrite")

@@ -23,7 +23,7 @@ UNKNOWN_COL = "_unknown_fields"
 #: Partition of a load, so that a repeated load replaces itself.
 LOAD_COL = "_load"
 DATE_COL = "event_date"
-#: The Bronze file of a rejected row, by which batch and stream know each other's rejects.
+#: The Bronze file in which a row arrived, by which batch and stream know each other's rejects.
 FILE_COL = "_bronze_file"
 
 BRONZE_DDL = f"""
@@ -31,6 +31,9 @@ BRONZE_DDL = f"""
     {UNKNOWN_COL} STRING, event_date DATE
 """
 
+#: Bronze as stored: rows of merged files have the name of the file that they came in.
+STORED_DDL = f"{BRONZE_DDL}, {FILE_COL} STRING"
+
 QUARANTINE_DDL = f"{BRONZE_DDL}, _dq_reason STRING, _dq_null_cols STRING, {FILE_COL} STRING"
 
 SILVER_DDL = """

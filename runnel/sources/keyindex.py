@@ -55,10 +55,16 @@ def _write(df: DataFrame, path: str, by: Sequence[str]) -> None:
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def load_folder(spark: SparkSession, load: str) -> str:
+    """The folder name of a load, with Spark's escapes for odd characters."""
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{LOAD_COL}={names.escapePathName(load)}"
+
+
 def read_load(spark: SparkSession, bronze: str, load: str) -> DataFrame:
     """The Bronze rows of one load, listing only its folders."""
     return _read(
-        spark, bronze, f"{BRONZE_DDL}, {LOAD_COL} STRING", f"/{DATE_COL}=*/{LOAD_COL}={load}"
+        spark, bronze, f"{BRONZE_DDL}, {LOAD_COL} STRING", f"/{DATE_COL}=*/{load_folder(spark, load)}"
     )
 
 
@@ -82,7 +88,7 @@ def keys_in(spark: SparkSession, bronze: str, buckets: Sequence[int]) -> DataFra
 
 
 def keys_of_load(spark: SparkSession, bronze: str, load: str) -> DataFrame:
-    return _read(spark, f"{bronze}/{KEYS}", KEYS_DDL, f"/bucket=*/{LOAD_COL}={load}")
+    return _read(spark, f"{bronze}/{KEYS}", KEYS_DDL, f"/bucket=*/{load_folder(spark, load)}")
 
 
 def strays(spark: SparkSession, bronze: str) -> DataFrame:
@@ -131,6 +137,19 @@ def index_bronze(spark: SparkSession, bronze: str) -> None:
     named.write.mode("overwrite").partitionBy(LOAD_COL).parquet(f"{bronze}/{STRAYS}")
 
 
+def fold_loads(spark: SparkSession, bronze: str, loads: Sequence[str], name: str) -> None:
+    """Copies the index rows of some loads under one name; the old folders may then go."""
+    if not loads:
+        return
+    named = F.col(LOAD_COL).isin(list(loads))
+    keys = _read(spark, f"{bronze}/{KEYS}", KEYS_DDL).where(named)
+    keys = keys.withColumn(LOAD_COL, F.lit(name)).repartition("bucket").distinct()
+    _write(keys.sortWithinPartitions("bucket", "event_id"), f"{bronze}/{KEYS}", ["bucket", LOAD_COL])
+    odd = _read(spark, f"{bronze}/{STRAYS}", STRAYS_DDL).where(named)
+    odd = odd.withColumn(LOAD_COL, F.lit(name)).distinct()
+    _write(odd, f"{bronze}/{STRAYS}", [LOAD_COL])
+
+
 def copies_of(spark: SparkSession, bronze: str, ids: DataFrame) -> DataFrame:
     """The dates of all copies of the given ids, where they lie on several dates."""
     return strays(spark, bronze).join(ids.select("event_id"), "event_id", "left_semi")

@@ -19,11 +19,12 @@ from runnel.schemas import (
     BRONZE_DDL,
     DAILY_KPIS_DDL,
     DATE_COL,
+    FILE_COL,
     LOAD_COL,
     SESSIONS_DDL,
     SILVER_DDL,
 )
-from runnel.sources.keyindex import index_load
+from runnel.sources.keyindex import index_load, load_folder
 
 #: Most bytes of a row group's Bloom filter: about 1 % wrong hits at 6 million values.
 BLOOM_BYTES = 8 * 1024**2
@@ -34,6 +35,9 @@ LOADS = "_loads"
 #: Folder of an upserted table with its columns as JSON.
 SCHEMA = "_columns"
 LOADS_DDL = "version BIGINT, at TIMESTAMP_NTZ"
+#: Folders of Bronze: the loads that ended, and those whose files were merged.
+DONE, MERGED = "_done", "_merged"
+LOADED_DDL = f"{LOAD_COL} STRING"
 #: Folder of a stored history with the keys that loads did not have.
 MISSED = "_missed"
 #: Number of the row that says up to when closed versions were dropped.
@@ -59,13 +63,23 @@ def read_table(
     path: str,
     schema: str | StructType | None = None,
     merge: bool = False,
+    keep_load: bool = False,
 ) -> DataFrame:
     """Reads a table. With a schema, files of an older one give null in the newer columns;
     ``merge`` finds the union of all files' columns instead, by reading every footer.
     """
     if not schema:
         return spark.read.option("mergeSchema", merge).parquet(path)
-    return spark.read.schema(schema).parquet(path).drop(LOAD_COL)
+    found = spark.read.schema(schema).parquet(path)
+    return found if keep_load else found.drop(LOAD_COL)
+
+
+def first_file(rows: DataFrame, keep_name: str | None = None) -> DataFrame:
+    """Stored Bronze rows with the name of the file in which they arrived, also where files
+    were merged since; and with the name of the file that was read, as ``keep_name``."""
+    name = F.col("_metadata.file_name")
+    named = {FILE_COL: F.coalesce(FILE_COL, name), **({keep_name: name} if keep_name else {})}
+    return rows.withColumns(named)
 
 
 def read_dates(
@@ -233,9 +247,17 @@ def append_load(df: DataFrame, path: str, load: str) -> None:
 
 
 def append_bronze(df: DataFrame, path: str, load: str) -> None:
-    """Adds a load of Bronze rows, and their ids to the table's index."""
+    """Adds a load of Bronze rows, and their ids to the table's index; then notes that it
+    ended. A load whose files were merged since is there, and is passed over."""
+    spark = df.sparkSession
+    if table_exists(spark, f"{path}/{MERGED}"):
+        merged = read_table(spark, f"{path}/{MERGED}", LOADED_DDL, keep_load=True)
+        if not merged.where(F.col(LOAD_COL) == load).isEmpty():
+            return
     append_load(df, path, load)
-    index_load(df.sparkSession, path, load)
+    index_load(spark, path, load)
+    ended = spark.createDataFrame([(load,)], LOADED_DDL).coalesce(1)
+    ended.write.mode("append").parquet(f"{path}/{DONE}")
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
@@ -487,7 +509,7 @@ def publish_dates(
     the load of a Bronze table whose dates they are.
     """
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    below = f"/{LOAD_COL}={load}" if load else ""
+    below = f"/{load_folder(spark, load)}" if load else ""
     there: dict[bool, list[str]] = {True: [], False: []}
     for value in dates:
         folder = hadoop(f"{path}/{_folder(value)}{below}")

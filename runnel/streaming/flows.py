@@ -31,7 +31,6 @@ from runnel.plans.medallion import (
     session_rows_before,
 )
 from runnel.schemas import (
-    BRONZE_DDL,
     CRITICAL_COLS,
     DATE_COL,
     FILE_COL,
@@ -39,12 +38,14 @@ from runnel.schemas import (
     QUALITY_DDL,
     QUARANTINE_DDL,
     SILVER_DDL,
+    STORED_DDL,
 )
 from runnel.sources.keyindex import STRAYS, copies_of, index_bronze, silver_date
 from runnel.sources.raw import parse_raw_lines
 from runnel.sources.tables import (
     append_bronze,
     date_values,
+    first_file,
     make_folder,
     read_dates,
     read_dates_of,
@@ -146,6 +147,8 @@ def stream_silver(
     """New Bronze files to Silver and quarantine, their counts to ``quality`` if that is given.
 
     Bronze written by other tools than this library is indexed first, if it has no index.
+    Files that were merged since a batch was planned are passed over: their rows come with
+    the merged file, which changes nothing where they were taken before.
     """
     if not table_exists(spark, f"{bronze}/{STRAYS}"):
         index_bronze(spark, bronze)
@@ -156,12 +159,8 @@ def stream_silver(
             # After a failure the batch comes again, and with it the same notes.
             quality_by_file(batch).write.mode("append").parquet(quality)
 
-    rows = (
-        spark.readStream.schema(BRONZE_DDL)
-        .option("maxBytesPerTrigger", max_bytes)
-        .parquet(bronze)
-        .select("*", F.col("_metadata.file_name").alias(FILE_COL))
-    )
+    reader = spark.readStream.schema(STORED_DDL).option("maxBytesPerTrigger", max_bytes)
+    rows = first_file(reader.option("ignoreMissingFiles", True).parquet(bronze))
     return (
         rows.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
