@@ -2,8 +2,9 @@
 
 The patterns are windows of benchmark words. A table gives for each block of two words how
 far the search may jump; blocks that end a pattern lead to a bucket of patterns, which are
-compared word by word. The patterns are read in blocks of bounded size, each of which is
-sent to the tasks. With one block, the documents are not shuffled.
+compared word by word. The windows are cut by the tasks and dealt by hash into blocks of
+bounded size, which are searched for one after the other. With one block, the documents are
+not shuffled.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runnel.llm.text import alnum_words, as_binary, map_texts
+from runnel.llm.text import alnum_words, as_binary, checkpoint, map_texts
 
 WINDOW = 10
 #: Windows of one block: about 30 MB of tables in a task.
@@ -62,19 +63,27 @@ def windows(words: list[bytes], window: int) -> set[tuple[bytes, ...]]:
     return {tuple(words[i : i + window]) for i in range(max(1, len(words) - window + 1))}
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, most: int):
-    """The benchmark's windows with their items, at most ``most`` at a time."""
-    rows = benchmark.select(F.col(id_col).cast("string"), as_binary(text_col)).where(
-        F.col(id_col).isNotNull()
-    )
-    block: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
-    for item, text in rows.toLocalIterator():
-        for w in windows(alnum_words(text and bytes(text)), window):
-            block[w].add(item)
-            if len(block) >= most:
-                yield dict(block)
-                block = defaultdict(set)
-    yield dict(block)
+def _windows_of(
+    benchmark: DataFrame, id_col: str, text_col: str, window: int
+) -> DataFrame:
+    """``item, pattern`` for each different window of each item, its words joined by a space."""
+    named = benchmark.where(benchmark[f"`{id_col}`"].isNotNull())
+
+    def start():
+        return lambda text: ([b" ".join(w).decode() for w in windows(alnum_words(text), window)],)
+
+    cut = map_texts(named, text_col, start, "patterns array<string>", [id_col])
+    item = F.col("row").getField(id_col).cast("string")
+    return cut.select(item.alias("item"), F.explode("patterns").alias("pattern")).distinct()
+
+
+def _block(patterns: DataFrame, number: int, blocks: int):
+    """One block of the windows as a broadcast; about as many rows as a block may have."""
+    mine = F.pmod(F.xxhash64("pattern", "item"), F.lit(blocks)) == number
+    found: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
+    for item, pattern in patterns.where(mine).collect():
+        found[tuple(pattern.encode().split(b" "))].add(item)
+    return patterns.sparkSession.sparkContext.broadcast(dict(found))
 
 
 def _searcher(shared):
@@ -98,6 +107,21 @@ def _searcher(shared):
     return start
 
 
+def _put_together(spans: Column) -> Column:
+    """Overlapping and touching spans as one, in order."""
+    kind = "array<struct<start:int,stop:int>>"
+
+    def add(done: Column, x: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        wider = F.struct(last["start"].alias("start"), F.greatest(last["stop"], x["stop"]).alias("stop"))
+        # Spans come in the order of their starts, so only the last one can meet the next.
+        return F.when(x["start"] <= last["stop"], F.concat(F.slice(done, 1, F.size(done) - 1), F.array(wider))).otherwise(
+            F.concat(done, F.array(x))
+        )
+
+    return F.aggregate(F.array_sort(F.array_distinct(spans)), F.array().cast(kind), add)
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Overlapping and touching spans as one, in order."""
     out: list[list[int]] = []
@@ -125,37 +149,44 @@ def find_passages(
     ``row`` is a struct of the input row, or of its columns ``carry``, so extra columns
     cannot clash. A null or empty text has no words and no hits. Items with a null id or
     without words are left out; rows that repeat an item id count as one item. Repeated
-    documents are each judged. An empty benchmark finds nothing. A benchmark of more than
-    ``block_windows`` windows takes a pass over the distinct texts for each block, and the
-    spans of a text are put together.
+    documents are each judged, very long ones as a whole. An empty benchmark finds nothing. A
+    benchmark of more than ``block_windows`` windows (of all items together) takes a pass
+    over the distinct texts for each block, whose hits are stored and then put together; one
+    block at a time is on the driver and with the tasks.
     """
-    spark = docs.sparkSession
-    blocks = [
-        spark.sparkContext.broadcast(b)
-        for b in _blocks(benchmark, item_col, item_text_col, window, block_windows)
-    ]
-    if len(blocks) == 1:
-        return map_texts(docs, text_col, _searcher(blocks[0]), FOUND, carry)
+    patterns = checkpoint(_windows_of(benchmark, item_col, item_text_col, window))
+    blocks = max(1, -(-patterns.count() // block_windows))
+    if blocks == 1:
+        return map_texts(docs, text_col, _searcher(_block(patterns, 0, 1)), FOUND, carry)
     names = docs.columns if carry is None else carry
     row = F.struct(*[docs[f"`{c}`"] for c in names])
     keyed = docs.select(row.alias("row"), as_binary(text_col).alias("_text"))
-    put_together = F.udf(
-        lambda spans: merged([(x.start, x.stop) for x in spans]),
-        "array<struct<start:int,stop:int>>",
-    )
-    distinct = keyed.select("_text").distinct()
-    parts = [map_texts(distinct, "_text", _searcher(b), FOUND) for b in blocks]
+    distinct = checkpoint(keyed.select("_text").distinct())
+    parts = []
+    for number in range(blocks):
+        shared = _block(patterns, number, blocks)
+        some = map_texts(distinct, "_text", _searcher(shared), FOUND)
+        hit = some.where(F.size("hits") > 0).select("row._text", "hits", "item_ids")
+        parts.append(checkpoint(hit))
+        shared.destroy()
     whole = (
         reduce(DataFrame.unionByName, parts)
-        .groupBy("row._text")
+        .groupBy("_text")
         .agg(
-            F.max("n_words").alias("n_words"),
-            put_together(F.flatten(F.collect_list("hits"))).alias("hits"),
+            F.flatten(F.collect_list("hits")).alias("hits"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
         )
+        .select(F.col("_text").alias("_same"), _put_together(F.col("hits")).alias("hits"), "item_ids")
+    )
+    joined = keyed.join(whole, F.col("_text") == F.col("_same"), "left")
+    rows = joined.select(F.struct("row", "hits", "item_ids").alias("at"), "_text")
+    counted = map_texts(rows, "_text", lambda: lambda text: (len(alnum_words(text)),), "n_words long", ["at"])
+    none = [F.array().cast("array<struct<start:int,stop:int>>"), F.array().cast("array<string>")]
+    return counted.select(
+        "row.at.row",
+        "n_words",
+        *[F.coalesce(F.col(f"row.at.{c}"), n).alias(c) for c, n in zip(("hits", "item_ids"), none)],
     )
-    joined = keyed.join(whole, keyed["_text"].eqNullSafe(whole["_text"]))
-    return joined.select("row", "n_words", "hits", "item_ids")
 
 
 def hit_words() -> Column:
