@@ -2,6 +2,7 @@
 
 import collections
 import html as html_lib
+import math
 import random
 import re
 import zlib
@@ -622,3 +623,84 @@ def test_pipeline_on_odd_input(spark, strange, nothing):
     for docs, most in ((strange, 10), (nothing, 0)):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, docs, SMALL).count() <= max(most, 1_000 * most)
+
+
+def brute_ratio(text, accepted, rejected):
+    """The Markov ratio from plain counts of strings."""
+    lead = "\x02" * (urls.ORDER - 1)
+
+    def probability(examples, context, char):
+        p = 1 / 128
+        for k in range(urls.ORDER):
+            end = context[len(context) - k :]
+            runs = [(lead + e + "\x03")[i - k : i + 1] for e in examples for i in range(len(lead), len(lead + e) + 1)]
+            total = sum(r[:-1] == end for r in runs)
+            p = (sum(r == end + char for r in runs) + urls.PRIOR * p) / (total + urls.PRIOR)
+        return p
+
+    whole = lead + text + "\x03"
+    logs = [
+        math.log(probability(accepted, whole[:i], whole[i]) / probability(rejected, whole[:i], whole[i]))
+        for i in range(len(lead), len(whole))
+    ]
+    return sum(logs) / len(logs)
+
+
+def test_url_ratios_equal_brute_force(spark):
+    rng = random.Random(8)
+    made = ["".join(rng.choice("ab/") for _ in range(rng.randrange(9))) for _ in range(60)]
+    rows = [(u, len(u) % 2, i % urls.FOLDS) for i, u in enumerate(made)]
+    model = urls.learn(spark.createDataFrame(rows, "text string, rejected long, fold long"))
+    for fold in (0, 5):
+        others = [(u, r) for u, r, f in rows if f != fold]
+        parts = [[u for u, r in others if r == c] for c in (0, 1)]
+        asked = ["", "ab/ab", "zz", *made[:5]]
+        want = [brute_ratio(u, *parts) for u in asked]
+        assert np.allclose(model.ratios(asked, fold), want, atol=1e-9)
+
+
+def brute_weight(word, ordinary, toxic):
+    """Kneser-Ney difference of a word from plain counts of letter runs."""
+    n, start, stop = toxicity.ORDER, chr(toxicity.START), chr(toxicity.STOP)
+
+    def runs(words, size):
+        whole = [start * (n - 1) + w + stop for w in words]
+        return [w[i + 1 - size : i + 1] for w in whole for i in range(n - 1, len(w))]
+
+    def discounted(count, total, kinds, lower):
+        if not total:
+            return lower
+        return max(count - toxicity.DISCOUNT, 0) / total + min(toxicity.DISCOUNT * kinds / total, 1) * lower
+
+    def shared(context, char):
+        p = 1 / 256
+        for k in range(1, n):
+            longer = set(runs(ordinary + toxic, k + 1))
+            end = context[len(context) - k + 1 :]
+            count = sum(r[1:] == end + char for r in longer)
+            total = sum(r[1:-1] == end for r in longer)
+            kinds = len({r[-1] for r in runs(ordinary + toxic, k) if r[:-1] == end})
+            p = discounted(count, total, kinds, p)
+        return p
+
+    whole, out = start * (n - 1) + word + stop, 0.0
+    for i in range(n - 1, len(whole)):
+        context, char = whole[i - n + 1 : i], whole[i]
+        lower = shared(context, char)
+        for words, sign in ((ordinary, -1), (toxic, 1)):
+            held = [r for r in runs(words, n) if r[:-1] == context]
+            p = discounted(held.count(context + char), len(held), len(set(held)), lower)
+            out += sign * math.log(max(p, 1e-12))
+    return out
+
+
+def test_word_weights_equal_brute_force(spark):
+    rng = random.Random(9)
+    made = [["".join(rng.choice("abé") for _ in range(rng.randrange(1, 9))) for _ in range(40)] for _ in range(2)]
+    rows = [(" ".join(words).encode(), toxic, 0) for toxic, words in enumerate(made)]
+    counts = toxicity.run_counts(spark.createDataFrame(rows, "text binary, toxic int, fold int")).collect()
+    numbers = np.array([[r[c] for c in ("kind", "key", *toxicity.CELLS)] for r in counts], dtype=np.int64)
+    tables = toxicity._tables(numbers, [[0, 2], [1, 3]])
+    asked = ["a", "zzz", "abéabéabé", *made[0][:6], *made[1][:6]]
+    got = tables.weights([w.encode() for w in asked])
+    assert np.allclose(got, [brute_weight(w, *made) for w in asked], atol=1e-9)
