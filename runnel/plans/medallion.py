@@ -124,7 +124,9 @@ def load_bronze(
 
 def _in_dates(day: Column, dates: Iterable[dt.date | None]) -> Column:
     dates = list(dates)
-    return day.isin([d for d in dates if d is not None]) | (day.isNull() & F.lit(None in dates))
+    named = day.isNotNull() & day.isin([d for d in dates if d is not None])
+    # Never null, so that its negation holds for rows without a date.
+    return named | (day.isNull() & F.lit(None in dates))
 
 
 def _all_dates(*frames: DataFrame) -> DataFrame:
@@ -146,28 +148,43 @@ def touched_dates(spark: SparkSession, bronze: str, load: str) -> list[dt.date |
     return date_values(_all_dates(arrived, mine, copies_of(spark, bronze, mine)))
 
 
+def _stored_on(
+    spark: SparkSession, bronze: str, places: DataFrame, dates: Sequence[dt.date | None] = ()
+) -> DataFrame | None:
+    """The Bronze rows of the dates that occur in ``places``, and of ``dates``; None without any."""
+    found = date_values(places)
+    if found is None:
+        named = spark.createDataFrame([(d,) for d in dates], NOTE_DDL)
+        rows = read_dates_of(spark, bronze, named.unionByName(places), STORED_DDL)
+    elif found or dates:
+        rows = read_dates(spark, bronze, [*dates, *found], STORED_DDL)
+    else:
+        return None
+    return first_file(rows).drop(LOAD_COL)
+
+
 def bronze_for(
     spark: SparkSession, bronze: str, dates: Sequence[dt.date | None]
 ) -> tuple[DataFrame, DataFrame]:
     """The Bronze rows that some Silver dates follow from: those of these dates, and their
     copies on other dates; and the Bronze rows of the same dates.
 
-    The index says on which dates the copies lie, so only these are read.
+    The index says on which dates rows of either kind lie, so only these are read; without
+    copies on other dates there is nothing to look for.
     """
     moved = strays(spark, bronze)
     inside = _in_dates(F.col("silver_date"), dates) | _in_dates(F.col("bronze_date"), dates)
     ids = moved.where(inside).select("event_id").distinct()
-    elsewhere = moved.join(ids, "event_id", "left_semi").select(F.col("bronze_date").alias(DATE_COL))
-    named = spark.createDataFrame([(d,) for d in dates], NOTE_DDL)
-    found = date_values(elsewhere)
-    if found is None:
-        rows = read_dates_of(spark, bronze, named.unionByName(elsewhere), STORED_DDL)
-    else:
-        rows = read_dates(spark, bronze, [*dates, *found], STORED_DDL)
-    rows = first_file(rows).drop(LOAD_COL)
+    places = moved.join(ids, "event_id", "left_semi").withColumn(DATE_COL, F.col("bronze_date"))
+    belongs = _in_dates(F.col("silver_date"), dates)
+    rows = _stored_on(spark, bronze, places.where(belongs).select(DATE_COL), dates)
+    far = _stored_on(spark, bronze, places.where(~belongs).select(DATE_COL))
+    own = rows.where(_in_dates(F.col(DATE_COL), dates))
     here = _in_dates(silver_date(), dates)
-    copies = rows.where(~here).join(ids, "event_id", "left_semi")
-    return rows.where(here).unionByName(copies), rows.where(_in_dates(F.col(DATE_COL), dates))
+    needed = rows.where(here)
+    if far is not None:
+        needed = needed.unionByName(far.where(~here).join(ids, "event_id", "left_semi"))
+    return needed, own
 
 
 def replace_silver(

@@ -631,3 +631,28 @@ def test_upsert_reads_columns_from_their_note(spark, folder, monkeypatch):
     assert rows(found, "id", "a", "b", "c") == [
         (0, "x", None, None), (1, None, "y", None), (2, None, "y", None)
     ]
+
+
+def test_undated_copy_counts_when_another_date_is_recomputed(spark, tmp_path, folder):
+    """The latest copy has no time; recomputing the date of the earlier one does not revive it."""
+    target = Tables(f"{folder}/tables")
+    first = events(4, days=2)
+    lost = dict(first[0], timestamp="unknown")
+    for name, lines, day in (("one", first, 1), ("two", [lost], 2)):
+        write_lines(tmp_path / name, [json.dumps(e) for e in lines])
+        at = F.lit(dt.datetime(2024, 2, day)).cast("timestamp_ntz")
+        medallion.load_bronze(spark, str(tmp_path / name), target, at, name)
+    refresh_silver(spark, target)
+    before = multiset(tables.read_table(spark, target.silver, SILVER_DDL))
+    refresh_silver(spark, target, [BASE.date()])
+    assert multiset(tables.read_table(spark, target.silver, SILVER_DDL)) == before
+
+
+def test_without_copies_elsewhere_bronze_is_read_once(spark, tmp_path, folder):
+    target = Tables(f"{folder}/tables")
+    at = F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz")
+    write_lines(tmp_path / "one", [json.dumps(e) for e in events(20, days=4)])
+    medallion.load_bronze(spark, str(tmp_path / "one"), target, at, "one")
+    needed, own = medallion.bronze_for(spark, target.bronze, [BASE.date(), BASE.date() + DAY])
+    assert needed.count() == own.count() == 10
+    assert needed._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
