@@ -15,14 +15,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from runnel.functions.columns import now_or
 from runnel.operators.gold import daily_kpis
+from runnel.operators.layout import cache_if_reused
 from runnel.operators.quality import (
-    any_null,
     dedup_latest,
     quality_by_file,
     quality_of_files,
+    split_nulls,
 )
 from runnel.operators.sessions import resumable_sessions
-from runnel.operators.silver import clean, to_bronze
+from runnel.operators.silver import to_bronze, to_silver
 from runnel.plans.medallion import (
     EMPTIED,
     NOTE_DDL,
@@ -31,7 +32,6 @@ from runnel.plans.medallion import (
     session_rows_before,
 )
 from runnel.schemas import (
-    CRITICAL_COLS,
     DATE_COL,
     FILE_COL,
     LOAD_COL,
@@ -98,20 +98,25 @@ def add_to_quarantine(rejected: DataFrame, quarantine: str) -> None:
     files are replaced, so neither a repeated batch nor the other flow doubles them.
     """
     spark = rejected.sparkSession
-    dates = date_values(rejected)
-    if dates == []:
-        return
-    if dates is not None:
-        held = read_dates(spark, quarantine, dates, QUARANTINE_DDL)
-    elif table_exists(spark, quarantine):
-        held = read_table(spark, quarantine, QUARANTINE_DDL)
-    else:
-        held = spark.createDataFrame([], QUARANTINE_DDL)
-    # Files of one load share a name, and a batch may end between its dates.
-    files = rejected.select(F.col(DATE_COL).alias("_date"), F.col(FILE_COL).alias("_file"))
-    same = F.col(DATE_COL).eqNullSafe(F.col("_date")) & (F.col(FILE_COL) == F.col("_file"))
-    others = held.join(files.distinct(), same, "left_anti")
-    replace_dates(others.unionByName(rejected, allowMissingColumns=True), quarantine)
+    # Few rows, which are looked for in the whole batch once.
+    rejected = cache_if_reused(rejected)
+    try:
+        dates = date_values(rejected)
+        if dates == []:
+            return
+        if dates is not None:
+            held = read_dates(spark, quarantine, dates, QUARANTINE_DDL)
+        elif table_exists(spark, quarantine):
+            held = read_table(spark, quarantine, QUARANTINE_DDL)
+        else:
+            held = spark.createDataFrame([], QUARANTINE_DDL)
+        # Files of one load share a name, and a batch may end between its dates.
+        files = rejected.select(F.col(DATE_COL).alias("_date"), F.col(FILE_COL).alias("_file"))
+        same = F.col(DATE_COL).eqNullSafe(F.col("_date")) & (F.col(FILE_COL) == F.col("_file"))
+        others = held.join(files.distinct(), same, "left_anti")
+        replace_dates(others.unionByName(rejected, allowMissingColumns=True), quarantine)
+    finally:
+        rejected.unpersist()
 
 
 def add_to_silver(batch: DataFrame, bronze: str, silver: str, quarantine: str) -> None:
@@ -122,17 +127,19 @@ def add_to_silver(batch: DataFrame, bronze: str, silver: str, quarantine: str) -
     nothing; no other date is read. ``batch`` has the name of its Bronze file.
     """
     spark = batch.sparkSession
-    fresh, rejected = clean(batch.drop(LOAD_COL))
+    kept, rejected = split_nulls(batch.drop(LOAD_COL))
     add_to_quarantine(rejected, quarantine)
-    valid = batch.where(~any_null(CRITICAL_COLS)).select("event_id", silver_date().alias(DATE_COL))
-    copies = copies_of(spark, bronze, valid.distinct())
+    valid = kept.select("event_id", silver_date().alias(DATE_COL))
+    copies = copies_of(spark, bronze, valid)
     touched = valid.select(DATE_COL).unionByName(copies.select(F.col("silver_date").alias(DATE_COL)))
     dates = date_values(touched)
     if dates is None:
         held = read_dates_of(spark, silver, touched, SILVER_DDL)
     else:
         held = read_dates(spark, silver, dates, SILVER_DDL)
-    replace_silver(dedup_latest(held.unionByName(fresh)), silver, touched if dates is None else dates)
+    # Copies within the batch and those in Silver are told apart by one shuffle.
+    latest = dedup_latest(to_silver(kept).unionByName(held))
+    replace_silver(latest, silver, touched if dates is None else dates)
 
 
 def stream_silver(

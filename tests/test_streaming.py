@@ -217,3 +217,20 @@ def test_loads_and_streams_share_bronze_and_quarantine(spark, tmp_path, folder,
     refresh_silver(spark, target, [BASE.date()])
     assert rows(read_table(spark, target.quarantine), "event_id") == [("bad",), ("worse",)]
     assert rows(read_table(spark, target.silver, SILVER_DDL), "event_id") == [("e1",), ("e2",)]
+
+
+def test_batch_is_told_apart_by_one_shuffle(spark, tmp_path, folder, at, monkeypatch):
+    """Copies within a batch and those in Silver meet in the same window."""
+    write_lines(tmp_path / "raw", [json.dumps(e) for b in arrivals() for e in b])
+    target = run(spark, tmp_path, folder, at)
+    before = multiset(read_table(spark, target.silver, SILVER_DDL))
+    plans, replace = [], flows.replace_silver
+
+    def seen(df, *others):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        replace(df, *others)
+
+    monkeypatch.setattr(flows, "replace_silver", seen)
+    flows.add_to_silver(bronze_batch(spark, target), target.bronze, target.silver, target.quarantine)
+    assert [p.count("row_number() windowspec") for p in plans] == [1]
+    assert multiset(read_table(spark, target.silver, SILVER_DDL)) == before
