@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from runnel.functions.columns import event_time
+from runnel.operators.layout import cache_if_reused
 from runnel.operators.quality import any_null
-from runnel.schemas import BRONZE_DDL, CRITICAL_COLS, DATE_COL, LOAD_COL
+from runnel.schemas import BRONZE_DDL, CRITICAL_COLS, DATE_COL, LOAD_COL, column_names
 
 KEYS, STRAYS = "_keys", "_strays"
 #: Hash buckets of the ids. A stored index keeps the number that it was made with.
@@ -50,9 +51,9 @@ def _read(spark: SparkSession, root: str, ddl: str, below: str = "") -> DataFram
         raise
 
 
-def _write(df: DataFrame, path: str, by: Sequence[str]) -> None:
+def _write(df: DataFrame, path: str, by: Sequence[str], mode: str | None = None) -> None:
     writer = df.write.mode("overwrite").partitionBy(*by)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    writer.option("partitionOverwriteMode", mode or "dynamic").parquet(path)
 
 
 def load_folder(spark: SparkSession, load: str) -> str:
@@ -96,17 +97,31 @@ def strays(spark: SparkSession, bronze: str) -> DataFrame:
     return _read(spark, f"{bronze}/{STRAYS}", STRAYS_DDL).drop(LOAD_COL).distinct()
 
 
-def _scattered(keys: DataFrame) -> DataFrame:
-    """The rows of the ids with more than one pair of dates, or whose two dates differ."""
-    places = keys.groupBy("event_id").agg(
-        F.collect_set(F.struct(F.struct("bronze_date", "silver_date").alias("at"))).alias("places")
-    )
-    odd = F.exists("places", lambda p: ~p["at"]["bronze_date"].eqNullSafe(p["at"]["silver_date"]))
-    return (
-        places.where((F.size("places") > 1) | odd)
-        .select("event_id", F.explode("places").alias("p"))
-        .select("event_id", "p.at.bronze_date", "p.at.silver_date")
-    )
+def _scattered_ids(keys: DataFrame) -> DataFrame:
+    """The ids with more than one pair of dates, or whose two dates differ; of these, the ones
+    with a row that is ``_mine``.
+
+    One shuffle, and buffers of five numbers for each id, whatever its number of copies.
+    """
+    # A number below those of all dates stands for null.
+    day = {c: F.coalesce(F.unix_date(c), F.lit(-(2**31))) for c in ("bronze_date", "silver_date")}
+    ends = [f(n).alias(f"{c}_{f.__name__}") for c, n in day.items() for f in (F.min, F.max)]
+    several = "bronze_date_min < bronze_date_max OR silver_date_min < silver_date_max"
+    odd = f"{several} OR bronze_date_min <> silver_date_min"
+    found = keys.groupBy("event_id").agg(F.max("_mine").alias("_mine"), *ends)
+    return found.where(f"_mine AND ({odd})").select("event_id")
+
+
+def _write_strays(keys: DataFrame, bronze: str, name: str, mode: str | None = None) -> None:
+    """Stores the dates of the scattered ids among ``keys``. The ids are few, as a rule, so that
+    their rows are found by a second look at the keys without a shuffle."""
+    ids = cache_if_reused(_scattered_ids(keys))
+    try:
+        ids.count()
+        found = keys.join(ids, "event_id", "left_semi").select(*column_names(KEY_DDL)).distinct()
+        _write(found.withColumn(LOAD_COL, F.lit(name)), f"{bronze}/{STRAYS}", [LOAD_COL], mode)
+    finally:
+        ids.unpersist()
 
 
 def index_load(spark: SparkSession, bronze: str, load: str) -> None:
@@ -122,19 +137,16 @@ def index_load(spark: SparkSession, bronze: str, load: str) -> None:
     touched = sorted(map(int, seen.get["buckets"]))
     mine = keys_of_load(spark, bronze, load)
     others = keys_in(spark, bronze, touched).where(F.col(LOAD_COL) != load)
-    older = others.join(mine.select("bucket", "event_id"), ["bucket", "event_id"], "left_semi")
-    names = ["event_id", "bronze_date", "silver_date"]
-    found = _scattered(mine.select(*names).unionByName(older.select(*names)))
-    _write(found.withColumn(LOAD_COL, F.lit(load)), f"{bronze}/{STRAYS}", [LOAD_COL])
+    both = mine.withColumn("_mine", F.lit(True)).unionByName(others.withColumn("_mine", F.lit(False)))
+    _write_strays(both, bronze, load)
 
 
 def index_bronze(spark: SparkSession, bronze: str) -> None:
     """Makes the index of a whole Bronze table anew, e.g. of one that other tools wrote."""
     rows = _read(spark, bronze, f"{BRONZE_DDL}, {LOAD_COL} STRING")
     keys_of(rows).write.mode("overwrite").partitionBy("bucket", LOAD_COL).parquet(f"{bronze}/{KEYS}")
-    found = _scattered(_read(spark, f"{bronze}/{KEYS}", KEYS_DDL))
-    named = found.withColumn(LOAD_COL, F.lit("all"))
-    named.write.mode("overwrite").partitionBy(LOAD_COL).parquet(f"{bronze}/{STRAYS}")
+    keys = _read(spark, f"{bronze}/{KEYS}", KEYS_DDL)
+    _write_strays(keys.withColumn("_mine", F.lit(True)), bronze, "all", "static")
 
 
 def fold_loads(spark: SparkSession, bronze: str, loads: Sequence[str], name: str) -> None:
@@ -151,5 +163,10 @@ def fold_loads(spark: SparkSession, bronze: str, loads: Sequence[str], name: str
 
 
 def copies_of(spark: SparkSession, bronze: str, ids: DataFrame) -> DataFrame:
-    """The dates of all copies of the given ids, where they lie on several dates."""
-    return strays(spark, bronze).join(ids.select("event_id"), "event_id", "left_semi")
+    """The dates of all copies of the given ids, where they lie on several dates.
+
+    The ids, which may be very many, meet the few scattered ones first.
+    """
+    odd = strays(spark, bronze)
+    met = ids.select("event_id").join(odd.select("event_id"), "event_id", "left_semi")
+    return odd.join(met.distinct(), "event_id", "left_semi")

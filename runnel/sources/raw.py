@@ -32,6 +32,7 @@ def parse_raw_lines(lines: DataFrame, ddl: str = READ_DDL) -> DataFrame:
 
     Those are kept as one JSON object in ``_unknown_fields``, each with its own type; null if
     there are none. (Where an object inside repeats a key, the values are kept as texts.)
+    Only lines with an unknown name, or whose names cannot be told, are read as such an object.
     Other columns of ``lines`` stay behind them. Blank lines are passed over.
     """
     line = F.col("value")
@@ -43,12 +44,14 @@ def parse_raw_lines(lines: DataFrame, ddl: str = READ_DDL) -> DataFrame:
         return F.to_json(F.map_filter(fields, lambda name, _: ~name.isin(known)))
 
     others = [c for c in lines.columns if c != "value"]
+    odd = F.coalesce(F.exists(F.json_object_keys(line), lambda name: ~name.isin(known)), F.lit(True))
+    rest = F.nullif(F.coalesce(unknown(TYPED), unknown(TEXTS)), F.lit("{}"))
     event = F.from_json(line, ddl.replace(" NOT NULL", ""), options)
     return (
         lines.where(F.trim(line) != "")
         .select(
             event.alias("event"),
-            F.nullif(F.coalesce(unknown(TYPED), unknown(TEXTS)), F.lit("{}")).alias(UNKNOWN_COL),
+            F.when(odd, rest).alias(UNKNOWN_COL),
             *others,
         )
         .select("event.*", UNKNOWN_COL, *others)

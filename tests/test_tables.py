@@ -633,6 +633,43 @@ def test_upsert_reads_columns_from_their_note(spark, folder, monkeypatch):
     ]
 
 
+def test_lines_with_known_names_are_parsed_once(spark):
+    """Only other lines are read as an object of any fields; what is kept stays the same."""
+    lines = [
+        '{"event_id": "a", "status_code": 200}', '{"event_id": "b", "x": 1, "y": {"k": [1, null]}}',
+        '{"event_id": "c", "region"', '[{"event_id": "d", "x": 1}]', '{}', '"text"', '{"event_id": 5} x',
+        "{'event_id': 'e', 'z': 'q'}", '{"event_id": "f", "o": {"k": 1, "k": 2}}', '{"x": 2} {"y": 3}',
+    ]
+    out = parsed(spark, *lines)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "jsonobjectkeys" in plan.lower().replace("_", "")
+    fields = [
+        F.to_json(F.map_filter(F.from_json("value", kind), lambda n, _: ~n.isin(column_names(raw.READ_DDL))))
+        for kind in (raw.TYPED, raw.TEXTS)
+    ]
+    plain = spark.createDataFrame([(v,) for v in lines], "value string").select(
+        F.nullif(F.coalesce(*fields), F.lit("{}"))
+    )
+    assert [r[0] for r in out.select("_unknown_fields").collect()] == [r[0] for r in plain.collect()]
+
+
+def test_scattered_ids_need_no_sets(spark, folder):
+    """Five numbers for each id tell whether its copies lie on several dates, null included."""
+    a, b = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    places = {"one": [(a, a), (a, a)], "odd": [(a, b)], "two": [(a, a), (b, b)], "none": [(None, None)],
+              "half": [(a, None)], "lost": [(a, a), (None, None)], "three": [(a, a), (b, b), (b, a)]}
+    data = [(k, *p, k != "two") for k, ps in places.items() for p in ps]
+    keys = spark.createDataFrame(data, f"{keyindex.KEY_DDL}, _mine BOOLEAN")
+    ids = keyindex._scattered_ids(keys)
+    assert {r[0] for r in ids.collect()} == {"odd", "half", "lost", "three"}
+    assert "collect_set" not in ids._jdf.queryExecution().toString()
+    keyindex._write_strays(keys, folder, "x")
+    held = keyindex.strays(spark, folder)
+    assert multiset(held) == multiset(
+        spark.createDataFrame([(k, *p) for k in ("odd", "half", "lost", "three") for p in places[k]], keyindex.KEY_DDL)
+    )
+
+
 def test_undated_copy_counts_when_another_date_is_recomputed(spark, tmp_path, folder):
     """The latest copy has no time; recomputing the date of the earlier one does not revive it."""
     target = Tables(f"{folder}/tables")
